@@ -52,22 +52,22 @@ edges as (
   join (select distinct from_id, target from links where kind = 1) l on l.from_id = p.id
   where l.target in (select id from targets) group by n.id),
 up as (
-  select id as start, id as at, 0 as steps, [id] as seen, title as path, false as cyc, id as low from nodes
+  select id as start, id as here, 0 as steps, [id] as seen, title as path, false as cyc, id as low from nodes
   union all
   select u.start, e.parent, u.steps + 1, list_append(u.seen, e.parent), n.title || ' > ' || u.path, list_contains(u.seen, e.parent), 0
-  from up u join edges e on e.child = u.at join nodes n on n.id = e.parent where not u.cyc),
-last as (select * from up u where cyc or not exists (select 1 from edges e where e.child = u.at))
+  from up u join edges e on e.child = u.here join nodes n on n.id = e.parent where not u.cyc),
+last as (select * from up u where cyc or not exists (select 1 from edges e where e.child = u.here))
 """
 
 _TREE_ROWS = """, rows as (
   select start as node_id, (select parent from edges where child = start) as parent_id,
-    case when cyc then list_min(list_slice(seen, list_position(seen, at), len(seen))) else at end as root_id,
+    case when cyc then list_min(list_slice(seen, list_position(seen, here), len(seen))) else here end as root_id,
     case when cyc then -1 else steps end as depth, cyc as in_cycle, case when cyc then null else path end as path from last)
 """
 
 SQL = {
     "p3_found": _TREE + _TREE_ROWS + "select node_id, root_id, cast(depth as integer) as depth from rows where parent_id is not null",
-    "p3_descendants": _TREE + """select u.at as node_id, u.start as descendant_id, cast(u.steps as integer) as steps
+    "p3_descendants": _TREE + """select u.here as node_id, u.start as descendant_id, cast(u.steps as integer) as steps
         from up u join last l on l.start = u.start where not l.cyc and u.steps > 0""",
     "p5_lemmas": """
 with t as (select distinct capture_id, case when json_valid(lemmas) and lemmas like '"%' then json_extract_string(lemmas, '$') else lemmas end as j from wikibase),
