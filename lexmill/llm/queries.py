@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from lexmill.llm import lookalike, packing, spans, tokens
+from lexmill.llm import lookalike, markup, packing, spans, tokens
 
 QUERIES = {
+    "p1_found": markup.found,
+    "p1_texts": markup.clean_texts,
     "p4_found": lookalike.found,
     "p4_forms": lookalike.title_forms,
     "p7_ids": tokens.corpus_ids,
