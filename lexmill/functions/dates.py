@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexmill.functions.lazy import let
 from lexmill.functions.strings import col
 
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
@@ -128,16 +129,13 @@ def compact(ts) -> Column:
 
 
 def _month_number(name: Column) -> Column:
-    short = F.lower(F.left(name, F.lit(3)))
-    full = F.array(*[F.lit(m[:3].lower()) for m in MONTHS])
-    at = F.array_position(full, short)
-    whole = _names([m.lower() for m in MONTHS], F.greatest(at, F.lit(1)).cast("int"))
-    return F.when((at > 0) & ((F.char_length(name) == 3) | (F.lower(name) == whole)), at.cast("int"))
+    """The number of a month written in full or with three letters."""
+    known = F.create_map(*[F.lit(x) for i, m in enumerate(MONTHS, 1) for n in {m.lower(), m[:3].lower()} for x in (n, i)])
+    return known[F.lower(name)]
 
 
 def _day(year: Column, month: Column, day: Column) -> Column:
-    ok = month.between(1, 12) & day.between(1, 31)
-    return F.when(ok, F.call_function("try_make_timestamp", year.cast("int"), month.cast("int"), day.cast("int"), F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)")))
+    return F.call_function("try_make_timestamp", year.cast("int"), month.cast("int"), day.cast("int"), F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)"))
 
 
 def _int(x: Column, pattern: str, group: int) -> Column:
@@ -147,7 +145,10 @@ def _int(x: Column, pattern: str, group: int) -> Column:
 def parse_date(text, now: Column) -> Column:
     """A timestamp of text: ISO, hyphens, slashes, dots, month names, ``now``, ``today``,
     ``first/last day of this/last/next month`` and ``+n days``; null if unreadable."""
-    x = F.trim(col(text))
+    return let(F.trim(col(text)), lambda x: _parsed(x, now))
+
+
+def _parsed(x: Column, now: Column) -> Column:
     low = F.lower(x)
     iso = F.when(x.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}"), x.try_cast("timestamp"))
     compact14 = F.when(x.rlike("^[0-9]{14}$"), F.try_to_timestamp(x, F.lit("yyyyMMddHHmmss")))
@@ -184,10 +185,12 @@ def parse_date(text, now: Column) -> Column:
 
 def format_preference(text, preference: str, now: Column) -> Column:
     """A date as dmy, mdy, ymd or ISO 8601 in a span with its ISO form; unreadable text is only trimmed."""
-    ts = parse_date(text, now)
-    shown = format_date(ts, {"dmy": "j F Y", "mdy": "F j, Y", "ymd": "Y F j"}.get(preference, "Y-m-d"))
-    span = F.concat(F.lit('<span class="mw-formatted-date" title="'), format_date(ts, "Y-m-d"), F.lit('">'), shown, F.lit("</span>"))
-    return F.coalesce(span, F.trim(col(text)))
+    pattern = {"dmy": "j F Y", "mdy": "F j, Y", "ymd": "Y F j"}.get(preference, "Y-m-d")
+
+    def span(ts: Column) -> Column:
+        return F.concat(F.lit('<span class="mw-formatted-date" title="'), format_date(ts, "Y-m-d"), F.lit('">'), format_date(ts, pattern), F.lit("</span>"))
+
+    return F.coalesce(let(parse_date(text, now), span), F.trim(col(text)))
 
 
 def localized(ts, pattern: str, month_names: list[str], digits: str = "0123456789") -> Column:

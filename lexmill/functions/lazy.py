@@ -14,6 +14,10 @@ def mapped(function: Callable, returns: str, *columns: Column | str) -> Column:
 
     A null in the first column gives null without a call.
     """
+    if returns.startswith("struct"):
+        # a list of one or none, since a struct from Python is never null itself
+        boxed = mapped(lambda *row: [x] if (x := function(*row)) is not None else [], f"array<{returns}>", *columns)
+        return F.try_element_at(boxed, F.lit(1))
 
     def run(*args: pd.Series) -> pd.Series:
         if len(args) == 1:
@@ -28,3 +32,8 @@ def mapped(function: Callable, returns: str, *columns: Column | str) -> Column:
         return pd.Series(out, index=args[0].index, dtype=object)
 
     return F.pandas_udf(run, returns)(*[F.col(c) if isinstance(c, str) else c for c in columns])
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body uses it."""
+    return F.transform(F.array(value), body)[0]

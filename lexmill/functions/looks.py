@@ -37,7 +37,7 @@ def _one(char: str) -> str:
     kind = unicodedata.category(char)
     if (kind == "Cf" and code not in VISIBLE_FORMAT) or code in IGNORABLE or 0xFE00 <= code <= 0xFE0F or 0xE0100 <= code <= 0xE01EF:
         return ""
-    if kind == "Zs" or char in "\t\n\x0b\x0c\r\x85  ":
+    if kind == "Zs" or char in "\t\n\x0b\x0c\r\x85\u2028\u2029":
         return " "
     tag = unicodedata.decomposition(char).partition(" ")[0]
     if tag in SAME_LOOK:
@@ -52,7 +52,7 @@ class _Table(dict):
     def __missing__(self, code: int) -> str:
         parts = "".join(_one(c) for c in unicodedata.normalize("NFD", chr(code)))
         out = "".join(LOOKALIKES.get(c, c) for c in unicodedata.normalize("NFD", parts))
-        self[code] = out = "-" if out == "‐" else out
+        self[code] = out = "-" if out == "\u2010" else out
         return out
 
 

@@ -150,7 +150,7 @@ def list_to_text(items: Column, sep: str = ", ", last: str = " and ") -> Column:
 
 def html_encode(x) -> Column:
     out = F.replace(col(x), F.lit("&"), F.lit("&amp;"))
-    for char, name in ((">", "&gt;"), ("<", "&lt;"), ('"', "&quot;"), ("'", "&#39;"), (" ", "&nbsp;")):
+    for char, name in ((">", "&gt;"), ("<", "&lt;"), ('"', "&quot;"), ("'", "&#39;"), ("\u00a0", "&nbsp;")):
         out = F.replace(out, F.lit(char), F.lit(name))
     return out
 
@@ -158,7 +158,7 @@ def html_encode(x) -> Column:
 def html_decode_basic(x) -> Column:
     """The five basic entities and the non-breaking space; each is read once."""
     out = col(x)
-    for name, char in (("&nbsp;", " "), ("&#39;", "'"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+    for name, char in (("&nbsp;", "\u00a0"), ("&#39;", "'"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         out = F.replace(out, F.lit(name), F.lit(char))
     return out
 
