@@ -33,7 +33,7 @@ OTHER_TAGS = set(
     " input ins kbd label link main mark meta nav noinclude nowiki onlyinclude p poem q rb ref references rp rt ruby s samp script section small span strike strong style sub summary sup time title tt u var wbr".split()
 )
 VOID = {"br", "hr", "img", "wbr", "col", "input", "link", "meta"}
-BLOCKS = HEADINGS | LISTS | TABLES | {"p", "div", "blockquote", "section", "article", "header", "footer", "nav", "main", "aside", "center", "body", "pre", "math"}
+BLOCKS = HEADINGS | LISTS | TABLES | {"p", "div", "blockquote", "section", "article", "header", "footer", "nav", "main", "aside", "center", "body", "pre", "display"}
 # An opening tag ends an open tag of these kinds, up to the container.
 ENDS = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"})}
 # Environments of LaTeX.
@@ -98,9 +98,9 @@ class Builder:
         self.found.add("code")
         self.leaf("pre", text)
 
-    def formula(self, text: str) -> None:
+    def formula(self, text: str, display: bool = False) -> None:
         self.found.add("formula")
-        self.leaf("math", text)
+        self.leaf("display" if display else "math", text)
 
     def text(self, text: str) -> None:
         if text:
@@ -128,7 +128,7 @@ _HIDDEN = re.compile(
 _TEX = re.compile(r"\\(?:begin|end|part|chapter|(?:sub)*section|(?:sub)?paragraph|text(?:bf|it|sc|tt|rm)|emph|footnote|ref|cite|label|item|href|url)\*?(?=[\[{\s])|\\verb\W|\{\\(?:bf|it|em|tt|sc)\s|\\['`^\"~=.]\{?\w|\\[(\[](?!\*)|\\%")
 _WIKI = re.compile(r"^={1,6}[^=\n].*?=[ \t\r]*$|\[\[[^\]\n]+\]\]|\{\{|^\{\||'''?|\[https?://[^\]\n]+\]|^(?:[*#]+[^\s*#]|[*#]+:|;\s*\S)|<(?:ref|nowiki)\b|__[A-Z]{3,}__", re.M)
 _MARK = re.compile(
-    r"^#{1,6}[ \t]+[^\n]*[^\s.!?;:,][ \t\r]*$|^[^\n|]*\S[^\n]*\n(?:={3,}|-{2,})[ \t\r]*$|^\|?[ \t]*:?-{3,}:?[ \t]*\|[-:| \t]*$|^[ \t]{0,3}[-+][ \t]+\S|^[ \t]{0,3}\d+\.[ \t]+\S|\]\([^)\n]*\)|\*\*[^\s*][^*\n]*\*\*|~~[^~\n]+~~|\\[*_`#\[]|^\$\$|<https?://[^>\s]+>|(?<![\w*\\])\*[^\s*][^*\n]*\*(?![\w*])|(?<![\w_])__?[^\s_][^_\n]*[^\s_]__?(?![\w_])|(?:\A|\n[ \t]*\r?\n) {4}\S",
+    r"^#{1,6}[ \t]+[^\n]*[^\s.!?;:,][ \t\r]*$|^[^\n|]*\S[^\n]*\n(?:={3,}|-{2,})[ \t\r]*$|^\|?[ \t]*:?-{2,}:?[ \t]*\|[-:| \t]*$|^[ \t]{0,3}[-+][ \t]+\S|^[ \t]{0,3}\d+\.[ \t]+\S|\]\([^)\n]*\)|\*\*[^\s*][^*\n]*\*\*|~~[^~\n]+~~|\\[*_`#\[]|^\$\$|<https?://[^>\s]+>|(?<![\w*\\])\*[^\s*][^*\n]*\*(?![\w*])|(?<![\w_])__?[^\s_][^_\n]*[^\s_]__?(?![\w_])|(?:\A|\n[ \t]*\r?\n) {4}\S",
     re.M,
 )
 _SIGNS = re.compile(r"[<>\[\]{}|\\*#=`~$_&;+'-]|^[ \t]*\d+\.[ \t]|^ {4}", re.M)
@@ -239,8 +239,8 @@ def _wiki_inline(b: Builder, text: str, held: list[tuple[str, str]]) -> None:
 def _release(b: Builder, kind: str, body: str) -> None:
     if kind == "code":
         b.code(body)
-    elif kind == "formula":
-        b.formula(body)
+    elif kind in ("formula", "display"):
+        b.formula(body, kind == "display")
     else:
         b.inline()
         if body:
@@ -263,10 +263,11 @@ def read_wikitext(source: str) -> Builder:
         if m["comment"] is not None:
             return hold("inline", "")
         if m["span"] is not None:
-            return hold("formula", re.sub(r"^\\[(\[]|\\[)\]]$", "", m["span"].strip()))
+            inner = m["span"].strip()
+            return hold("display" if inner.startswith("\\[") else "formula", re.sub(r"^\\[(\[]|\\[)\]]$", "", inner).strip())
         name = m["tag"].lower()
         if name == "math":
-            return hold("formula", _untagged(m["body"]).strip())
+            return hold("display" if "block" in m["attrs"] else "formula", _untagged(m["body"]).strip())
         if name in ("script", "style"):
             return hold("formula" if "math/tex" in m["attrs"] else "inline", m["body"] if "math/tex" in m["attrs"] else "")
         if name == "nowiki":
@@ -461,7 +462,7 @@ def read_markdown(source: str) -> Builder:
                 i += 1
                 body += "\n" + lines[i]
             body, _, rest = body.partition("$$")
-            out.append(("formula", body.strip()))
+            out.append(("display", body.strip()))
             if rest.strip():
                 out.append(rest)
             blank = False
@@ -478,7 +479,7 @@ def read_markdown(source: str) -> Builder:
         text = re.sub(r"<pre\b[^<>]*>(.*?)</pre\s*>", lambda m: hold("code", _untagged(m[1]).strip("\n")), text, flags=re.S | re.I)
         text = re.sub(r"<math\b[^<>]*>(.*?)</math\s*>", lambda m: hold("formula", _untagged(m[1])), text, flags=re.S | re.I)
     if "$$" in text or "\\[" in text or "\\(" in text:
-        text = re.sub(r"\$\$(.+?)\$\$|\\\[(?=[^\]\n]*\\\])(.+?)\\\]|\\\((.+?)\\\)", lambda m: hold("formula", (m[1] or m[2] or m[3]).strip()), text, flags=re.S)
+        text = re.sub(r"\$\$(.+?)\$\$|\\\[(?=[^\]\n]*\\\])(.+?)\\\]|\\\((.+?)\\\)", lambda m: hold("formula" if m[3] else "display", (m[1] or m[2] or m[3]).strip()), text, flags=re.S)
     lines, i, open_list = text.split("\n"), 0, None
 
     def end_list() -> None:
@@ -593,12 +594,12 @@ def read_latex(source: str) -> Builder:
         if m["raw"]:
             b.code(m["code"].strip("\n"))
         elif m["env"] is not None:
-            b.formula(m["display"].strip())
+            b.formula(m["display"].strip(), True)
         elif m["verb"] is not None:
             b.inline()
             b.leaf("code", m["verb"])
         elif kind in ("dollars", "square", "round", "math"):
-            b.formula(m[kind].strip())
+            b.formula(m[kind].strip(), kind in ("dollars", "square"))
         elif m["what"]:
             name = m["what"]
             if name in TEX_LISTS:
@@ -745,7 +746,7 @@ def _flat(node: Node) -> str:
     for kid in node.kids:
         if kid.__class__ is not Node:
             out.append(kid)
-        elif kid.tag == "math":
+        elif kid.tag in ("math", "display"):
             out.append(f"${kid.kids[0]}$")
         elif kid.tag == "br":
             out.append("\n")
@@ -776,8 +777,8 @@ def render(nodes: list[Node]) -> str:
         for kid in node.kids:
             if kid.__class__ is not Node:
                 run.append(kid)
-            elif kid.tag == "math" and ("\n" not in kid.kids[0]) and run and run[-1].strip():
-                run.append(f"${kid.kids[0]}$")
+            elif kid.tag == "math":
+                run.append(f"${_words(kid.kids[0])}$")
             elif kid.tag not in BLOCKS or depth > 100:
                 run.append("\n" if kid.tag == "br" else "" if kid.tag == "ref" else _flat(kid))
             else:
@@ -786,8 +787,8 @@ def render(nodes: list[Node]) -> str:
                     out.append(f"{'#' * int(kid.tag[1])} {_words(_flat(kid))}")
                 elif kid.tag == "pre":
                     out.append(f"```\n{kid.kids[0]}\n```")
-                elif kid.tag == "math":
-                    out.append(f"${_words(kid.kids[0])}$")
+                elif kid.tag == "display":
+                    out.append(f"$${_words(kid.kids[0])}$$")
                 elif kid.tag in ("ul", "ol", "dl"):
                     items(kid, depth)
                 elif kid.tag == "table":

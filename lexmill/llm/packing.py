@@ -4,9 +4,10 @@ Items are spread over blocks by a hash, each block is packed by best fit: bins
 are ordered by their residual, each carries the sources and the clusters of
 equal texts it holds as bitmaps, and the successor search goes up from the
 item's size to the tightest bin without a copy of the item. Of equally tight
-bins one without the item's source is taken first. Only where every bin with
-room holds a copy is the tightest of them used, since leaving space unused is
-worse; a new bin is opened only if none has room.
+bins one without the item's source is taken first. Where every bin with room
+holds a copy, a new bin is opened. Only in a block where that leaves more than
+SLACK of the space unused, as when most items are copies of one text, copies may
+share a bin, since unused space is worse.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from lexmill.session import cut, table
 
 #: Items of one block; each block leaves at most about one bin part-filled.
 BLOCK_ITEMS = 50_000
+#: Share of unused space up to which copies are kept apart.
+SLACK = 0.01
 
 
 def _low(bits: int) -> int:
@@ -28,7 +31,16 @@ def _low(bits: int) -> int:
 
 
 def best_fit(sizes, sources, clusters, capacity: int) -> np.ndarray:
-    """The bin of each item; items come largest first, none larger than capacity.
+    """The bin of each item; items come largest first, none larger than capacity."""
+    bins = _best_fit(sizes, sources, clusters, capacity, apart=True)
+    n_bins = int(bins.max()) + 1 if len(bins) else 0
+    if n_bins * capacity <= sum(sizes) * (1 + SLACK) + capacity:
+        return bins
+    return _best_fit(sizes, sources, clusters, capacity, apart=False)
+
+
+def _best_fit(sizes, sources, clusters, capacity: int, apart: bool) -> np.ndarray:
+    """Best fit with copies always apart, or together where else a new bin was needed.
 
     ``at[r]`` is the bitmap of the bins with residual r, ``open_`` the bitmap of
     the residuals in use, ``holding[c]`` and ``from_[s]`` the bitmaps of the
@@ -52,7 +64,7 @@ def best_fit(sizes, sources, clusters, capacity: int) -> np.ndarray:
                 break
             left &= left - 1
         last, resume = (size, cluster), residual if chosen is not None else capacity + 1
-        if chosen is None and open_ >> size:
+        if chosen is None and not apart and open_ >> size:
             residual = size + _low(open_ >> size)
             chosen = _low(at[residual] & ~from_.get(source, 0) or at[residual])
         if chosen is None:
