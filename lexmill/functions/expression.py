@@ -197,7 +197,8 @@ def truth(text: str) -> bool | None:
     if not text.strip():
         return False
     try:
-        return evaluate(text) != 0
+        value = evaluate(text)
+        return value != 0 if math.isfinite(value) else None
     except ExpressionError:
         return None
 

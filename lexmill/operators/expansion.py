@@ -22,7 +22,7 @@ def _expander(schema_key: list[str], modules: dict, settings: dict, shared=None)
         for pdf in frames:
             rows = []
             for *key, title, text, own in pdf[[*schema_key, "title", "source", "templates"]].itertuples(index=False, name=None):
-                known = everywhere if everywhere is not None else dict(own) if own is not None else {}
+                known = everywhere if everywhere is not None else {x["name"]: x["source"] for x in own} if hasattr(own, "__len__") else {}
                 if text is None:
                     rows.append((*key, None, None))
                     continue

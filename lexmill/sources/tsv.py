@@ -58,7 +58,7 @@ def checked(df: DataFrame, name: str) -> DataFrame:
 def redirects(spark: SparkSession, path: str) -> DataFrame:
     """page_id, ns, title, interwiki, fragment with the hexadecimal columns decoded."""
     raw = checked(read(spark, path, "redirects"), "redirects")
-    return raw.select("page_id", "ns", *[F.decode(F.unhex(f"{c}_hex"), "UTF-8").alias(c) for c in ("title", "interwiki", "fragment")])
+    return raw.select("page_id", "ns", *[F.decode(F.unhex(F.coalesce(f"{c}_hex", F.lit(""))), "UTF-8").alias(c) for c in ("title", "interwiki", "fragment")])
 
 
 def registry(spark: SparkSession, path: str) -> DataFrame:
@@ -106,6 +106,6 @@ def catalogue(spark: SparkSession, path: str) -> DataFrame:
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """The headings of a language manifest, whose first line is ``heading``; blank lines are errors."""
-    lines = spark.read.text(path, wholetext=True).select(F.split(F.rtrim("value"), "\r?\n").alias("l"))
+    lines = spark.read.text(path, wholetext=True).select(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n").alias("l"))
     fine = F.when(F.col("l")[0] != "heading", F.raise_error(F.lit("no manifest"))).otherwise(F.slice("l", 2, 1_000_000))
     return lines.select(F.posexplode(fine).alias("position", "heading")).where(F.when(F.trim("heading") == "", F.raise_error(F.lit("blank heading"))).otherwise(F.lit(True)))
