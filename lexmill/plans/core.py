@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.operators import accounting as A
-from lexmill.operators import expansion, graphs, ranks, reader
+from lexmill.operators import entries, expansion, graphs, ranks, reader, resolution
 from lexmill.operators import sequences as Q
 from lexmill.session import table
 
@@ -416,3 +416,50 @@ def pages_expanded(s, d):
     pages = _wiki_sources(s, d)
     templates = s.createDataFrame([("m", "''{{{2}}}''{{#if:{{{tr|}}}| ({{{tr}}})}}"), ("l", "[[{{{2}}}]]"), ("lb", "({{{2|}}})"), ("q", "({{{1}}}: {{{2|}}})")], "name string, source string")
     return expansion.expanded(pages, templates, ["revision_id"])
+
+
+# ---- entries, names -----------------------------------------------------------------
+
+
+def _entries(s, d):
+    pages = _wiki_sources(s, d).select("revision_id", "title", F.lit("en").alias("language"), "source")
+    return entries.compiled(pages, ["revision_id"])
+
+
+@query()
+def entries_compiled(s, d):
+    return _entries(s, d)
+
+
+@query("""select revision_id, true as valid from (select distinct revision_id from bundle_pages where source is not null and source <> '')""")
+def entries_valid(s, d):
+    return _entries(s, d).select("revision_id", entries.is_valid(F.col("entry")).alias("valid"))
+
+
+@query()
+def entries_text(s, d):
+    e = F.col("entry")
+    return _entries(s, d).select("revision_id", entries.plain_text(e).alias("text"), entries.metrics(e).alias("m")).select("revision_id", "text", "m.*")
+
+
+@query("""select title, coalesce(id, 0) as ns, case when id is not null then trim(substring(title, instr(title, ':') + 1), ' ') else title end as rest
+  from (select distinct title from pages where title is not null) p left join (select distinct id, lower(name) as k from namespace_registry where name <> '' union select distinct id, lower(canonical_name) from namespace_registry where canonical_name <> '') n
+  on contains(p.title, ':') and n.k = lower(split_part(p.title, ':', 1))""")
+def title_namespaces(s, d):
+    return resolution.namespaces(table(s, d, "pages").where("title is not null"), table(s, d, "namespace_registry"))
+
+
+@query("""with r as (select distinct lang as code, upper(lang) as name from documents where lang is not null)
+  select name, code, case when code = 'en' then 'English' end as heading from r where code in ('en') union all select name, null, null from r where code not in ('en')""")
+def language_names(s, d):
+    registry = s.createDataFrame([("en", "canonical", "English", True), ("en", "code", "en", True)], "code string, kind string, name string, trusted boolean")
+    names = table(s, d, "documents").where("lang is not null").select(F.upper("lang").alias("name"))
+    return resolution.languages(names, registry)
+
+
+@query("""with d as (select distinct title from pages where title is not null) select title, 4 as n_choices, true as has_answer from d where false""")
+def study_card_errors(s, d):
+    """Cards with a repeated choice or without their answer: none."""
+    cards = resolution.study_cards(table(s, d, "pages").where("title is not null"), 4, 11, 100)
+    bad = cards.where((F.size(F.array_distinct("choices")) != 4) | ~F.array_contains("choices", F.col("title")))
+    return bad.select("title", F.size("choices").alias("n_choices"), F.array_contains("choices", F.col("title")).alias("has_answer"))
