@@ -18,4 +18,17 @@ QUERIES = {
     "p9_shares": lambda s, d: spans.shares(spans.corpus(s, d)),
     "p9_passages": lambda s, d: spans.fuzzy_passages(spans.corpus(s, d)),
 }
-SQL: dict[str, str] = {}
+_WINDOWS = """
+with w as (select doc_id, i, substring(text, i, 120) as s from (select doc_id, text, unnest(range(1, length(text) - 118)) as i from documents where length(text) >= 120)),
+g as (select distinct s, doc_id from w), d as (select s from g group by s having count(*) > 1)
+"""
+
+SQL: dict[str, str] = {
+    "p9_found": _WINDOWS + ", j as (select g.doc_id, g.s from g join d using (s)) select distinct a.doc_id as doc_id_a, b.doc_id as doc_id_b from j a join j b on a.s = b.s and a.doc_id < b.doc_id",
+    "p9_shares": _WINDOWS
+    + """, c as (select w.doc_id, w.i from w join d using (s)),
+      n as (select doc_id, least(120, coalesce(i - lag(i) over (partition by doc_id order by i), 120)) as new from c),
+      t as (select doc_id, sum(new) as covered from n group by 1)
+      select doc_id, coalesce(length(text), 0) as n_chars, cast(coalesce(covered, 0) as bigint) as shared_chars,
+        case when length(text) > 0 then round(coalesce(covered, 0) / length(text), 6) else 0.0 end as share from documents left join t using (doc_id)""",
+}
