@@ -65,7 +65,57 @@ _TREE_ROWS = """, rows as (
     case when cyc then -1 else steps end as depth, cyc as in_cycle, case when cyc then null else path end as path from last)
 """
 
+
+
+def _plain_json(column: str) -> str:
+    return f"case when not json_valid({column}) then null when json_type(cast({column} as json)) <> 'VARCHAR' then cast({column} as json) when json_valid(json_extract_string({column}, '$')) then cast(json_extract_string({column}, '$') as json) end as {column}"
+
+
+def _list(x: str) -> str:
+    return f"case json_type({x}) when 'ARRAY' then cast({x} as json[]) when 'OBJECT' then [{x}] else cast([] as json[]) end"
+
+
+_NESTED = f"""
+with src as (select distinct capture_id, claims, forms, senses from wikibase),
+n as (select capture_id, {_plain_json("claims")}, {_plain_json("forms")}, {_plain_json("senses")} from src),
+parts as (
+  select capture_id, 'forms/' || generate_subscripts(l, 1) as owner, unnest(l) as x from (select capture_id, {_list("forms")} as l from n)
+  union all select capture_id, 'senses/' || generate_subscripts(l, 1), unnest(l) from (select capture_id, {_list("senses")} as l from n)),
+owners as (select capture_id, '' as owner, claims from n union all select capture_id, owner, json_extract(x, '$.claims') from parts where json_type(x) = 'OBJECT'),
+props as (select capture_id, owner, claims, unnest(json_keys(claims)) as property from owners where json_type(claims) = 'OBJECT'),
+lists as (select capture_id, owner, property, json_extract(claims, '$."' || property || '"') as x from props),
+st as (select capture_id, owner, property, generate_subscripts(l, 1) as position, unnest(l) as x from (select *, {_list("x")} as l from lists)),
+statements as (select capture_id, case owner when '' then '' else owner || '/' end || 'claims/' || property || '/' || position as node_path, owner as parent_path, property, position, x from st),
+refs as (select capture_id, node_path, generate_subscripts(l, 1) as j, unnest(l) as x from (select capture_id, node_path, {_list("json_extract(x, '$.references')")} as l from statements)),
+groups as (
+  select capture_id, node_path as parent_path, 'qualifier' as role, node_path || '/qualifiers/' as base, json_extract(x, '$.qualifiers') as g from statements
+  union all select capture_id, node_path, 'reference', node_path || '/references/' || j || '/', json_extract(x, '$.snaks') from refs),
+keyed as (select *, unnest(json_keys(g)) as property from groups where json_type(g) = 'OBJECT'),
+valued as (select capture_id, parent_path, role, base, property, json_extract(g, '$."' || property || '"') as x from keyed),
+placed as (select capture_id, parent_path, role, base, property, generate_subscripts(l, 1) as position, unnest(l) as x from (select *, {_list("x")} as l from valued)),
+snaks as (
+  select capture_id, node_path || '/mainsnak' as node_path, node_path as parent_path, 'mainsnak' as role, property, 1 as position, json_extract(x, '$.mainsnak') as x from statements
+  union all select capture_id, base || property || '/' || position, parent_path, role, property, position, x from placed)
+"""
+_LEMMAS = """
+lj as (select distinct capture_id, case when json_valid(lemmas) and lemmas like '"%' then json_extract_string(lemmas, '$') else lemmas end as j from wikibase),
+lv as (select capture_id, cast(j as json) as j from lj where json_valid(j)),
+mapped as (select capture_id, unnest(json_keys(j)) as language, j from lv where json_type(j) = 'OBJECT'),
+valued_l as (select capture_id, language, json_extract(j, '$."' || language || '"') as x from mapped),
+listed as (select capture_id, unnest(cast(j as json[])) as x from lv where json_type(j) = 'ARRAY'),
+every as (
+  select capture_id, language, case when json_type(x) = 'OBJECT' then json_extract_string(x, '$.value') else json_extract_string(x, '$') end as value from valued_l
+  union all select capture_id, json_extract_string(x, '$.language'), json_extract_string(x, '$.value') from listed)
+"""
+
 SQL = {
+    "p3_hierarchy": _TREE + """, down as (select here as node, count(*) - 1 as n_descendants from up u where exists (select 1 from last l where l.start = u.start and not l.cyc) group by here)
+      select l.start as node_id, (select parent from edges where child = l.start) as parent_id, case when l.cyc then list_min(list_slice(l.seen, list_position(l.seen, l.here), len(l.seen))) else l.here end as root_id,
+        cast(case when l.cyc then -1 else l.steps end as int) as depth, case when not l.cyc then row_number() over (partition by l.cyc, l.here order by list_reverse(l.seen)) - 1 end as pre,
+        case when not l.cyc then d.n_descendants end as n_descendants, l.cyc as in_cycle, case when l.cyc then null else l.path end as path from last l left join down d on d.node = l.start""",
+    "p5_found": _NESTED + "," + _LEMMAS + """select capture_id, node_path from snaks where json_type(x) = 'OBJECT'
+      union select capture_id, 'lemmas/' || language from every where value is not null and language is not null""",
+    "p5_statements": _NESTED + """select distinct capture_id, node_path, parent_path, property, cast(position as int) as position, json_extract_string(x, '$.id') as claim_id, json_extract_string(x, '$.rank') as rank, json_extract_string(x, '$.type') as type from statements""",
     "p3_found": _TREE + _TREE_ROWS + "select node_id, root_id, cast(depth as integer) as depth from rows where parent_id is not null",
     "p3_descendants": _TREE + """select u.here as node_id, u.start as descendant_id, cast(u.steps as integer) as steps
         from up u join last l on l.start = u.start where not l.cyc and u.steps > 0""",
