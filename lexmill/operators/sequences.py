@@ -55,25 +55,44 @@ def evict_oldest(files: DataFrame, order: list[str], size: str, cap: int) -> Dat
     return placed.withColumn("keep", F.col("_run") <= cap).drop("_day", "_start", "_run")
 
 
-def batches(titles: DataFrame, group: str, order: list[str], title: str, max_count: int, max_chars: int) -> DataFrame:
-    """Each group's titles with a batch number; a batch ends at a number of titles or a length."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([*order], kind="stable")
-        batch = n = chars = 0
-        out = []
-        for text in pdf[title]:
-            size = len(text.encode()) + 1
-            if n and (n >= max_count or chars + size > max_chars):
-                batch, n, chars = batch + 1, 0, 0
-            n, chars = n + 1, chars + size
-            out.append(batch)
-        pdf["batch"] = out
-        return pdf
+def in_order(df: DataFrame, group: list[str], order: list[str], start, step, schema: str) -> DataFrame:
+    """Rows of each group in order, each with what ``step(state, row)`` gives; ``start()`` makes a group's state.
+
+    Groups come sorted through their task and only the state of one is kept, so
+    neither many small groups nor a huge one costs memory or calls.
+    """
+    columns = df.columns
+    n = len(group)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key = state = None
+        for pdf in frames:
+            out = []
+            for row in pdf.itertuples(index=False, name=None):
+                if state is None or row[:n] != key:
+                    key, state = row[:n], start()
+                out.append(step(state, row))
+            yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(out, columns=added, dtype=object)], axis=1)
 
+    added = [c.split()[0] for c in schema.split(",")]
+    shape = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in columns)
+    return df.repartition(*group).sortWithinPartitions(*group, *order).mapInPandas(run, f"{shape}, {schema}")
+
+
+def batches(titles: DataFrame, group: str, order: list[str], title: str, max_count: int, max_chars: int) -> DataFrame:
+    """Each group's titles with a batch number; a batch ends at a number of titles or a length. Null titles are left out."""
     kept = list(dict.fromkeys([group, *order, title]))
-    schema = ", ".join(f"{c} {titles.schema[c].dataType.simpleString()}" for c in kept) + ", batch int"
-    return titles.select(*kept).where(F.col(title).isNotNull()).groupBy(group).applyInPandas(lambda pdf: run(pdf)[[*kept, "batch"]], schema)
+    at = kept.index(title)
+
+    def step(state: list[int], row: tuple) -> tuple[int]:
+        size = len(row[at].encode()) + 1
+        if state[1] and (state[1] >= max_count or state[2] + size > max_chars):
+            state[:] = [state[0] + 1, 0, 0]
+        state[1] += 1
+        state[2] += size
+        return (state[0],)
+
+    return in_order(titles.select(*kept).where(F.col(title).isNotNull()), [group], order, lambda: [0, 0, 0], step, "batch int")
 
 
 # wikitext lines and sections
@@ -142,26 +161,21 @@ def sense_layout(lines: DataFrame, key: list[str]) -> DataFrame:
 
     A definition closes the deeper ones. Depths are at most 255, mostly below 5.
     """
-    schema = ", ".join(f"{c} {lines.schema[c].dataType.simpleString()}" for c in key)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord")
-        open_: dict[int, int] = {}
-        parents, senses = [], []
-        for at, kind, depth in zip(pdf["ord"], pdf["kind"], pdf["depth"], strict=True):
-            parent = sense = None
-            if kind == "definition":
-                for d in [d for d in open_ if d >= depth]:
-                    del open_[d]
-                parent = open_[max(open_)] if open_ else None
-                open_[depth] = at
-            elif kind in ("example", "quotation", "list_detail"):
-                sense = open_.get(depth - 1)
-            parents.append(parent)
-            senses.append(sense)
-        return pdf.assign(parent=pd.array(parents, "Int32"), sense=pd.array(senses, "Int32"))[[*key, "ord", "kind", "depth", "parent", "sense"]]
-
-    return lines.select(*key, "ord", "kind", "depth").groupBy(*key).applyInPandas(run, f"{schema}, ord int, kind string, depth int, parent int, sense int")
+    n = len(key)
+
+    def step(open_: dict[int, int], row: tuple) -> tuple[int | None, int | None]:
+        at, kind, depth = row[n:]
+        parent = sense = None
+        if kind == "definition":
+            for d in [d for d in open_ if d >= depth]:
+                del open_[d]
+            parent = open_[max(open_)] if open_ else None
+            open_[depth] = at
+        elif kind in ("example", "quotation", "list_detail"):
+            sense = open_.get(depth - 1)
+        return parent, sense
+
+    return in_order(lines.select(*key, "ord", "kind", "depth"), key, ["ord"], dict, step, "parent int, sense int")
 
 
 def part_of_speech(heading: Column) -> Column:
