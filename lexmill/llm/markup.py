@@ -134,7 +134,8 @@ _MARK = re.compile(
 _SIGNS = re.compile(r"[<>\[\]{}|\\*#=`~$_&;+'-]|^[ \t]*\d+\.[ \t]|^ {4}", re.M)
 _HIDES = re.compile(r"<[!A-Za-z]|```|~~~|\\begin\{|`")
 _MATH_SPAN = re.compile(r"<span\s+class=.?math", re.I)
-_WIKI_TAG = re.compile(r"<(?:ref|nowiki|syntaxhighlight|source|math)\b", re.I)
+_INDENTED = re.compile(r"(?:\A|\n[ \t]*\r?\n)(?: {4}[^\n]*(?:\n|\Z))+")
+_WIKI_TAG = re.compile(r"<(?:pre|ref|nowiki|syntaxhighlight|source|math)\b", re.I)
 _FENCED = re.compile(r"^(?:```|~~~)", re.M)
 _TICKED = re.compile(r"`[^`\n]+`")
 _DOLLARS = re.compile(r"\$(?=[^\s$])[^$\n]*[\\^_={][^$\n]*(?<=[^\s$])\$(?!\d)")
@@ -153,9 +154,11 @@ def markup_of(source: str, hint: str | None = None) -> str:
     tex = 0
     if "\\" in source and not _MATH_SPAN.search(source):
         tex = 2 * len(_TEX.findall(bare)) + 3 * ("\\begin{verbatim}" in source or "\\begin{lstlisting}" in source)
-    wiki = 2 * len(_WIKI.findall(bare))
+    # what an indented block holds tells nothing but that it is one
+    open_text = _INDENTED.sub("\n\n", bare) if "    " in bare else bare
+    wiki = 2 * len(_WIKI.findall(open_text))
     if "<" in source:
-        wiki += len(_TAGGED.findall(source)) + 2 * bool(_WIKI_TAG.search(source))
+        wiki += len(_TAGGED.findall(open_text)) + 2 * bool(_WIKI_TAG.search(source))
     mark = 2 * len(_MARK.findall(bare)) + 3 * bool(_FENCED.search(source))
     if "`" in source and "``" not in source:
         mark += 2 * bool(_TICKED.search(source))
