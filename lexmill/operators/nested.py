@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.functions.lazy import let
 from lexmill.session import table
 
 #: How often a text that is itself a JSON string is read through.
@@ -33,11 +34,14 @@ def unwrapped(text: Column) -> Column:
     """Complete JSON text without outer string encoding, else null."""
     text = _whole(text)
     for _ in range(LAYERS):
-        inner = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")[0]
-        text = F.when(_starts(text, '"'), _whole(inner)).otherwise(text)
+        text = let(text, lambda x: F.when(_starts(x, '"'), let(_inner(x), _whole)).otherwise(x))
     return text
 
 
+def _inner(text: Column) -> Column:
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")[0]
+
+
 def items(text: Column) -> Column:
     """The elements of a list as text; an object counts as a list of one, anything else as empty."""
     none = F.array().cast("array<string>")
@@ -81,7 +85,9 @@ def claims_table(captures: DataFrame) -> DataFrame:
     form or sense. Columns that are null or no complete JSON give no rows.
     """
     held = lambda part: F.from_json(part["text"], "struct<claims:string>")["claims"]
-    claims, forms, senses = (unwrapped(F.col(c)) for c in ("claims", "forms", "senses"))
+    # a projection of its own, so each column is read once however often it is used
+    captures = captures.select("capture_id", *[unwrapped(F.col(c)).alias(c) for c in ("claims", "forms", "senses")])
+    claims, forms, senses = (F.col(c) for c in ("claims", "forms", "senses"))
     every = F.concat(
         _statements(claims, F.lit("")),
         F.flatten(F.transform(_parts(forms, "forms"), lambda p: _statements(held(p), p["node_path"]))),
@@ -125,7 +131,7 @@ def lemmas_table(captures: DataFrame) -> DataFrame:
     An object maps languages to lemmas; in a list each lemma names its own
     language. A lemma is an object with a value or plain text; null gives no row.
     """
-    text = unwrapped(F.col("lemmas"))
+    captures, text = captures.select("capture_id", unwrapped(F.col("lemmas")).alias("lemmas")), F.col("lemmas")
     shape = "struct<language:string,value:string>"
     mapped = F.transform(entries(text), lambda kv: F.struct(kv["key"].alias("language"), F.when(_starts(kv["value"], "{"), F.from_json(kv["value"], shape)["value"]).otherwise(kv["value"]).alias("value")))
     listed = F.transform(items(text), lambda x: F.from_json(x, shape))
@@ -144,7 +150,8 @@ def parts_table(captures: DataFrame) -> DataFrame:
     def one(kind: str):
         return lambda p: F.struct(F.lit(kind).alias("kind"), p["node_path"].alias("node_path"), p["position"].alias("position"), F.from_json(p["text"], read).alias("b"))
 
-    every = F.concat(*[F.transform(_parts(unwrapped(F.col(c)), c), one(c)) for c in ("forms", "senses")])
+    captures = captures.select("capture_id", *[unwrapped(F.col(c)).alias(c) for c in ("forms", "senses")])
+    every = F.concat(*[F.transform(_parts(F.col(c), c), one(c)) for c in ("forms", "senses")])
     texts = F.transform(entries(F.coalesce("b.representations", "b.glosses")), lambda kv: F.struct(kv["key"].alias("language"), F.from_json(kv["value"], "struct<value:string>")["value"].alias("value")))
     return captures.select("capture_id", F.inline(every)).where("b is not null").select("capture_id", "node_path", "kind", "position", F.col("b.id").alias("part_id"), items(F.col("b.grammaticalFeatures")).alias("features"), texts.alias("texts"))
 
