@@ -13,6 +13,8 @@ from lexmill.wikitext import expand
 
 #: Most redirects that are followed from one title.
 MAX_HOPS = 32
+#: Hops of one job; a job's plan and its repeated work grow with them.
+STEPS = 4
 
 
 def references(pages: DataFrame, key: list[str], body: str, included: bool = False) -> DataFrame:
@@ -37,18 +39,25 @@ def references(pages: DataFrame, key: list[str], body: str, included: bool = Fal
 def reachable(edges: DataFrame, roots: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """(node, hops): all nodes that can be reached from the roots, and how near they are.
 
-    edges: src, dst. Each round joins only the frontier; null ends are no edges.
+    edges: src, dst; null ends are no edges. A job expands the frontier by STEPS
+    hops, so long chains need fewer jobs; only the last layer is the next frontier.
     """
     edges = cut(edges.select("src", "dst").where("src is not null and dst is not null").distinct())
     seen = cut(roots.select(F.col(roots.columns[0]).alias("node")).where("node is not null").distinct().withColumn("hops", F.lit(0)))
-    frontier, hops = seen, 0
+    frontier, hops = seen.select("node"), 0
     while max_rounds is None or hops < max_rounds:
-        hops += 1
-        new = frontier.join(edges, frontier["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
-        frontier = cut(new.join(seen, "node", "left_anti").withColumn("hops", F.lit(hops)))
-        if frontier.isEmpty():
+        steps = STEPS if max_rounds is None else min(STEPS, max_rounds - hops)
+        layers = None
+        for step in range(1, steps + 1):
+            frontier = frontier.join(edges, frontier["node"] == edges["src"]).select(F.col("dst").alias("node")).distinct()
+            layer = frontier.withColumn("hops", F.lit(hops + step))
+            layers = layer if layers is None else layers.unionByName(layer)
+        hops += steps
+        new = cut(layers.groupBy("node").agg(F.min("hops").alias("hops")).join(seen, "node", "left_anti"))
+        if new.isEmpty():
             break
-        seen = cut(seen.unionByName(frontier))
+        seen = cut(seen.unionByName(new))
+        frontier = new.where(F.col("hops") == hops).select("node")
     return seen
 
 
@@ -81,9 +90,11 @@ def components(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     left = cut(nodes.select(F.col(nodes.columns[0]).alias("node")).where("node is not null").distinct())
     done = None
     while True:
+        edges = edges.join(left.select(F.col("node").alias("src")), "src", "left_semi").join(left.select(F.col("node").alias("dst")), "dst", "left_semi").select("src", "dst")
         while True:
-            inner = edges.join(left.select(F.col("node").alias("src")), "src", "left_semi").join(left.select(F.col("node").alias("dst")), "dst", "left_semi").select("src", "dst")
-            edges = cut(inner)
+            for _ in range(STEPS):
+                edges = edges.join(edges.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").join(edges.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst")
+            edges = cut(edges)
             both = edges.select(F.col("src").alias("node")).distinct().intersect(edges.select(F.col("dst").alias("node")).distinct())
             single = cut(left.join(both, "node", "left_anti").withColumn("component", F.col("node")))
             if single.isEmpty():
@@ -106,8 +117,11 @@ def _least(edges: DataFrame, nodes: DataFrame, start: str, end: str) -> DataFram
     """(node, label): the least node from which each node can be reached."""
     labels = cut(nodes.withColumn("label", F.col("node")))
     while True:
-        sent = edges.join(labels, edges[start] == labels["node"]).select(F.col(end).alias("node"), "label")
-        new = cut(labels.unionByName(sent).groupBy("node").agg(F.min("label").alias("label")))
+        new = labels
+        for _ in range(STEPS):
+            sent = edges.join(new, edges[start] == new["node"]).select(F.col(end).alias("node"), "label")
+            new = new.unionByName(sent).groupBy("node").agg(F.min("label").alias("label"))
+        new = cut(new)
         if new.join(labels, ["node", "label"], "left_anti").isEmpty():
             return new
         labels = new
@@ -126,10 +140,13 @@ def reach(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     links = cut(edges.join(a, "src").join(b, "dst").where("a <> b").select("a", "b").distinct())
     wave = cut(parts.join(seeds, "node", "left").groupBy("component").agg(F.sum(F.coalesce("value", F.lit(0))).cast("decimal(38,0)").alias("value")))
     top = F.lit((1 << 63) - 1).cast("decimal(38,0)")
-    total = wave
+    total, waves = wave, 0
     while True:
         wave = cut(links.join(wave, links["a"] == wave["component"]).groupBy("b").agg(F.least(F.sum("value"), top).cast("decimal(38,0)").alias("value")).where("value > 0").toDF("component", "value"))
         if wave.isEmpty():
             break
-        total = cut(total.unionByName(wave).groupBy("component").agg(F.least(F.sum("value"), top).cast("decimal(38,0)").alias("value")))
+        total, waves = total.unionByName(wave), waves + 1
+        if waves % 16 == 0:
+            total = cut(total.groupBy("component").agg(F.least(F.sum("value"), top).cast("decimal(38,0)").alias("value")))
+    total = total.groupBy("component").agg(F.least(F.sum("value"), top).cast("decimal(38,0)").alias("value"))
     return total.select("component", F.col("value").cast("long").alias("reach"))
