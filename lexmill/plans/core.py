@@ -93,7 +93,7 @@ def attempts_latest(s, d):
     return A.latest_attempts(rows, ["page_id"], ["requested_at", "request_id"], F.col("outcome") == "expanded")
 
 
-@query("""select worker_slot, max(length(source)) as max_size, min(request_id) filter (length(source) = m) as witness, cast(sum(length(source)) as bigint) as total_size,
+@query("""select worker_slot, cast(max(length(source)) as int) as max_size, min(request_id) filter (length(source) = m) as witness, cast(sum(length(source)) as bigint) as total_size,
   case when count(duration_ms) = count(*) then round(sum(duration_ms), 3) end as exact_total
   from (select *, max(length(source)) over (partition by worker_slot) as m from bundle_expander) group by worker_slot""")
 def reader_envelope(s, d):
