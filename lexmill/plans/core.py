@@ -202,6 +202,13 @@ def lookup_folded(s, d):
     return reader.folded_many(entries, wanted)
 
 
+@query()
+def lookup_folded_all(s, d):
+    """lookup_folded over titles in every script; DuckDB's lower() differs there, so it has no SQL."""
+    wanted = table(s, d, "bundle_pages").where("title is not null").select(F.col("title").alias("query"))
+    return reader.folded_many(reader.prepared(_titles(s, d)), wanted)
+
+
 _ASCII = "regexp_full_match(title, '[ -~]*')"
 
 
@@ -209,10 +216,20 @@ _ASCII = "regexp_full_match(title, '[ -~]*')"
   select id, title, (select count(*) from m) as total, 5 + 20 < (select count(*) from m) as has_more from (select * from m order by title_lc, title, id limit 20 offset 5)""")
 def search_page(s, d):
     entries = reader.prepared(_titles(s, d).where(F.col("title").rlike("^[ -~]*$")).select("id", "title"))
+    return _search_page(entries)
+
+
+def _search_page(entries):
     hits = reader.prefix(entries, "ca", "title_lc")
     return reader.page(hits, ["title_lc", "title", "id"], 20, 5).select("id", "title", "total", "has_more")
 
 
+@query()
+def search_page_all(s, d):
+    """search_page over titles in every script, without SQL as lookup_folded_all."""
+    return _search_page(reader.prepared(_titles(s, d).select("id", "title")))
+
+
 @query(f"select id, title from {_T} where starts_with(title, 'Category:B')")
 def prefix_bytes(s, d):
     return reader.prefix(_titles(s, d), "Category:B").select("id", "title")
