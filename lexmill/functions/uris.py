@@ -19,14 +19,15 @@ def encode(x, mode: str = "QUERY") -> Column:
     """QUERY (+ for spaces), PATH (%20) or WIKI (_ and some signs kept); an unknown mode is QUERY."""
     x = col(x)
     mode = mode.upper()
+    plain = F.replace(F.replace(F.url_encode(x), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
     if mode == "PATH":
-        return F.replace(F.replace(F.url_encode(x), F.lit("+"), F.lit("%20")), F.lit("%7E"), F.lit("~"))
+        return F.replace(plain, F.lit("+"), F.lit("%20"))
     if mode == "WIKI":
         out = F.url_encode(F.replace(x, F.lit(" "), F.lit("_")))
         for code, char in WIKI_KEEP.items():
             out = F.replace(out, F.lit(code), F.lit(char))
         return out
-    return F.url_encode(x)
+    return plain
 
 
 def decode(x, mode: str = "QUERY") -> Column:

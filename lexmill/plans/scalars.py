@@ -40,19 +40,36 @@ def string_basics(s, d):
   case when contains(title, ' ') then string_split(title, ' ')[1] else title end as word, len(string_split(title, ' ')) as n_words, trim(title, 'aeiou') as trimmed, title as again
   from {_P} where regexp_full_match(title, '[ -~]*')""")
 def string_more(s, d):
+    return _string_more(_pages(s, d).where(F.col("title").rlike("^[ -~]*$")))
+
+
+def _string_more(rows):
     t = F.col("title")
-    rows = _pages(s, d).where(t.rlike("^[ -~]*$"))
     words = S.split_plain(t, " ")
     return rows.select("id", "title", S.first_upper(t).alias("up_first"), S.first_lower(t).alias("low_first"), F.hex(F.encode(t, "UTF-8")).alias("bytes"), F.md5(t).alias("hash"), words[0].alias("word"), F.size(words).cast("bigint").alias("n_words"), S.trim(t, "aeiou").alias("trimmed"), S.from_codepoints(S.codepoints(t)).alias("again"))
 
 
+@query()
+def string_more_all(s, d):
+    return _string_more(_pages(s, d))
+
+
 @query(f"""select id, title, case when length(title) > 5 and length(left(title, 5) || '…') < length(title) then left(title, 5) || '…' else title end as cut,
   case when length(title) < 12 then lpad(title, 12, '*') else title end as padded_left, case when length(title) < 12 then rpad(title, 12, 'ab') else title end as padded_right,
   replace(replace(replace(replace(replace(title, '&', '&amp;'), '>', '&gt;'), '<', '&lt;'), '"', '&quot;'), '''', '&#39;') as encoded,
   '<b id="' || replace(title, '''', '&#39;') || '" x>' || title || '</b>' as tagged from {_P} where not regexp_matches(title, '[&<>"]')""")
 def string_layout(s, d):
+    return _string_layout(_pages(s, d).where(~F.col("title").rlike('[&<>"]')))
+
+
+def _string_layout(rows):
     t = F.col("title")
-    return _pages(s, d).where(~t.rlike('[&<>"]')).select("id", "title", S.truncate(t, 5).alias("cut"), S.pad(t, 12, "*").alias("padded_left"), S.pad(t, 12, "ab", left=False).alias("padded_right"), S.html_encode(t).alias("encoded"), S.tag("b", [("id", t), ("x", True), ("y", False)], t).alias("tagged"))
+    return rows.select("id", "title", S.truncate(t, 5).alias("cut"), S.pad(t, 12, "*").alias("padded_left"), S.pad(t, 12, "ab", left=False).alias("padded_right"), S.html_encode(t).alias("encoded"), S.tag("b", [("id", t), ("x", True), ("y", False)], t).alias("tagged"))
+
+
+@query()
+def string_layout_all(s, d):
+    return _string_layout(_pages(s, d))
 
 
 @query("""with w as (select user_id, list(distinct event_type order by event_type) as a from events group by 1)
@@ -66,11 +83,19 @@ def list_functions(s, d):
 @query(f"""select id, title, regexp_extract(title, '^([A-Za-z]+)', 1) as lead, regexp_replace(title, '[aeiou]', '<>', 'g') as marked, len(regexp_extract_all(title, '[A-Za-z]+')) as n_words,
   regexp_replace(title, '([a-z])([a-z])', '\\2\\1', 'g') as swapped from {_P} where regexp_full_match(title, '[A-Za-z][ -~]*')""")
 def lua_patterns(s, d):
+    return _lua_patterns(_pages(s, d).where(F.col("title").rlike("^[A-Za-z][ -~]*$")))
+
+
+def _lua_patterns(rows):
     t = F.col("title")
-    rows = _pages(s, d).where(t.rlike("^[A-Za-z][ -~]*$"))
     return rows.select("id", "title", patterns.match_column(t, "^(%a+)", unicode=False).alias("lead"), patterns.gsub_column(t, "[aeiou]", "<>").alias("marked"), F.size(patterns.gmatch_column(t, "%a+", unicode=False)).cast("bigint").alias("n_words"), patterns.gsub_column(t, "(%l)(%l)", "%2%1", unicode=False).alias("swapped"))
 
 
+@query()
+def lua_patterns_all(s, d):
+    return _lua_patterns(_pages(s, d))
+
+
 @query()
 def lua_patterns_python(s, d):
     t = F.col("title")
@@ -79,19 +104,37 @@ def lua_patterns_python(s, d):
 
 @query(f"select id, title, replace(url_encode(title), '%20', '+') as q, replace(replace(url_encode(replace(title, ' ', '_')), '%3A', ':'), '%2F', '/') as w, title as back from {_P} where regexp_full_match(title, '[A-Za-z0-9 :/]*')")
 def url_functions(s, d):
+    return _url_functions(_pages(s, d).where(F.col("title").rlike("^[A-Za-z0-9 :/]*$")))
+
+
+def _url_functions(rows):
     t = F.col("title")
-    return _pages(s, d).where(t.rlike("^[A-Za-z0-9 :/]*$")).select("id", "title", U.encode(t).alias("q"), U.encode(t, "WIKI").alias("w"), U.decode(U.encode(t, "PATH"), "PATH").alias("back"))
+    return rows.select("id", "title", U.encode(t).alias("q"), U.encode(t, "WIKI").alias("w"), U.decode(U.encode(t, "PATH"), "PATH").alias("back"))
+
+
+@query()
+def url_functions_all(s, d):
+    return _url_functions(_pages(s, d))
 
 
 @query("""with u as (select id, 'https://w.example:8080/wiki/' || replace(title, ' ', '_') || '?a=' || id || '&b=1&a=2#top' as url from (select distinct id, title from pages where regexp_full_match(title, '[A-Za-z0-9 ]*')))
   select id, 'https' as protocol, 'w.example' as host, 8080 as port, regexp_extract(url, '8080([^?]*)', 1) as path, regexp_extract(url, '[?]([^#]*)', 1) as query, 'top' as fragment, url as whole, id || ',2' as a_values, true as valid from u""")
 def url_parts(s, d):
-    rows = _pages(s, d).where(F.col("title").rlike("^[A-Za-z0-9 ]*$"))
-    url = F.concat(F.lit("https://w.example:8080/wiki/"), F.translate("title", " ", "_"), F.lit("?a="), F.col("id").cast("string"), F.lit("&b=1&a=2#top"))
+    return _url_parts(_pages(s, d).where(F.col("title").rlike("^[A-Za-z0-9 ]*$")), F.translate("title", " ", "_"))
+
+
+def _url_parts(rows, name):
+    url = F.concat(F.lit("https://w.example:8080/wiki/"), name, F.lit("?a="), F.col("id").cast("string"), F.lit("&b=1&a=2#top"))
     p = U.parts(url)
     return rows.select("id", p.alias("p")).select("id", "p.protocol", "p.host", "p.port", "p.path", "p.query", "p.fragment", U.to_text(F.col("p")).alias("whole"), F.array_join(U.query_map("p.query")["a"], ",").alias("a_values"), U.is_valid(F.col("p")).alias("valid"))
 
 
+@query()
+def url_parts_all(s, d):
+    """Titles stand in the path as wiki URLs write them, so ? and # of a title end no part."""
+    return _url_parts(_pages(s, d), U.encode("title", "WIKI"))
+
+
 @query("""select distinct o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as iso, cast(day(o_orderdate) as varchar) || ' ' || monthname(o_orderdate) || ' ' || year(o_orderdate) as dmy, strftime(o_orderdate, '%Y%m%d%H%M%S') as compact,
   cast(weekofyear(o_orderdate) as int) as week, cast(dayofweek(o_orderdate) as int) as weekday, cast(dayofyear(o_orderdate) as int) as year_day, left(dayname(o_orderdate), 3) || ' ' || left(monthname(o_orderdate), 3) as short,
   cast(epoch(o_orderdate) as bigint) as unix, cast(weekofyear(make_date(year(o_orderdate), 12, 28)) as int) as weeks, lpad(cast((hour(o_orderdate) + 11) % 12 + 1 as varchar), 2, '0') || case when hour(o_orderdate) < 12 then 'am' else 'pm' end as clock from orders""")
@@ -168,18 +211,36 @@ def title_functions(s, d):
 
 @query("""select id, ns, title, trim(replace(title, '_', ' '), ' ') as spaced, trim(regexp_replace(split_part(title, '#', 1), '[ _]+', '_', 'g'), '_') as dbkey from (select distinct id, ns, title from redirects where regexp_full_match(title, '[ -~]*'))""")
 def title_keys(s, d):
-    rows = table(s, d, "redirects").where(F.col("title").rlike("^[ -~]*$")).select("id", "ns", "title").distinct()
+    return _title_keys(table(s, d, "redirects").where(F.col("title").rlike("^[ -~]*$")))
+
+
+def _title_keys(rows):
+    rows = rows.select("id", "ns", "title").distinct()
     return rows.select("id", "ns", "title", S.normalize_space("title").alias("spaced"), S.category_key("title").alias("dbkey"))
 
 
+@query()
+def title_keys_all(s, d):
+    """A null title keeps its row and has no keys."""
+    return _title_keys(table(s, d, "redirects"))
+
+
 @query("""select id, title, ns as ns_id, title as normal from (select distinct id, ns, title from pages where regexp_full_match(title, '[ -~]*') and not contains(title, '#'))""")
 def title_normal(s, d):
+    return _title_normal(s, d, _pages(s, d).where(F.col("title").rlike("^[ -~]*$") & ~F.col("title").contains("#")))
+
+
+def _title_normal(s, d, rows):
     names = T.registry_names(table(s, d, "namespace_registry"))
-    rows = _pages(s, d).where(F.col("title").rlike("^[ -~]*$") & ~F.col("title").contains("#"))
     n = T.normalized_column(F.concat(F.lit(" "), F.translate("title", " ", "_")), names)
     return rows.select("id", "title", n.alias("n")).select("id", "title", F.col("n.ns").alias("ns_id"), F.col("n.title").alias("normal"))
 
 
+@query()
+def title_normal_all(s, d):
+    return _title_normal(s, d, _pages(s, d))
+
+
 @query("""select revision_id, revision_timestamp as ts, strftime(cast(replace(left(revision_timestamp, 19), 'T', ' ') as timestamp), '%Y%m%d%H%M%S') as compact, left(revision_timestamp, 4) as year, cast(cast(substring(revision_timestamp, 6, 2) as int) as varchar) as month1
   from (select distinct revision_id, revision_timestamp from bundle_pages where ends_with(revision_timestamp, 'Z'))""")
 def revision_words(s, d):

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from lexmill.plans import core
+import hashlib
+import re
+import unicodedata
+from urllib.parse import quote, quote_plus
+
+from lexmill.plans import core, scalars  # noqa: F401
 
 
 def test_lookup_in_every_script(spark, tmp_path):
@@ -25,3 +30,36 @@ def test_search_in_every_script(spark, tmp_path):
     got = core.QUERIES["search_page_all"](spark, str(tmp_path)).collect()
     assert [(r.id, r.title) for r in got] == [(i, t) for _, _, i, t in expected]
     assert {(r.total, r.has_more) for r in got} == {(len(titles), False)}
+
+
+HARD = ["Éclair au thé", "ﬁn", "日本/語 x", 'a & b <i> "q"', "it's 100% #1?", "Слово слово", "e\u0301a", "#", "абв:где", "12 ab", "ßtraße", "x\u00a0y", "plain title", "a*b~c", "𐍈 gothic", "Template:Ünder_x"]
+
+
+def _hard(spark, tmp_path):
+    spark.createDataFrame([(i, 0, t) for i, t in enumerate([*HARD, None])], "id long, ns int, title string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(i, 0, t) for i, t in enumerate([*HARD, None])], "id long, ns int, title string").write.parquet(f"{tmp_path}/redirects.parquet")
+    names = [(0, "", "", "case-sensitive"), (10, "Template", "Template", "case-sensitive")]
+    spark.createDataFrame(names, "id int, name string, canonical_name string, case_policy string").write.parquet(f"{tmp_path}/namespace_registry.parquet")
+    return lambda name: {r["id"]: r.asDict() for r in core.QUERIES[name](spark, str(tmp_path)).collect()}
+
+
+def test_scalars_on_hard_titles(spark, tmp_path):
+    run = _hard(spark, tmp_path)
+    more, layout, lua, urls, parts, keys, normal = (run(f"{n}_all") for n in ("string_more", "string_layout", "lua_patterns", "url_functions", "url_parts", "title_keys", "title_normal"))
+    for i, t in enumerate(HARD):
+        first = t[0] if t[0] == "ß" else t[0].upper()
+        assert more[i] == {"id": i, "title": t, "up_first": first + t[1:], "low_first": t[0].lower() + t[1:], "bytes": t.encode().hex().upper(), "hash": hashlib.md5(t.encode()).hexdigest(), "word": t.split(" ")[0], "n_words": len(t.split(" ")), "trimmed": t.strip("aeiou"), "again": t}
+        safe = t.replace("&", "&amp;").replace(">", "&gt;").replace("<", "&lt;").replace('"', "&quot;").replace("'", "&#39;").replace("\u00a0", "&nbsp;")
+        pad = max(12 - len(t), 0)
+        assert layout[i] == {"id": i, "title": t, "cut": t[:5] + "…" if len(t) > 6 else t, "padded_left": "*" * pad + t, "padded_right": t + ("ab" * 6)[:pad], "encoded": safe, "tagged": f'<b id="{safe}" x>{t}</b>'}
+        lead = re.match("[A-Za-z]+", t)
+        assert lua[i] == {"id": i, "title": t, "lead": lead and lead[0], "marked": re.sub("[aeiou]", "<>", t), "n_words": len(re.findall("[A-Za-z]+", t)), "swapped": re.sub("([a-z])([a-z])", r"\2\1", t)}
+        wiki = quote(t.replace(" ", "_"), safe=";@$!*(),/~:")
+        assert urls[i] == {"id": i, "title": t, "q": quote_plus(t, safe=""), "w": wiki, "back": t}
+        query = f"a={i}&b=1&a=2"
+        assert parts[i] == {"id": i, "protocol": "https", "host": "w.example", "port": 8080, "path": "/wiki/" + wiki, "query": query, "fragment": "top", "whole": f"https://w.example:8080/wiki/{wiki}?{query}#top", "a_values": f"{i},2", "valid": True}
+        assert (keys[i]["spaced"], keys[i]["dbkey"]) == (re.sub("[ _\u00a0]+", " ", t).strip(), re.sub("[ _]+", "_", t.split("#")[0]).strip("_"))
+        bare = re.sub("[ _\u00a0]+", " ", unicodedata.normalize("NFC", t)).split("#")[0].strip()
+        assert (normal[i]["ns_id"], normal[i]["normal"]) == ((10 if t.startswith("Template:") else 0, bare) if bare else (None, None))
+    assert set(more) == set(normal) == set(parts) == set(range(len(HARD)))
+    assert keys[len(HARD)] == {"id": len(HARD), "ns": 0, "title": None, "spaced": None, "dbkey": None}
