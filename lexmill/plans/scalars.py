@@ -12,7 +12,7 @@ from lexmill.functions import strings as S
 from lexmill.functions import texts as X
 from lexmill.functions import titles as T
 from lexmill.functions import uris as U
-from lexmill.operators import nested, wikibase
+from lexmill.operators import nested, snapshots, wikibase
 from lexmill.plans.core import query
 from lexmill.session import table
 
@@ -244,18 +244,37 @@ def title_normal_all(s, d):
 @query("""select revision_id, revision_timestamp as ts, strftime(cast(replace(left(revision_timestamp, 19), 'T', ' ') as timestamp), '%Y%m%d%H%M%S') as compact, left(revision_timestamp, 4) as year, cast(cast(substring(revision_timestamp, 6, 2) as int) as varchar) as month1
   from (select distinct revision_id, revision_timestamp from bundle_pages where ends_with(revision_timestamp, 'Z'))""")
 def revision_words(s, d):
-    rows = table(s, d, "bundle_pages").where(F.col("revision_timestamp").endswith("Z")).select("revision_id", "revision_timestamp").distinct()
-    t = F.col("revision_timestamp").cast("timestamp")
+    return _revision_words(table(s, d, "bundle_pages").where(F.col("revision_timestamp").endswith("Z")))
+
+
+def _revision_words(rows):
+    rows = rows.select("revision_id", "revision_timestamp").distinct()
+    t = snapshots.instant("revision_timestamp")
     return rows.select("revision_id", F.col("revision_timestamp").alias("ts"), D.compact(t).alias("compact"), D.format_date(t, "Y").alias("year"), D.format_date(t, "n").alias("month1"))
 
 
+@query()
+def revision_words_all(s, d):
+    """Timestamps in every form, as instants in UTC; unreadable ones give null words."""
+    return _revision_words(table(s, d, "bundle_pages"))
+
+
 @query("""select revision_id, contains(source, '{{') or contains(source, '}}') as unresolved, regexp_matches(source, 'Lua error|Expression error') as failed,
   regexp_matches(source, '\\[\\[|\\]\\]|\\{\\{|\\}\\}|\\{\\||\\|\\}|</?[A-Za-z][^<>]*>') as markup from (select distinct revision_id, source from bundle_pages where source is not null and not contains(source, '<nowiki') and not contains(source, '<!--'))""")
 def markup_diagnostics(s, d):
-    rows = table(s, d, "bundle_pages").where("source is not null").select("revision_id", "source").distinct().where(~F.col("source").contains("<nowiki") & ~F.col("source").contains("<!--"))
+    rows = table(s, d, "bundle_pages").where("source is not null").select("revision_id", "source").distinct()
+    return _markup_diagnostics(rows.where(~F.col("source").contains("<nowiki") & ~F.col("source").contains("<!--")))
+
+
+def _markup_diagnostics(rows):
     return rows.select("revision_id", T.unresolved_syntax("source").alias("unresolved"), F.col("source").rlike("Lua error|Expression error").alias("failed"), F.array_contains(T.diagnostics("source"), "source-markup").alias("markup"))
 
 
+@query()
+def markup_diagnostics_all(s, d):
+    return _markup_diagnostics(table(s, d, "bundle_pages").where("source is not null").select("revision_id", "source").distinct())
+
+
 @query()
 def wikitext_links(s, d):
     rows = table(s, d, "bundle_pages").where("source is not null").select("revision_id", "source").distinct()

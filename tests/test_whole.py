@@ -63,3 +63,14 @@ def test_scalars_on_hard_titles(spark, tmp_path):
         assert (normal[i]["ns_id"], normal[i]["normal"]) == ((10 if t.startswith("Template:") else 0, bare) if bare else (None, None))
     assert set(more) == set(normal) == set(parts) == set(range(len(HARD)))
     assert keys[len(HARD)] == {"id": len(HARD), "ns": 0, "title": None, "spaced": None, "dbkey": None}
+
+
+def test_every_timestamp_and_source(spark, tmp_path):
+    cases = [("2021-01-01T01:30:03+02:00", "20201231233003"), ("2023-05-18 04:25:23", "20230518042523"), ("2020-02-29T23:59:59-05:00", "20200301045959"), ("2022-05-10T07:41:46Z", "20220510074146"), ("soon", None), (None, None)]
+    sources = ["<nowiki>{{a}}</nowiki>", "<nowiki>{{a}}</nowiki> {{b}}", "<!-- {{a}} --> x", "<!-- x", "{{c}} <!-- d -->", "plain"]
+    rows = [(i, t, x) for i, ((t, _), x) in enumerate(zip(cases, sources, strict=True))]
+    spark.createDataFrame(rows, "revision_id long, revision_timestamp string, source string").write.parquet(f"{tmp_path}/bundle_pages.parquet")
+    words = {r.revision_id: (r.ts, r.compact, r.year, r.month1) for r in core.QUERIES["revision_words_all"](spark, str(tmp_path)).collect()}
+    assert words == {i: (t, c, c and c[:4], c and str(int(c[4:6]))) for i, (t, c) in enumerate(cases)}
+    found = {r.revision_id: (r.unresolved, r.failed) for r in core.QUERIES["markup_diagnostics_all"](spark, str(tmp_path)).collect()}
+    assert found == {i: (x, False) for i, x in enumerate([False, True, False, False, True, False])}
