@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lexmill.operators import accounting as A
 from lexmill.operators import entries, expansion, graphs, ranks, reader, resolution
 from lexmill.operators import sequences as Q
+from lexmill.operators.snapshots import instant
 from lexmill.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -428,11 +429,20 @@ def redirects_followed(s, d):
     return graphs.follow(moves, pages.select("title"))
 
 
+def _templates(s, d):
+    """(name, source) of the template pages that have a source: that of the newest snapshot, then revision."""
+    rows = table(s, d, "bundle_pages").where("ns = 10 and title is not null and source is not null")
+    newest = F.max_by("source", F.struct(F.col("snapshot_id"), instant("revision_timestamp"), F.col("revision_id"), F.col("source")))
+    return rows.groupBy(F.regexp_replace("title", "^[^:]*:", "").alias("name")).agg(newest.alias("source"))
+
+
 @query()
 def pages_expanded(s, d):
+    """Templates are the newest sources of the template pages; these four names have one only where no page has."""
     pages = _wiki_sources(s, d)
-    templates = s.createDataFrame([("m", "''{{{2}}}''{{#if:{{{tr|}}}| ({{{tr}}})}}"), ("l", "[[{{{2}}}]]"), ("lb", "({{{2|}}})"), ("q", "({{{1}}}: {{{2|}}})")], "name string, source string")
-    return expansion.expanded(pages, templates, ["revision_id"])
+    usual = s.createDataFrame([("m", "''{{{2}}}''{{#if:{{{tr|}}}| ({{{tr}}})}}"), ("l", "[[{{{2}}}]]"), ("lb", "({{{2|}}})"), ("q", "({{{1}}}: {{{2|}}})")], "name string, source string")
+    stored = _templates(s, d)
+    return expansion.expanded(pages, stored.unionByName(usual.join(stored, "name", "left_anti")), ["revision_id"])
 
 
 # ---- entries, names -----------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
@@ -11,8 +12,12 @@ from datetime import UTC, datetime
 from lexmill.functions import expression, plurals
 from lexmill.wikitext import scan
 
-#: Deepest template nesting, most parameters of a call, most characters of a result.
-MAX_DEPTH, MAX_PARAMS, MAX_CHARS = 40, 16_384, 2_000_000
+#: Deepest nesting of expansions and of templates, most parameters of a call.
+MAX_DEPTH, MAX_TEMPLATES, MAX_PARAMS = 512, 128, 16_384
+#: Characters of a result and steps that every page has, and those it has more for each character.
+MAX_CHARS, CHARS_EACH, STEPS_EACH = 2_000_000, 64, 8
+#: Python frames that one level of nesting takes at most.
+FRAMES = 8
 
 
 class TemplateError(ValueError):
@@ -115,17 +120,20 @@ class Expander:
     """Expands one page; a new one for every page, so calls share no state."""
 
     def __init__(self, context: Context):
-        self.context, self.steps = context, context.steps
+        self.context, self.steps, self.most = context, context.steps, None
         self.variables = title_parts(context.title)
 
     def expand(self, text: str, params: dict[str, str] | None = None, depth: int = 0, chain: tuple[str, ...] = ()) -> str:
         """The text with all constructs replaced; params of null leaves ``{{{x}}}`` to their defaults."""
+        if self.most is None:
+            self.steps, self.most = self.steps + STEPS_EACH * len(text), MAX_CHARS + CHARS_EACH * len(text)
+            sys.setrecursionlimit(max(sys.getrecursionlimit(), FRAMES * MAX_DEPTH + 1000))
         self.steps -= 1
         if self.steps < 0:
             raise TemplateError("step budget exceeded")
-        if "{{" not in text:
-            return text
         if depth > MAX_DEPTH:
+            raise TemplateError("template depth exceeded")
+        if "{{" not in text:
             return text
         tops, last = [], -1
         for start, end, kind in sorted(scan.pairs(text), key=lambda p: (p[0], -p[1])):
@@ -141,7 +149,7 @@ class Expander:
             at = end
         out.append(text[at:])
         done = "".join(out)
-        if len(done) > MAX_CHARS:
+        if len(done) > self.most:
             raise TemplateError("result too long")
         return done
 
@@ -180,6 +188,8 @@ class Expander:
             return missing(target)
         if target in chain:
             return f'<span class="error">Template loop detected: [[:Template:{target}]]</span>'
+        if len(chain) >= MAX_TEMPLATES:
+            raise TemplateError("template depth exceeded")
         own_params: dict[str, str] = {}
         for key, named, raw in parse_template("x|" + "|".join(args))[1] if args else []:
             expanded = self.expand(raw, params, depth + 1, chain)

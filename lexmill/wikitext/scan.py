@@ -7,7 +7,7 @@ import re
 
 OPAQUE = ("nowiki", "pre", "math", "syntaxhighlight", "source", "score", "hiero", "timeline", "templatedata")
 _OPAQUE = re.compile(rf"<!--.*?(?:-->|\Z)|<({'|'.join(OPAQUE)})\b[^<>]*?(?:/>|>.*?(?:</\1\s*>|\Z))", re.S | re.I)
-#: Deepest nesting of braces and brackets that is followed.
+#: Nesting of braces and brackets from which references count as dynamic.
 MAX_DEPTH = 128
 
 
@@ -22,12 +22,13 @@ _DELIMITER = re.compile(r"\{\{+|\}\}+|\[\[|\]\]")
 def pairs(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of all balanced ``{{{``, ``{{`` and ``[[`` constructs, inner ones first.
 
-    Opaque regions are skipped; constructs deeper than MAX_DEPTH are not followed.
+    Opaque regions are skipped; nesting is followed to any depth.
     Of a run of opening braces three make a parameter if three close it.
     """
     skip = iter([*opaque_spans(text), (len(text) + 1, len(text) + 1)])
     low, high = next(skip)
     stack: list[list] = []
+    opened = {"{": 0, "[": 0}
     out = []
     for m in _DELIMITER.finditer(text):
         while m.start() >= high:
@@ -36,8 +37,8 @@ def pairs(text: str) -> list[tuple[int, int, str]]:
             continue
         run = m[0]
         if run[0] == "{" or run == "[[":
-            if len(stack) < MAX_DEPTH:
-                stack.append([m.start(), len(run), run[0]])
+            stack.append([m.start(), len(run), run[0]])
+            opened[run[0]] += 1
             continue
         left = len(run)
         at = m.start()
@@ -45,9 +46,9 @@ def pairs(text: str) -> list[tuple[int, int, str]]:
             start, n, kind = stack[-1]
             if kind != ("{" if run[0] == "}" else "["):
                 # an unclosed construct of the other kind is only text
-                if not any(x[2] == ("{" if run[0] == "}" else "[") for x in stack):
+                if not opened["{" if run[0] == "}" else "["]:
                     break
-                stack.pop()
+                opened[stack.pop()[2]] -= 1
                 continue
             take = 2 if kind == "[" else 3 if n >= 3 and left >= 3 else 2
             stack[-1][1] -= take
@@ -55,7 +56,7 @@ def pairs(text: str) -> list[tuple[int, int, str]]:
             left -= take
             out.append((start + stack[-1][1], at, "[[" if kind == "[" else "{" * take))
             if stack[-1][1] < 2:
-                stack.pop()
+                opened[stack.pop()[2]] -= 1
     return out
 
 

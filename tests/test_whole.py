@@ -7,7 +7,10 @@ import re
 import unicodedata
 from urllib.parse import quote, quote_plus
 
+import pytest
+
 from lexmill.plans import core, scalars  # noqa: F401
+from lexmill.wikitext import expand
 
 
 def test_lookup_in_every_script(spark, tmp_path):
@@ -74,3 +77,32 @@ def test_every_timestamp_and_source(spark, tmp_path):
     assert words == {i: (t, c, c and c[:4], c and str(int(c[4:6]))) for i, (t, c) in enumerate(cases)}
     found = {r.revision_id: (r.unresolved, r.failed) for r in core.QUERIES["markup_diagnostics_all"](spark, str(tmp_path)).collect()}
     assert found == {i: (x, False) for i, x in enumerate([False, True, False, False, True, False])}
+
+
+def _expanded(text, pages):
+    return expand.Expander(expand.Context(pages=pages.get)).expand(text)
+
+
+def test_deep_expansion():
+    for n in (50, 200, 500):
+        assert _expanded("{{#if:x|" * n + "y" + "}}" * n, {}) == "y"
+    assert _expanded("{{a|" * 200 + "y" + "}}" * 200, {"a": "<{{{1}}}>"}) == "<" * 200 + "y" + ">" * 200
+    assert _expanded("[[ " * 300 + "{{a|y}}", {"a": "<{{{1}}}>"}) == "[[ " * 300 + "<y>"
+    chain = {f"t{i}": f"{{{{t{i + 1}}}}}" for i in range(1, 200)}
+    assert _expanded("{{t73}}", chain | {"t200": "end"}) == "end"
+    for text in ("{{t72}}", "{{#if:x|" * 600 + "y" + "}}" * 600):
+        with pytest.raises(expand.TemplateError, match="depth"):
+            _expanded(text, chain | {"t200": "end"})
+
+
+def test_long_expansion():
+    long = "x" * 2_100_000 + "{{a}}"
+    assert _expanded(long, {"a": "b"}) == long[:-5] + "b"
+    assert _expanded("{{a}}" * 110_000, {"a": "b"}) == "b" * 110_000
+
+
+def test_templates_of_the_table(spark, tmp_path):
+    pages = [("1", 1, "2020-01-01T00:00:00Z", "P", 0, "{{box|1}} {{m|x|y}} {{lb|x|y}} {{no}}"), ("1", 2, "2020-01-01T00:00:00Z", "Template:box", 10, "old"), ("2", 3, "2020-01-02T00:00:00Z", "Template:box", 10, "<{{{1}}}>"), ("2", 4, "2020-01-01T00:00:00Z", "Template:m", 10, "M")]
+    spark.createDataFrame(pages, "snapshot_id string, revision_id long, revision_timestamp string, title string, ns int, source string").write.parquet(f"{tmp_path}/bundle_pages.parquet")
+    got = {r.revision_id: r.expanded for r in core.QUERIES["pages_expanded"](spark, str(tmp_path)).collect()}
+    assert got[1] == "<1> M (y) [[:Template:no]]"
