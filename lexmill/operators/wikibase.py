@@ -30,6 +30,15 @@ def by_fallback(texts: Column, languages: list[str]) -> Column:
     return F.try_element_at(found, F.lit(1))
 
 
+def lemma(captures: DataFrame, languages: list[str]) -> DataFrame:
+    """(capture_id, lemma struct<language, value>): of every capture that has a lemma in any
+    shape, the one of the first language of the chain, else of the least other language."""
+    code = F.array_position(F.array(*map(F.lit, languages)), F.col("language"))
+    rank = F.when(code == 0, len(languages) + 1).otherwise(code)
+    best = F.min(F.struct(rank.alias("rank"), "language", "value"))
+    return nested.lemmas_table(captures).groupBy("capture_id").agg(best.alias("b")).select("capture_id", F.struct("b.language", "b.value").alias("lemma"))
+
+
 def statements(captures: DataFrame, best: bool = True) -> DataFrame:
     """Statements of the entities themselves; best: the preferred ones of a property, or the
     normal ones if none is preferred, never deprecated ones."""

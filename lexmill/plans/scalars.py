@@ -304,4 +304,4 @@ def entity_values(s, d):
 
 @query()
 def entity_lemma(s, d):
-    return table(s, d, "wikibase").select("capture_id", wikibase.by_fallback(nested.unwrapped(F.col("lemmas")), ["en", "mul", "de", "fr", "ru"]).alias("lemma")).where("lemma is not null").distinct()
+    return wikibase.lemma(nested.captures(s, d), ["en", "mul", "de", "fr", "ru"])
