@@ -158,6 +158,17 @@ def fallback_report_problems(s, d):
     return A.fallback_problems(rows).where("problem = 'operational failure'")
 
 
+@query()
+def fallback_report_problems_all(s, d):
+    """Every problem of the report: its rows one by one, null outcomes as rows without a
+    reason, and the reasons of each page together, as a row alone repeats none."""
+    ns = table(s, d, "pages").groupBy(F.col("id").alias("page_id")).agg(F.min("ns").alias("ns"))
+    rows = table(s, d, "bundle_expander").where("outcome is null or outcome <> 'expanded'").join(ns, "page_id", "left").select("ns", "title", "outcome")
+    single = rows.select("ns", "title", F.array_compact(F.array("outcome")).alias("reasons"))
+    pages = rows.groupBy("ns", "title").agg(F.collect_list("outcome").alias("reasons"))
+    return A.fallback_problems(single).unionByName(A.fallback_problems(pages)).distinct()
+
+
 @query("select id, title, count(*) as n_rows from pages group by all having count(*) > 1")
 def duplicate_rows(s, d):
     return A.duplicates(table(s, d, "pages"), ["id", "title"])

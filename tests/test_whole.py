@@ -114,3 +114,14 @@ def test_lemma_of_every_shape(spark, tmp_path):
     spark.createDataFrame(rows, "capture_id long, lemmas string, claims string, forms string, senses string").write.parquet(f"{tmp_path}/wikibase.parquet")
     got = [(r.capture_id, *r.lemma) for r in core.QUERIES["entity_lemma"](spark, str(tmp_path)).collect()]
     assert sorted(got) == [(0, "en", "e"), (1, "en", "plain"), (2, "ru", "r"), (3, "el", "g"), (4, "fr", "f"), (9, "ar", "a"), (10, "en", "e")]
+
+
+def test_every_fallback_problem(spark, tmp_path):
+    report = [(1, "a", "timeout"), (2, "b", "fallback"), (2, "b", "fallback"), (3, "c", None), (4, " ", "fallback"), (5, None, "fallback"), (6, "e", "expanded"), (6, "e", "expanded"), (7, "f", "fallback"), (99, "g", "timeout"), (8, "h", "fallback"), (8, "h", None)]
+    spark.createDataFrame(report, "page_id long, title string, outcome string").write.parquet(f"{tmp_path}/bundle_expander.parquet")
+    spark.createDataFrame([(i, 0) for i in range(1, 9)], "id long, ns int").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {tuple(r) for r in core.QUERIES["fallback_report_problems_all"](spark, str(tmp_path)).collect()}
+    assert got == {
+        (0, "a", "operational failure"), (0, "b", "repeated page"), (0, "b", "repeated reason"), (0, "c", "no reason"), (0, " ", "blank title"), (0, None, "blank title"),
+        (None, "g", "operational failure"), (0, "h", "repeated page"), (0, "h", "no reason"),
+    }
