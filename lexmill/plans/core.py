@@ -196,6 +196,12 @@ def reservoir_size_check(s, d):
     return drawn.where(F.col("population") != n).select("id", "title", "population")
 
 
+@query()
+def reservoir_sample(s, d):
+    """The sample itself, which reservoir_size_check only counts."""
+    return A.reservoir(table(s, d, "pages").where("ns = 0").select("id", "title").distinct(), "id", 10, 7)
+
+
 # ---- reader -------------------------------------------------------------------------
 
 
@@ -282,7 +288,19 @@ def overlay_conflicts(s, d):
 def category_members(s, d):
     links = table(s, d, "links").where("target is not null").select("link_id", "target", "kind", "sortkey", "from_id").distinct()
     targets = table(s, d, "targets").select(F.col("id").alias("target"), F.col("title").alias("category")).distinct()
-    pages = table(s, d, "pages").select(F.col("id").alias("from_id")).distinct()
+    return _first_members(links, targets, table(s, d, "pages"))
+
+
+@query()
+def category_members_main(s, d):
+    """The main scope: the first 200 members of namespace 0."""
+    links = table(s, d, "links").where("target is not null").select("link_id", "target", "kind", "sortkey", "from_id").distinct()
+    targets = table(s, d, "targets").select(F.col("id").alias("target"), F.col("title").alias("category")).distinct()
+    return _first_members(links, targets, table(s, d, "pages").where("ns = 0"))
+
+
+def _first_members(links, targets, pages):
+    pages = pages.select(F.col("id").alias("from_id")).distinct()
     rows = links.join(targets, "target").join(pages, "from_id").select("category", "kind", "sortkey", "from_id", "link_id")
     return ranks.first_per_group(rows, ["category"], [F.col("kind"), F.col("sortkey").asc_nulls_first(), F.col("from_id"), F.col("link_id")], 200)
 
@@ -501,3 +519,9 @@ def study_card_errors(s, d):
     cards = resolution.study_cards(table(s, d, "pages").where("title is not null"), 4, 11, 100)
     bad = cards.where((F.size(F.array_distinct("choices")) != 4) | ~F.array_contains("choices", F.col("title")))
     return bad.select("title", F.size("choices").alias("n_choices"), F.array_contains("choices", F.col("title")).alias("has_answer"))
+
+
+@query()
+def study_cards(s, d):
+    """The cards themselves, which study_card_errors only looks for errors in."""
+    return resolution.study_cards(table(s, d, "pages").where("title is not null"), 4, 11, 100)

@@ -125,3 +125,15 @@ def test_every_fallback_problem(spark, tmp_path):
         (0, "a", "operational failure"), (0, "b", "repeated page"), (0, "b", "repeated reason"), (0, "c", "no reason"), (0, " ", "blank title"), (0, None, "blank title"),
         (None, "g", "operational failure"), (0, "h", "repeated page"), (0, "h", "no reason"),
     }
+
+
+def test_samples_cards_and_main_members(spark, tmp_path):
+    spark.createDataFrame([(i, i % 2, f"t{i}") for i in range(60)], "id long, ns int, title string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([(1, "c")], "id long, title string").write.parquet(f"{tmp_path}/targets.parquet")
+    spark.createDataFrame([(i, 1, 2, f"{i:03}", i) for i in range(60)], "link_id long, target long, kind int, sortkey string, from_id long").write.parquet(f"{tmp_path}/links.parquet")
+    sample = core.QUERIES["reservoir_sample"](spark, str(tmp_path)).collect()
+    assert len({r.id for r in sample}) == 10 and all(r.population == 30 and r.id % 2 == 0 for r in sample)
+    cards = core.QUERIES["study_cards"](spark, str(tmp_path)).collect()
+    assert cards and all(len(set(r.choices)) == 4 and r.title in r.choices for r in cards)
+    main = core.QUERIES["category_members_main"](spark, str(tmp_path)).collect()
+    assert sorted((r["rank"], r.from_id) for r in main) == [(i + 1, 2 * i) for i in range(30)]
