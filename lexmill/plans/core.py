@@ -467,11 +467,12 @@ def _templates(s, d):
 
 @query()
 def pages_expanded(s, d):
-    """Templates are the newest sources of the template pages; these four names have one only where no page has."""
+    """Templates are the newest sources of the template pages; these four names have one only where no page has.
+    What ``#ifexist`` finds are the titles of pages."""
     pages = _wiki_sources(s, d)
     usual = s.createDataFrame([("m", "''{{{2}}}''{{#if:{{{tr|}}}| ({{{tr}}})}}"), ("l", "[[{{{2}}}]]"), ("lb", "({{{2|}}})"), ("q", "({{{1}}}: {{{2|}}})")], "name string, source string")
     stored = _templates(s, d)
-    return expansion.expanded(pages, stored.unionByName(usual.join(stored, "name", "left_anti")), ["revision_id"])
+    return expansion.expanded(pages, stored.unionByName(usual.join(stored, "name", "left_anti")), ["revision_id"], titles=table(s, d, "pages").select("title"))
 
 
 # ---- entries, names -----------------------------------------------------------------

@@ -48,7 +48,15 @@ def test_gsub():
         patterns.gsub("a", "(", "")
 
 
-def test_plural_rules():
+def test_plural_rules(tmp_path):
+    # one form only, or no rules: the fallback chain, then English
+    assert [plurals.form_index("1", "ja"), plurals.form_index("2", "ja"), plurals.form_index("2", "xx", ("ru",)), plurals.form_index("0", "xx", ("zh", "fr"))] == [0, 1, 1, 0]
+    assert [plurals.form_index(x, "cy") for x in "0 1 2 3 6 4".split()] == [0, 1, 2, 3, 4, 5]
+    for rules in plurals.RULES.values():
+        for text in rules:
+            plurals.rule(text)
+    (tmp_path / "p.xml").write_text('<d><plurals><pluralRules locales="aa bb"><pluralRule count="one">n = 1 @integer 1</pluralRule><pluralRule count="other"> @integer 0</pluralRule></pluralRules></plurals></d>')
+    assert plurals.load(str(tmp_path / "p.xml")) == {"aa": ["n = 1"], "bb": ["n = 1"]}
     assert [plurals.form_index(x, "ru") for x in ("1", "2", "5", "11", "21", "1.5")] == [0, 1, 2, 2, 0, 3]
     assert [plurals.form_index(x, "ar") for x in "0 1 2 5 11 100".split()] == [0, 1, 2, 3, 4, 5]
     assert plurals.form_index("1.0", "en") == 1 and plurals.operands("1e-3") is None

@@ -127,6 +127,21 @@ def test_expansion_both_ways(spark):
         assert {r.id: r.expanded for r in got.collect()} == want
 
 
+def test_expansion_is_the_same_beyond_the_broadcast(spark):
+    """Names known only at expansion and existence tests see all templates and titles in both plans."""
+    pages = spark.createDataFrame(
+        [(1, "{{#ifexist:Dog|yes|no}} {{#ifexist:Cow|yes|no}}"), (2, "{{ {{a}} }}"), (3, "{{x{{d|y}}}}"), (4, "{{ {{ {{one}} }} }}"), (None, "{{ {{none}} }}"), (5, "{{ {{a}} }}{{ {{a}} }}"), (5, "{{ {{a}} }}{{ {{a}} }}")], "id long, source string"
+    ).withColumn("title", F.lit("T"))
+    templates = spark.createDataFrame([("a", "b"), ("b", "BEE"), ("d", "{{{1}}}"), ("xy", "{{deep}}"), ("deep", "down"), ("one", "two"), ("two", "three"), ("three", "3"), ("none", "gone")], "name string, source string")
+    titles = spark.createDataFrame([("Dog",), (None,)], "title string")
+    want = [(None, "[[:Template:gone]]"), (1, "yes no"), (2, "BEE"), (3, "down"), (4, "3"), (5, "BEEBEE"), (5, "BEEBEE")]
+    for limit in (1 << 25, 0):
+        got = expansion.expanded(pages, templates, ["id"], broadcast_bytes=limit, titles=titles).collect()
+        assert sorted(((r.id, r.expanded) for r in got), key=str) == sorted(want, key=str)
+    bare = spark.createDataFrame([(1, "T", "{{#ifexist:b|yes|no}}")], "id long, title string, source string")
+    assert [expansion.expanded(bare, templates, ["id"], broadcast_bytes=limit).first().expanded for limit in (1 << 25, 0)] == ["yes", "yes"]
+
+
 def test_wikibase(spark):
     ids = spark.createDataFrame([(" q042",), ("L3-f01",), ("Q0",), ("x",), (None,)], "i string").select(wikibase.canonical_id("i"), wikibase.is_valid_id("i"))
     assert [tuple(r) for r in ids.collect()] == [("Q42", False), ("L3-F1", False), (None, False), (None, False), (None, False)]
