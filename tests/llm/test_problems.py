@@ -161,12 +161,33 @@ def test_packing(spark):
     assert packing.packed(df.where("false"), [("s", 100)]).count() == 0
 
 
-def test_best_fit_avoids_copies_and_hot_clusters():
-    bins = packing.best_fit([5, 5, 5, 5], "abcd", [1, 1, 2, 2], 10)
-    for b in set(bins):
-        assert sorted(np.array([1, 1, 2, 2])[bins == b].tolist()) == [1, 2]
-    hot = packing.best_fit([4] * 3000 + [2] * 1000, ["s"] * 4000, [1] * 3000 + list(range(2, 1002)), 10)
-    assert len(set(hot)) <= -(-(3000 * 4 + 1000 * 2) // 10) + 101
+def test_best_fit_keeps_copies_apart():
+    clusters = [1, 1, 2, 2] + [-1] * 40
+    bins, clash = packing.best_fit([50] * 4 + [0] * 40, ["s"] * 44, clusters, 100)
+    assert len(set(bins[:4])) == 2 and not clash.any()
+    for b in set(bins[:4]):
+        assert sorted(np.array(clusters[:4])[bins[:4] == b].tolist()) == [1, 2]
+    rng = random.Random(8)
+    sizes = sorted((rng.randrange(1, 100) for _ in range(3000)), reverse=True)
+    bins, clash = packing.best_fit(sizes, ["s"] * 3000, (owners := [s * 40 + rng.randrange(40) for s in sizes]), 100)
+    held = list(zip(bins.tolist(), owners, strict=True))
+    assert len(held) - len(set(held)) == int(clash.sum()) == 0 and max(bins) + 1 <= sum(sizes) / 100 * 1.01 + 2
+
+
+def test_more_copies_than_bins_are_marked():
+    sizes, clusters = [4] * 3000 + [2] * 1000, [1] * 3000 + list(range(2, 1002))
+    bins, clash = packing.best_fit(sizes, ["s"] * 4000, clusters, 10)
+    assert len(set(bins)) == 1500  # no bin takes three items of 4
+    held = list(zip(bins.tolist(), clusters, strict=True))
+    assert len(held) - len(set(held)) == int(clash.sum()) >= 3000 - len(set(bins))
+    assert not clash[3000:].any()
+
+
+def test_packing_of_a_huge_text_and_of_nothings(spark):
+    df = spark.createDataFrame([(1, "a", 5, 1_000_003), (2, None, None, 0), (3, None, None, 0), (4, "a", 7, 100)], "doc_id long, source string, cluster long, n_tokens long")
+    rows = packing.packed(df, [("s", 10)]).collect()
+    used = _check(rows, {1: 1_000_003, 2: 0, 3: 0, 4: 100}, 10)
+    assert len(used) == 100_000 + 10 + 1 and not any(r.clash for r in rows)
 
 
 # ---- spans ----------------------------------------------------------------------------
