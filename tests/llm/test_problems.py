@@ -226,8 +226,9 @@ def _truth(docs, length):
     return pairs, {i: len(c) for i, c in cover.items()}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_spans_against_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "hot"), [(1, 64), (2, 2), (3, 8)])
+def test_spans_against_brute_force(spark, seed, hot, monkeypatch):
+    monkeypatch.setattr(spans, "HOT", hot)
     docs = _texts(random.Random(seed))
     df = spark.createDataFrame([(i, t, 0) for i, t in docs.items()], "doc_id long, text string, seed int")
     pairs, cover = _truth(docs, 120)
@@ -251,6 +252,30 @@ def test_fuzzy_passage(spark):
     assert (row.start_a, row.end_a, row.start_b, row.end_b, row.n_runs, row.exact_chars, row.edits) == (3, 405, 0, 401, 2, 400, 2)
 
 
+def test_recall_of_fuzzy_passages(spark):
+    """Passages of 400 characters with an edit in every 50 to 90: at least nine in ten pairs are found."""
+    rng = random.Random(12)
+    letters = string.ascii_lowercase + "    "
+    text = lambda n: "".join(rng.choices(letters, k=n))
+    docs, planted = [], set()
+    for i in range(0, 80, 2):
+        passage = text(400)
+        edited, at = [], 0
+        while at < 400:
+            step = rng.randrange(50, 90)
+            edited.append(passage[at : at + step])
+            at += step
+            kind = rng.randrange(3)
+            edited.append(rng.choice("XYZ") if kind < 2 else "")
+            at += kind != 1
+        docs += [(i, text(300) + passage + text(200)), (i + 1, text(100) + "".join(edited) + text(400))]
+        planted.add((i, i + 1))
+    rows = spans.fuzzy_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    found = {(r.doc_id_a, r.doc_id_b) for r in rows}
+    assert found <= planted and len(found) >= 0.9 * len(planted)
+    assert all(0.9 <= r.identity < 1 and 0 < r.edits < 40 for r in rows if r.n_runs > 1)
+
+
 def test_chain_prefers_order():
     runs = [(0, 0, 100), (150, 150, 100), (160, 20, 100), (300, 290, 50)]
     assert spans.chain(runs)[0] == [0, 1, 3]
