@@ -3,9 +3,11 @@
 Wikitext, HTML, Markdown and LaTeX are read into one kind of tree. Composite
 text density (characters per tag, adjusted for link text) is computed for every
 node, child densities are summed, and the subtree with the greatest sum is the
-content; the least density on its way up to the body is the threshold for
-keeping anything else. The tree is then written as clean text in which
-headings, lists, tables, code blocks and formulas can be told apart.
+content; the least density on its way up to the body is the threshold below
+which containers that are mostly links, at any depth, are left out. The tree is
+then written as clean text in which headings, lists, tables, code blocks and
+formulas can be told apart. Trees of any depth are walked without recursion, and
+every pattern fails in time linear in the text.
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from html.entities import html5
 
 import pyarrow as pa
@@ -33,7 +36,13 @@ OTHER_TAGS = set(
     " input ins kbd label link main mark meta nav noinclude nowiki onlyinclude p poem q rb ref references rp rt ruby s samp script section small span strike strong style sub summary sup time title tt u var wbr".split()
 )
 VOID = {"br", "hr", "img", "wbr", "col", "input", "link", "meta"}
-BLOCKS = HEADINGS | LISTS | TABLES | {"p", "div", "blockquote", "section", "article", "header", "footer", "nav", "main", "aside", "center", "body", "pre", "display"}
+BLOCKS = HEADINGS | LISTS | TABLES | {"p", "div", "blockquote", "section", "article", "header", "footer", "nav", "main", "aside", "center", "html", "head", "title", "body", "pre", "display"}
+#: Blocks that are marked in the clean text.
+SOLID = HEADINGS | LISTS | TABLES | {"pre", "display"}
+#: Blocks that only hold others; one that is mostly links can be a menu.
+CONTAINERS = {"div", "section", "header", "footer", "nav", "aside", "center", "article", "main"}
+#: Deeper list items are indented like those of this depth.
+MAX_INDENT = 40
 # An opening tag ends an open tag of these kinds, up to the container.
 ENDS = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"})}
 # Environments of LaTeX.
@@ -45,10 +54,11 @@ TEX_SECTIONS = {"part": 1, "chapter": 1, "section": 2, "subsection": 3, "subsubs
 class Node:
     """An element of the tree; kids are nodes and texts."""
 
-    __slots__ = ("tag", "kids", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "kids", "chars", "tags", "link_chars", "link_tags", "density", "total", "blocks", "solid", "dropped")
 
     def __init__(self, tag: str):
         self.tag, self.kids = tag, []
+        self.blocks = self.solid = self.dropped = False
 
 
 class Builder:
@@ -58,22 +68,31 @@ class Builder:
         self.root = Node("body")
         self.stack = [self.root]
         self.found: set[str] = set()
+        self.opened: Counter[str] = Counter()
+
+    def _leave(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            self.opened[self.stack.pop().tag] -= 1
+
+    def _enter(self, node: Node) -> None:
+        self.stack.append(node)
+        self.opened[node.tag] += 1
 
     def open(self, tag: str) -> None:
         ends = ENDS.get(tag)
-        if ends:
+        if ends and any(self.opened[x] for x in ends[0]):
             for i in range(len(self.stack) - 1, 0, -1):
                 if self.stack[i].tag in ends[0]:
-                    del self.stack[i:]
+                    self._leave(i)
                     break
                 if self.stack[i].tag in ends[1]:
                     break
-        elif tag in BLOCKS and self.stack[-1].tag == "p":
-            self.stack.pop()
+        elif not ends and tag in BLOCKS and self.stack[-1].tag == "p":
+            self._leave(len(self.stack) - 1)
         node = Node(tag)
         self.stack[-1].kids.append(node)
         if tag not in VOID:
-            self.stack.append(node)
+            self._enter(node)
         if tag in HEADINGS:
             self.found.add("heading")
         elif tag in LISTS:
@@ -82,14 +101,15 @@ class Builder:
             self.found.add("table")
 
     def close(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                del self.stack[i:]
-                return
+        if self.opened[tag]:
+            i = len(self.stack) - 1
+            while self.stack[i].tag != tag:
+                i -= 1
+            self._leave(i)
 
     def leaf(self, tag: str, text: str) -> None:
         if tag in BLOCKS and self.stack[-1].tag == "p":
-            self.stack.pop()
+            self._leave(len(self.stack) - 1)
         node = Node(tag)
         node.kids.append(text)
         self.stack[-1].kids.append(node)
@@ -112,23 +132,67 @@ class Builder:
     def paragraph(self) -> None:
         """A blank line: the next text begins a new paragraph."""
         if self.stack[-1].tag == "p":
-            self.stack.pop()
+            self._leave(len(self.stack) - 1)
         if self.stack[-1] is self.root:
-            self.stack.append(Node("p"))
+            self._enter(Node("p"))
             self.root.kids.append(self.stack[-1])
 
 
+class Closers:
+    """Where an opened region ends. A closer that is not found once is not there for any later opener."""
+
+    def __init__(self, text: str):
+        self.text, self.gone = text, set()
+
+    def find(self, closer: str | re.Pattern, at: int) -> tuple[int, int] | None:
+        """(begin, end) of the first closer from ``at``."""
+        if closer in self.gone:
+            return None
+        if isinstance(closer, str):
+            begin = self.text.find(closer, at)
+            if begin >= 0:
+                return begin, begin + len(closer)
+        elif m := closer.search(self.text, at):
+            return m.span()
+        self.gone.add(closer)
+        return None
+
+
+def _regions(text: str, opener: re.Pattern, closer_of: Callable, put: Callable) -> str:
+    """text with each region from an opener to its closer replaced by put(opener, body).
+
+    closer_of(opener) is the closer; null leaves the opener as it is, "" makes a
+    region of the opener alone, and a comment without an end goes to the end of the text.
+    """
+    closers, out, done, at = Closers(text), [], 0, 0
+    while m := opener.search(text, at):
+        at, closer = m.end(), closer_of(m)
+        if closer is None:
+            continue
+        place = (at, at) if closer == "" else closers.find(closer, at)
+        if place is None and m[0] == "<!--":
+            place = (len(text), len(text))
+        if place is None:
+            continue
+        out += [text[done : m.start()], put(m, text[at : place[0]])]
+        done = at = place[1]
+    return "".join([*out, text[done:]])
+
+
+_CLOSING = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("pre", "syntaxhighlight", "source", "nowiki", "math", "ref", "code", "script", "style", "span")}
+
+
 # ---- which markup -----------------------------------------------------------
 
 _LINES = re.compile(r"\r\n|\n|\r")
 _HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(pre|syntaxhighlight|source|nowiki|math|ref|code)\b[^<>]*(?<!/)>.*?</\1\s*>|^(```+|~~~+)[^\n]*\n.*?^\2[ \t\r]*$|\\begin\{(verbatim|lstlisting)\}.*?\\end\{\3\}|`[^`\n]+`",
-    re.S | re.M | re.I,
+    r"<!--|<(?P<tag>pre|syntaxhighlight|source|nowiki|math|ref|code)\b[^<>]*(?<!/)>|^(?P<fence>```++|~~~++)[^\n]*\n|\\begin\{(?P<raw>verbatim|lstlisting)\}|`[^`\n]+`",
+    re.M | re.I,
 )
 _TEX = re.compile(r"\\(?:begin|end|part|chapter|(?:sub)*section|(?:sub)?paragraph|text(?:bf|it|sc|tt|rm)|emph|footnote|ref|cite|label|item|href|url)\*?(?=[\[{\s])|\\verb\W|\{\\(?:bf|it|em|tt|sc)\s|\\['`^\"~=.]\{?\w|\\[(\[](?!\*)|\\%")
-_WIKI = re.compile(r"^={1,6}[^=\n].*?=[ \t\r]*$|\[\[[^\]\n]+\]\]|\{\{|^\{\||'''?|\[https?://[^\]\n]+\]|^(?:[*#]+[^\s*#]|[*#]+:|;\s*\S)|<(?:ref|nowiki)\b|__[A-Z]{3,}__", re.M)
+_WIKI = re.compile(r"^={1,6}[^=\n].*?=[ \t\r]*$|\[\[[^\[\]\n]+\]\]|\{\{|^\{\||'''?|\[https?://[^\[\]\n]+\]|^(?:[*#]+[^\s*#]|[*#]+:|;\s*\S)|<(?:ref|nowiki)\b|__[A-Z]{3,}__", re.M)
 _MARK = re.compile(
-    r"^#{1,6}[ \t]+[^\n]*[^\s.!?;:,][ \t\r]*$|^[^\n|]*\S[^\n]*\n(?:={3,}|-{2,})[ \t\r]*$|^\|?[ \t]*:?-{2,}:?[ \t]*\|[-:| \t]*$|^[ \t]{0,3}[-+][ \t]+\S|^[ \t]{0,3}\d+\.[ \t]+\S|\]\([^)\n]*\)|\*\*[^\s*][^*\n]*\*\*|~~[^~\n]+~~|\\[*_`#\[]|^\$\$|<https?://[^>\s]+>|(?<![\w*\\])\*[^\s*][^*\n]*\*(?![\w*])|(?<![\w_])__?[^\s_][^_\n]*[^\s_]__?(?![\w_])|(?:\A|\n[ \t]*\r?\n) {4}\S",
+    r"^#{1,6}[ \t]+[^\n]*[^\s.!?;:,][ \t\r]*$|^[^\S\n]*+\S[^\n]*+\n(?:={3,}|-{2,})[ \t\r]*$|^\|?[ \t]*:?-{2,}:?[ \t]*\|[-:| \t]*$|^[ \t]{0,3}[-+][ \t]+\S|^[ \t]{0,3}\d+\.[ \t]+\S|\]\((?:[^()\n]|\([^()\n]*\))*+\)|\*\*[^\s*][^*\n]*\*\*|~~[^~\n]+~~|\\[*_`#\[]|^\$\$|<https?://[^<>\s]+>|(?<![\w*\\])\*[^\s*][^*\n]*\*(?![\w*])|(?<![\w_])__?[^\s_][^_\n]*[^\s_]__?(?![\w_])|(?:\A|\n[ \t]*\r?\n) {4}\S",
     re.M,
 )
 _SIGNS = re.compile(r"[<>\[\]{}|\\*#=`~$_&;+'-]|^[ \t]*\d+\.[ \t]|^ {4}", re.M)
@@ -138,7 +202,7 @@ _INDENTED = re.compile(r"(?:\A|\n[ \t]*\r?\n)(?: {4}[^\n]*(?:\n|\Z))+")
 _WIKI_TAG = re.compile(r"<(?:pre|ref|nowiki|syntaxhighlight|source|math)\b", re.I)
 _FENCED = re.compile(r"^(?:```|~~~)", re.M)
 _TICKED = re.compile(r"`[^`\n]+`")
-_DOLLARS = re.compile(r"\$(?=[^\s$])[^$\n]*[\\^_={][^$\n]*(?<=[^\s$])\$(?!\d)")
+_DOLLARS = re.compile(r"\$(?=[^\s$])(?=[^$\n]*[\\^_={])[^$\n]*+(?<=[^\s$])\$(?!\d)")
 _TAGGED = re.compile(r"</?(?:p|ul|ol|li|h[1-6]|table|tr|td|span|b|i|em|pre|code|a)\b[^<>]*>", re.I)
 
 
@@ -150,7 +214,7 @@ def markup_of(source: str, hint: str | None = None) -> str:
     """
     if not _SIGNS.search(source):
         return "wikitext"
-    bare = _HIDDEN.sub(_gap, source) if _HIDES.search(source) else source
+    bare = _regions(source, _HIDDEN, _hidden_closer, lambda m, _: "\n" if m["fence"] else " ") if _HIDES.search(source) else source
     tex = 0
     if "\\" in source and not _MATH_SPAN.search(source):
         tex = 2 * len(_TEX.findall(bare)) + 3 * ("\\begin{verbatim}" in source or "\\begin{lstlisting}" in source)
@@ -170,24 +234,28 @@ def markup_of(source: str, hint: str | None = None) -> str:
     return hint if hint in leaders else leaders[0]
 
 
-def _gap(m: re.Match) -> str:
-    return "\n" if m[2] else " "
+def _hidden_closer(m: re.Match) -> str | re.Pattern:
+    if m["tag"]:
+        return _CLOSING[m["tag"].lower()]
+    if m["fence"]:
+        return re.compile(rf"^{m['fence']}[ \t\r]*$", re.M)
+    if m["raw"]:
+        return f"\\end{{{m['raw']}}}"
+    return "-->" if m[0] == "<!--" else ""
 
 
 # ---- wikitext and HTML ------------------------------------------------------
 
 _PROTECTED = re.compile(
-    r"(?P<comment><!--.*?(?:-->|\Z))|<(?P<tag>pre|syntaxhighlight|source|nowiki|math|script|style)\b(?P<attrs>[^<>]*?)(?<!/)>(?P<body>.*?)</(?P=tag)\s*>"
-    r"|<span\s[^<>]*class=[\"']?[^<>\"']*\bmath\b[^<>]*>(?P<span>.*?)</span\s*>",
-    re.S | re.I,
+    r"<!--|<(?P<tag>pre|syntaxhighlight|source|nowiki|math|script|style)\b(?P<attrs>[^<>]*?)(?<!/)>|<(?P<span>span)\s[^<>]*class=[\"']?[^<>\"']*\bmath\b[^<>]*>", re.I
 )
-_BROKEN_TAG = re.compile(r"</?[A-Za-z][^<>]*[\r\n][^<>]*>")
-_TEMPLATE = re.compile(r"\{\{\{?([^{}]*)\}?\}\}")
+_MULTILINE_TAG = re.compile(r"</?[A-Za-z][^<>]*>")
+_BRACES = re.compile(r"\{+|\}+")
+_HELD = re.compile(r"\x00(\d+)\x00")
 _WIKI_INLINE = re.compile(
     r"\x00(?P<held>\d+)\x00|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?/?>|&(?P<entity>#\d+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
-    r"|(?P<quotes>'{2,})|\[\[(?P<link>[^\[\]\n]+)\]\]|\[(?P<url>(?:https?:|ftp:|mailto:)[^\s\]]+)[ \t]*(?P<label>[^\]\n]*)\]|(?P<switch>__[A-Z]{3,}__)|(?P<sign>~{3,5})(?!~)"
+    r"|(?P<quotes>'{2,})|\[\[(?P<link>[^\[\]\n]+)\]\]|\[(?P<url>(?:https?:|ftp:|mailto:)[^\s\[\]]+)[ \t]*(?P<label>[^\[\]\n]*)\]|(?P<switch>__[A-Z]{3,}__)|(?P<sign>~{3,5})(?!~)"
 )
-_WIKI_HEADING = re.compile(r"(={1,6})(.*[^=\s].*?)(={1,6})[ \t]*(?:\x00\d+\x00[ \t]*)*$")
 _LIST_MARK = re.compile(r"[*#:;]+")
 _WIKI_LISTS = {"*": "ul", "#": "ol", ":": "dl"}
 
@@ -204,7 +272,7 @@ def _wiki_inline(b: Builder, text: str, held: list[tuple[str, str]]) -> None:
         kind = m.lastgroup
         if m["held"] is not None:
             b.text(text[at : m.start()])
-            _release(b, *held[int(m["held"])])
+            _release(b, *held[int(m["held"])], held)
         elif m["name"] is not None:
             name = m["name"].lower()
             known = name in HEADINGS or name in LISTS or name in TABLES
@@ -239,21 +307,82 @@ def _wiki_inline(b: Builder, text: str, held: list[tuple[str, str]]) -> None:
     b.text(text[at:])
 
 
-def _release(b: Builder, kind: str, body: str) -> None:
+def _release(b: Builder, kind: str, body: str, held: list[tuple[str, str]]) -> None:
     if kind == "code":
         b.code(body)
     elif kind in ("formula", "display"):
         b.formula(body, kind == "display")
     else:
         b.inline()
-        if body:
-            b.text(body)
+        # what a template shows may hold what other templates show
+        waiting = [body]
+        while waiting:
+            text = waiting.pop()
+            m = _HELD.search(text)
+            b.text(text[: m.start()] if m else text)
+            if m:
+                waiting += [text[m.end() :], held[int(m[1])][1]]
 
 
 def _untagged(text: str) -> str:
     return html.unescape(re.sub(r"</?[A-Za-z][^<>]*>", "", text))
 
 
+def _templates(text: str, hold: Callable[[str, str], str]) -> str:
+    """text with every balanced template or parameter held; it shows its last unnamed argument.
+
+    Inner ones come first; one with a single brace of its own in it is none.
+    """
+    frames: list[list] = [[0, [], False]]  # braces, pieces, whether a single brace is among them
+    at = 0
+
+    def literal(piece: str, broken: bool) -> None:
+        frames[-1][1].append(piece)
+        frames[-1][2] |= broken
+
+    for m in _BRACES.finditer(text):
+        frames[-1][1].append(text[at : m.start()])
+        at, n = m.end(), len(m[0])
+        if m[0][0] == "{":
+            if n == 1:
+                literal("{", True)
+            else:
+                frames.append([n, [], False])
+            continue
+        while n >= 2 and len(frames) > 1:
+            opened, pieces, broken = frames.pop()
+            if broken:
+                literal("{" * opened, True)
+                frames[-1][1] += pieces
+                continue
+            take = 3 if opened >= 3 and n >= 3 else 2
+            shown = [p for p in "".join(pieces).split("|")[1:] if "=" not in p and p.strip()]
+            mark = hold("inline", shown[-1].strip() if shown else "")
+            opened, n = opened - take, n - take
+            if opened >= 2:
+                frames.append([opened, [mark], False])
+            else:
+                literal("{" * opened + mark, bool(opened))
+        if n:
+            literal("}" * n, True)
+    frames[-1][1].append(text[at:])
+    return "".join(x for opened, pieces, _ in frames for x in ["{" * opened, *pieces])
+
+
+def _heading(line: str) -> tuple[int, str] | None:
+    """(level, title) of a line of wikitext; comments may follow the closing signs."""
+    text = line.rstrip(" \t")
+    while text.endswith("\x00") and text[(begin := text.rfind("\x00", 0, -1)) + 1 : -1].isdigit():
+        text = text[:begin].rstrip(" \t")
+    left, right = min(len(text) - len(text.lstrip("=")), 6), min(len(text) - len(text.rstrip("=")), 6)
+    inner = text[left : len(text) - right]
+    if not left or not right or not inner.strip("= \t"):
+        return None
+    level = min(left, right)
+    # signs beyond the shorter run belong to the title
+    return level, ("=" * (left - level) + inner + "=" * (right - level)).strip()
+
+
 def read_wikitext(source: str) -> Builder:
     """Wikitext with HTML in it, or plain HTML."""
     held: list[tuple[str, str]] = []
@@ -262,35 +391,30 @@ def read_wikitext(source: str) -> Builder:
         held.append((kind, body))
         return f"\x00{len(held) - 1}\x00"
 
-    def protect(m: re.Match) -> str:
-        if m["comment"] is not None:
+    def closer(m: re.Match) -> str | re.Pattern:
+        return "-->" if m[0] == "<!--" else _CLOSING[(m["tag"] or m["span"]).lower()]
+
+    def protect(m: re.Match, body: str) -> str:
+        if m[0] == "<!--":
             return hold("inline", "")
-        if m["span"] is not None:
-            inner = m["span"].strip()
+        if m["span"]:
+            inner = body.strip()
             return hold("display" if inner.startswith("\\[") else "formula", re.sub(r"^\\[(\[]|\\[)\]]$", "", inner).strip())
         name = m["tag"].lower()
         if name == "math":
-            return hold("display" if "block" in m["attrs"] else "formula", _untagged(m["body"]).strip())
+            return hold("display" if "block" in m["attrs"] else "formula", _untagged(body).strip())
         if name in ("script", "style"):
-            return hold("formula" if "math/tex" in m["attrs"] else "inline", m["body"] if "math/tex" in m["attrs"] else "")
+            return hold("formula" if "math/tex" in m["attrs"] else "inline", body if "math/tex" in m["attrs"] else "")
         if name == "nowiki":
-            return hold("inline", html.unescape(m["body"]))
-        return hold("code", _untagged(m["body"]).strip("\r\n"))
+            return hold("inline", html.unescape(body))
+        return hold("code", _untagged(body).strip("\r\n"))
 
     text = source.replace("\x00", "")
     if "<" in text:
-        text = _PROTECTED.sub(protect, text)
-        text = _BROKEN_TAG.sub(lambda m: _LINES.sub(" ", m[0]), text)
-    while "{{" in text:
-        # innermost first; a template shows its last unnamed argument
-
-        def shown(m: re.Match) -> str:
-            parts = [p for p in m[1].split("|")[1:] if "=" not in p and p.strip()]
-            return hold("inline", re.sub(r"\x00(\d+)\x00", lambda h: held[int(h[1])][1], parts[-1].strip()) if parts else "")
-
-        text, n = _TEMPLATE.subn(shown, text)
-        if not n:
-            break
+        text = _regions(text, _PROTECTED, closer, protect)
+        text = _MULTILINE_TAG.sub(lambda m: _LINES.sub(" ", m[0]) if "\n" in m[0] or "\r" in m[0] else m[0], text)
+    if "{{" in text:
+        text = _templates(text, hold)
     b = Builder()
     tables, marks = 0, ""
 
@@ -309,14 +433,11 @@ def read_wikitext(source: str) -> Builder:
         lead = bare[0]
         if lead not in "*#:;":
             leave_lists()
-        if lead == "=" and (m := _WIKI_HEADING.match(bare)):
-            level = min(len(m[1]), len(m[3]))
-            tag = f"h{level}"
+        if lead == "=" and (heading := _heading(bare)):
             b.paragraph()
-            b.open(tag)
-            # signs beyond the shorter run belong to the title
-            _wiki_inline(b, ("=" * (len(m[1]) - level) + m[2] + "=" * (len(m[3]) - level)).strip(), held)
-            b.close(tag)
+            b.open(f"h{heading[0]}")
+            _wiki_inline(b, heading[1], held)
+            b.close(f"h{heading[0]}")
             continue
         if bare.startswith("{|"):
             tables += 1
@@ -373,13 +494,15 @@ def read_wikitext(source: str) -> Builder:
 # ---- Markdown ---------------------------------------------------------------
 
 _FENCE = re.compile(r" {0,3}(`{3,}|~{3,})")
-_ATX = re.compile(r" {0,3}(#{1,6})(?:[ \t]+(.*?))?(?:[ \t]+#+)?[ \t]*$")
+_ATX = re.compile(r" {0,3}(#{1,6})(?=[ \t]|$)")
 _BULLET = re.compile(r"[ \t]*(?:([-*+])|(\d{1,9})[.)])[ \t]+(?:\[[ xX]\][ \t]+)?(?=\S)")
-_RULE_ROW = re.compile(r"\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)*\|?[ \t]*$")
+_RULE_ROW = re.compile(r"\|?[ \t]*:?-{2,}:?[ \t]*+(?:\|[ \t]*+:?-{2,}+:?[ \t]*+)*+\|?[ \t]*$")
+_TEX_SPAN = re.compile(r"\$\$|\\\[|\\\(")
+_PRE_OR_MATH = re.compile(r"<!--|<(?P<tag>pre|math)\b[^<>]*>", re.I)
 _MARK_INLINE = re.compile(
-    r"\x00(?P<held>\d+)\x00|(?P<escape>\\[\\`*_{}\[\]()#+\-.!~|<>$])|(?P<ticks>`+)(?P<code>.+?)(?P=ticks)|(?P<image>!)?\[(?P<label>[^\[\]\n]*)\]\((?P<url>[^()\n]*(?:\([^()\n]*\)[^()\n]*)*)\)"
+    r"\x00(?P<held>\d+)\x00|(?P<escape>\\[\\`*_{}\[\]()#+\-.!~|<>$])|(?P<ticks>(?<!`)`++)(?P<code>[^`\n]++(?:(?!(?P=ticks)(?!`))`++[^`\n]++)*)(?P=ticks)(?!`)|(?P<image>!)?\[(?P<label>[^\[\]\n]*)\]\((?P<url>[^()\n]*(?:\([^()\n]*\)[^()\n]*)*)\)"
     r"|<(?P<auto>(?:https?:|mailto:)[^<>\s]+)>|<(?P<close>/?)(?P<name>[A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?/?>|&(?P<entity>#\d+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
-    r"|\$(?P<math>(?=[^\s$])[^$\n]*?(?<=[^\s$]))\$(?!\d)|(?P<stars>\*{1,3})(?=[^\s*])(?P<strong>[^*\n]*?(?<=[^\s*]))(?P=stars)(?!\*)|(?<![\w_])(?P<lows>_{1,3})(?=[^\s_])(?P<emph>[^\n]*?(?<=[^\s_]))(?P=lows)(?![\w_])"
+    r"|\$(?P<math>(?=[^\s$])[^$\n]*?(?<=[^\s$]))\$(?!\d)|(?P<stars>\*{1,3})(?=[^\s*])(?P<strong>[^*\n]*?(?<=[^\s*]))(?P=stars)(?!\*)|(?<![\w_])(?P<lows>_{1,3})(?=[^\s_])(?P<emph>(?:[^_\n]|(?<=\w)_++(?=\w))*(?<=[^\s_]))(?P=lows)(?![\w_])"
     r"|~~(?P<gone>[^~\n]+)~~|\[\^(?P<note>[^\]\s]+)\]"
 )
 
@@ -389,7 +512,7 @@ def _mark_inline(b: Builder, text: str, held: list[tuple[str, str]]) -> None:
     for m in _MARK_INLINE.finditer(text):
         if m["held"] is not None:
             b.text(text[at : m.start()])
-            _release(b, *held[int(m["held"])])
+            _release(b, *held[int(m["held"])], held)
             at = m.end()
             continue
         if m["name"] is not None:
@@ -428,6 +551,19 @@ def _mark_inline(b: Builder, text: str, held: list[tuple[str, str]]) -> None:
     b.text(text[at:])
 
 
+def _tex_spans(text: str, hold: Callable[[str, str], str]) -> str:
+    """text with ``$$ $$``, ``\\[ \\]`` (on one line, without other brackets) and ``\\( \\)`` held as formulas."""
+    closers, out, done, at = Closers(text), [], 0, 0
+    while m := _TEX_SPAN.search(text, at):
+        at = m.end()
+        place = closers.find({"$$": "$$", "\\[": "\\]", "\\(": "\\)"}[m[0]], at + 1)
+        if place is None or (m[0] == "\\[" and re.search(r"[\]\n]", text[at : place[0]])):
+            continue
+        out += [text[done : m.start()], hold("formula" if m[0] == "\\(" else "display", text[at : place[0]].strip())]
+        done = at = place[1]
+    return "".join([*out, text[done:]])
+
+
 def read_markdown(source: str) -> Builder:
     held: list[tuple[str, str]] = []
 
@@ -461,10 +597,11 @@ def read_markdown(source: str) -> Builder:
             blank = True
         elif line.lstrip().startswith("$$"):
             body = line.lstrip()[2:]
-            while "$$" not in body and i + 1 < len(lines):
+            read = [body]
+            while "$$" not in read[-1] and i + 1 < len(lines):
                 i += 1
-                body += "\n" + lines[i]
-            body, _, rest = body.partition("$$")
+                read.append(lines[i])
+            body, _, rest = "\n".join(read).partition("$$")
             out.append(("display", body.strip()))
             if rest.strip():
                 out.append(rest)
@@ -478,11 +615,10 @@ def read_markdown(source: str) -> Builder:
         joined.append(f"{hold(*x)}" if isinstance(x, tuple) else x)
     text = "\n".join(joined)
     if "<" in text:
-        text = re.sub(r"<!--.*?(?:-->|\Z)", lambda m: hold("inline", ""), text, flags=re.S)
-        text = re.sub(r"<pre\b[^<>]*>(.*?)</pre\s*>", lambda m: hold("code", _untagged(m[1]).strip("\n")), text, flags=re.S | re.I)
-        text = re.sub(r"<math\b[^<>]*>(.*?)</math\s*>", lambda m: hold("formula", _untagged(m[1])), text, flags=re.S | re.I)
+        kinds = {"pre": lambda body: hold("code", _untagged(body).strip("\n")), "math": lambda body: hold("formula", _untagged(body))}
+        text = _regions(text, _PRE_OR_MATH, lambda m: _CLOSING[m["tag"].lower()] if m["tag"] else "-->", lambda m, body: kinds[m["tag"].lower()](body) if m["tag"] else hold("inline", ""))
     if "$$" in text or "\\[" in text or "\\(" in text:
-        text = re.sub(r"\$\$(.+?)\$\$|\\\[(?=[^\]\n]*\\\])(.+?)\\\]|\\\((.+?)\\\)", lambda m: hold("formula" if m[3] else "display", (m[1] or m[2] or m[3]).strip()), text, flags=re.S)
+        text = _tex_spans(text, hold)
     lines, i, open_list = text.split("\n"), 0, None
 
     def end_list() -> None:
@@ -502,7 +638,9 @@ def read_markdown(source: str) -> Builder:
             end_list()
             b.paragraph()
             b.open(f"h{len(m[1])}")
-            _mark_inline(b, m[2] or "", held)
+            title = line[m.end() :].strip(" \t")
+            bare_title = title.rstrip("#")
+            _mark_inline(b, bare_title.rstrip() if not bare_title or bare_title[-1] in " \t" else title, held)
             b.close(f"h{len(m[1])}")
         elif m := _BULLET.match(line):
             kind = "ul" if m[1] else "ol"
@@ -564,15 +702,17 @@ def _near_list(out: list) -> bool:
 # ---- LaTeX ------------------------------------------------------------------
 
 _TEX_TOKEN = re.compile(
-    r"\\begin\{(?P<raw>verbatim\*?|lstlisting|minted|Verbatim)\}(?:\[[^\]]*\])?(?P<code>.*?)\\end\{(?P=raw)\}"
-    r"|\\begin\{(?P<env>equation|align|gather|multline|eqnarray|displaymath|math)(?P<star>\*?)\}(?P<display>.*?)\\end\{(?P=env)(?P=star)\}"
-    r"|\\verb\*?(?P<mark>[^\w\s*])(?P<verb>.*?)(?P=mark)|\$\$(?P<dollars>.+?)\$\$|\\\[(?P<square>.+?)\\\]|\\\((?P<round>.+?)\\\)|\$(?P<math>(?=[^\s$])[^$]*?(?<=[^\s$]))\$(?!\d)"
-    r"|\\(?P<way>begin|end)\{(?P<what>[A-Za-z]+\*?)\}(?:\[[^\]\n]*\])?(?:\{[^{}\n]*\})?|\\(?P<section>part|chapter|(?:sub){0,2}section|(?:sub)?paragraph)\*?(?:\[[^\]\n]*\])?\{"
-    r"|\\(?P<item>item)\b(?:\[(?P<term>[^\]\n]*)\])?|(?P<newline>\\\\)(?:\[[^\]\n]*\])?|(?P<comment>(?<![\\\d])%[^\n]*)|\\(?P<accent>['`^\"~=.])(?:\{(?P<base>\w)\}|(?P<base2>[A-Za-z]))"
-    r"|\\(?P<drop>ref|cite[pt]?|label|pageref|index|usepackage|documentclass|vspace|hspace)\*?(?:\[[^\]\n]*\])?\{[^{}\n]*\}|\\(?P<command>text[a-z]{2}|emph|footnote|underline|href|url|caption|title|author|mbox|bf|it|em|tt|sc|rm|large|small|centering|hline|maketitle|par|noindent|ldots|LaTeX|TeX)(?![A-Za-z])\*?(?P<grab>\{)?"
-    r"|\\(?P<sign>[%$&#_{}])|(?P<blank>\n[ \t]*\n\s*)|(?P<open>\{)|(?P<shut>\})|(?P<amp>&)",
+    r"\\verb\*?(?P<mark>[^\w\s*])|(?P<dollars>\$\$)|(?P<square>\\\[)|(?P<round>\\\()|\$(?P<math>(?=[^\s$])[^$]*?(?<=[^\s$]))\$(?!\d)"
+    r"|\\(?P<way>begin|end)\{(?P<what>[A-Za-z]+\*?)\}(?:\[[^\[\]\n]*\])?(?:\{[^{}\n]*\})?|\\(?P<section>part|chapter|(?:sub){0,2}section|(?:sub)?paragraph)\*?(?:\[[^\[\]\n]*\])?\{"
+    r"|\\(?P<item>item)\b(?:\[(?P<term>[^\[\]\n]*)\])?|(?P<newline>\\\\)(?:\[[^\[\]\n]*\])?|(?P<comment>(?<![\\\d])%[^\n]*)|\\(?P<accent>['`^\"~=.])(?:\{(?P<base>\w)\}|(?P<base2>[A-Za-z]))"
+    r"|\\(?P<drop>ref|cite[pt]?|label|pageref|index|usepackage|documentclass|vspace|hspace)\*?(?:\[[^\[\]\n]*\])?\{[^{}\n]*\}|\\(?P<command>text[a-z]{2}|emph|footnote|underline|href|url|caption|title|author|mbox|bf|it|em|tt|sc|rm|large|small|centering|hline|maketitle|par|noindent|ldots|LaTeX|TeX)(?![A-Za-z])\*?(?P<grab>\{)?"
+    r"|\\(?P<sign>[%$&#_{}])|(?P<blank>\n[ \t]*+\n\s*)|(?P<open>\{)|(?P<shut>\})|(?P<amp>&)",
     re.S,
 )
+# Environments of LaTeX whose text is code, or a displayed formula.
+TEX_CODE = {"verbatim", "verbatim*", "lstlisting", "minted", "Verbatim"}
+TEX_DISPLAY = {x + star for x in ("equation", "align", "gather", "multline", "eqnarray", "displaymath", "math") for star in ("", "*")}
+_TEX_OPTION = re.compile(r"\[[^\[\]]*\]")
 # Combining marks of the accent commands.
 TEX_ACCENTS = {"'": "́", "`": "̀", "^": "̂", '"': "̈", "~": "̃", "=": "̄", ".": "̇"}
 
@@ -584,8 +724,34 @@ def read_latex(source: str) -> Builder:
     text = _LINES.sub("\n", source)
     b.paragraph()
     at, groups, rows = 0, [], 0
-    for m in _TEX_TOKEN.finditer(text):
-        kind = m.lastgroup
+    closers, look = Closers(text), 0
+    while m := _TEX_TOKEN.search(text, look):
+        kind, look = m.lastgroup, m.end()
+        if kind in ("mark", "dollars", "square", "round"):
+            place = closers.find({"dollars": "$$", "square": "\\]", "round": "\\)"}.get(kind) or m["mark"], look + (kind != "mark"))
+            if place is None:
+                if kind == "dollars":
+                    look -= 1
+                continue
+            b.text(text[at : m.start()])
+            body, at = text[look : place[0]], place[1]
+            look = at
+            if kind == "mark":
+                b.inline()
+                b.leaf("code", body)
+            else:
+                b.formula(body.strip(), kind != "round")
+            continue
+        if m["way"] == "begin" and (m["what"] in TEX_CODE or m["what"] in TEX_DISPLAY):
+            start = m.end("what") + 1
+            if m["what"] in TEX_CODE and (option := _TEX_OPTION.match(text, start)):
+                start = option.end()
+            if place := closers.find(f"\\end{{{m['what']}}}", start):
+                b.text(text[at : m.start()])
+                body, at = text[start : place[0]], place[1]
+                look = at
+                b.code(body.strip("\n")) if m["what"] in TEX_CODE else b.formula(body.strip(), True)
+                continue
         if kind == "amp" and not rows:
             continue
         if kind == "open" and not groups and "\\" not in text[m.end() : m.end() + 4]:
@@ -594,15 +760,8 @@ def read_latex(source: str) -> Builder:
             continue
         b.text(text[at : m.start()])
         at = m.end()
-        if m["raw"]:
-            b.code(m["code"].strip("\n"))
-        elif m["env"] is not None:
-            b.formula(m["display"].strip(), True)
-        elif m["verb"] is not None:
-            b.inline()
-            b.leaf("code", m["verb"])
-        elif kind in ("dollars", "square", "round", "math"):
-            b.formula(m[kind].strip(), kind in ("dollars", "square"))
+        if kind == "math":
+            b.formula(m["math"].strip())
         elif m["what"]:
             name = m["what"]
             if name in TEX_LISTS:
@@ -673,7 +832,8 @@ READERS = {"wikitext": read_wikitext, "markdown": read_markdown, "latex": read_l
 
 
 def measure(root: Node) -> None:
-    """chars, tags, link_chars, link_tags, density and total (sum of child densities) of every node."""
+    """chars, tags, link_chars, link_tags, density and total (sum of child densities) of every
+    node, and whether it holds blocks or blocks that are marked."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -687,6 +847,8 @@ def measure(root: Node) -> None:
                 tags += kid.tags + 1
                 link_chars += kid.link_chars
                 link_tags += kid.link_tags + (kid.tag == "a")
+                node.blocks = node.blocks or kid.blocks or kid.tag in BLOCKS
+                node.solid = node.solid or kid.solid or kid.tag in SOLID
             else:
                 chars += len(kid.strip())
         node.chars, node.tags, node.link_tags = chars, tags, link_tags
@@ -702,61 +864,59 @@ def measure(root: Node) -> None:
         node.total = sum(k.density for k in node.kids if k.__class__ is Node)
 
 
-def content(root: Node) -> list[Node]:
-    """The nodes to keep: the subtree of the greatest density sum, and what is as dense as the way up to it.
+def content(root: Node) -> Node:
+    """The tree with the nodes that are no content marked as dropped.
 
-    Beside that subtree, headings, tables, lists, code and formulas that are not
-    mostly links stay too, for they are sparse by nature.
+    The subtree of the greatest density sum, at any depth, is the content. The
+    least density on its way up to the body is the threshold: a container off that
+    way that is less dense and mostly links is dropped, as is the head of a page.
+    Headings, lists, tables, code and formulas are sparse by nature and stay.
     """
     measure(root)
-    way: list[Node] = []
-    best: list[Node] = [root]
-
-    def walk(node: Node, above: list[Node]) -> None:
-        nonlocal best
-        here = [*above, node]
-        if node.total > best[-1].total:
-            best = here
-        for kid in node.kids:
-            if kid.__class__ is Node and kid.tag in BLOCKS and len(here) < 200:
-                walk(kid, here)
-
-    walk(root, way)
-    if best[-1] is root:
-        return [root]
-    threshold = min(n.density for n in best)
-    kept = []
-    chosen = best[1] if len(best) > 1 else root
-    for kid in root.kids:
-        if kid.__class__ is not Node:
-            kept.append(_text_node(kid))
-        elif kid is chosen or kid.density >= threshold or kid.link_chars * 2 <= kid.chars:
-            kept.append(kid)
-    return kept
-
-
-def _text_node(text: str) -> Node:
-    node = Node("span")
-    node.kids.append(text)
-    return node
+    above: dict[int, Node] = {}
+    best, stack = root, [root]
+    while stack:
+        node = stack.pop()
+        if node.total > best.total:
+            best = node
+        for kid in reversed(node.kids):
+            if kid.__class__ is Node and (kid.blocks or kid.tag in BLOCKS):
+                above[id(kid)] = node
+                stack.append(kid)
+    way, node = {id(root)}, best
+    threshold = min(root.density, best.density)
+    while node is not root:
+        way.add(id(node))
+        threshold = min(threshold, node.density)
+        node = above[id(node)]
+    stack = [root]
+    while stack:
+        for kid in stack.pop().kids:
+            if kid.__class__ is Node:
+                if kid.tag in ("head", "title") or (kid.tag in CONTAINERS and id(kid) not in way and kid.density < threshold and kid.link_chars * 2 > kid.chars):
+                    kid.dropped = True
+                elif kid.blocks:
+                    stack.append(kid)
+    return root
 
 
 # ---- clean text -------------------------------------------------------------
 
 
-def _flat(node: Node) -> str:
-    out = []
-    for kid in node.kids:
-        if kid.__class__ is not Node:
-            out.append(kid)
-        elif kid.tag in ("math", "display"):
-            out.append(f"${kid.kids[0]}$")
-        elif kid.tag == "br":
+def _flat(*nodes: Node | str) -> str:
+    """The text of nodes without marks of blocks; blocks and line breaks part words."""
+    out, stack = [], list(reversed(nodes))
+    while stack:
+        node = stack.pop()
+        if node.__class__ is not Node:
+            out.append(node)
+        elif node.tag in ("math", "display"):
+            out.append(f"${node.kids[0]}$")
+        elif node.tag == "br":
             out.append("\n")
-        elif kid.tag == "ref":
-            continue
-        else:
-            out.append(_flat(kid))
+        elif node.tag != "ref" and not node.dropped:
+            parted = [" "] if node.tag in BLOCKS else []
+            stack += [*parted, *reversed(node.kids), *parted]
     return "".join(out)
 
 
@@ -764,105 +924,138 @@ def _words(text: str) -> str:
     return re.sub(r"[ \t\r\n]+", " ", text).strip()
 
 
-def render(nodes: list[Node]) -> str:
-    """Headings as #, list items as - or 1., table rows with |, code in fences, formulas in $."""
-    out: list[str] = []
+class _Writer:
+    """Writes a tree as text. The walks are generators that yield the walks into their
+    children, so a deep tree needs no deep stack."""
+
+    def __init__(self):
+        self.out: list[list[str]] = []
+        self.run: list[str] = []
+        self.last: tuple[int, int] | None = None  # level and number of the item written last
+
+    def written(self, root: Node) -> str:
+        walks = [self.block(root, 0)]
+        while walks:
+            inner = next(walks[-1], None)
+            if inner is None:
+                walks.pop()
+            else:
+                walks.append(inner)
+        self.flush()
+        return "\n\n".join("\n".join(lines) for lines in self.out)
 
-    def block(node: Node, depth: int) -> None:
-        run: list[str] = []
+    def put(self, text: str) -> None:
+        self.out.append([text])
+        self.last = None
 
-        def flush() -> None:
-            text = "\n".join(x for x in (_words(x) for x in "".join(run).split("\n")) if x)
-            run.clear()
-            if text:
-                out.append(text)
+    def flush(self) -> None:
+        text = "\n".join(x for x in (_words(x) for x in "".join(self.run).split("\n")) if x)
+        self.run.clear()
+        if text:
+            self.put(text)
 
+    def block(self, node: Node, level: int):
+        """Headings as #, list items as - or 1., table rows with |, code in fences, formulas in $."""
         for kid in node.kids:
             if kid.__class__ is not Node:
-                run.append(kid)
+                self.run.append(kid)
+            elif kid.dropped or kid.tag == "ref":
+                continue
             elif kid.tag == "math":
-                run.append(f"${_words(kid.kids[0])}$")
-            elif kid.tag not in BLOCKS or depth > 100:
-                run.append("\n" if kid.tag == "br" else "" if kid.tag == "ref" else _flat(kid))
+                self.run.append(f"${_words(kid.kids[0])}$")
+            elif kid.tag == "br":
+                self.run.append("\n")
+            elif kid.tag not in BLOCKS:
+                if kid.blocks:
+                    yield self.block(kid, level)
+                else:
+                    self.run.append(_flat(kid))
             else:
-                flush()
+                self.flush()
                 if kid.tag in HEADINGS:
-                    out.append(f"{'#' * int(kid.tag[1])} {_words(_flat(kid))}")
+                    self.put(f"{'#' * int(kid.tag[1])} {_words(_flat(*kid.kids))}")
                 elif kid.tag == "pre":
-                    out.append(f"```\n{kid.kids[0]}\n```")
+                    self.put(f"```\n{kid.kids[0]}\n```")
                 elif kid.tag == "display":
-                    out.append(f"$${_words(kid.kids[0])}$$")
+                    self.put(f"$${_words(kid.kids[0])}$$")
                 elif kid.tag in ("ul", "ol", "dl"):
-                    items(kid, depth)
-                elif kid.tag == "table":
-                    rows(kid)
+                    yield self.items(kid, level)
+                elif kid.tag in LISTS:
+                    yield self.item(kid, ": " if kid.tag == "dd" else "- ", level, 0)
+                elif kid.tag in TABLES:
+                    self.rows(kid)
                 else:
-                    block(kid, depth + 1)
-        flush()
-
-    def items(node: Node, depth: int) -> None:
-        lines, number = [], 0
+                    yield self.block(kid, level)
+                    self.flush()
+
+    def items(self, node: Node, level: int, nested: bool = False):
+        # a list goes on with the one before it if both are numbered or neither is
+        number = self.last[1] if node.tag == "ol" and self.last and self.last[0] == level else 0
+        if not nested and self.last and (self.last[1] > 0) != (node.tag == "ol"):
+            self.last = None
         for kid in node.kids:
             if kid.__class__ is not Node:
+                self.run.append(kid)
                 continue
+            if kid.tag in LISTS:
+                self.flush()
             if kid.tag in ("ul", "ol", "dl"):
-                inner: list[str] = out.copy()
-                out.clear()
-                items(kid, depth + 1)
-                lines += ["  " + x for part in out for x in part.split("\n")]
-                out[:] = inner
-                continue
-            number += 1
-            mark = f"{number}. " if node.tag == "ol" else ": " if kid.tag == "dd" else "- "
-            own, nested = Node(kid.tag), []
-            for x in kid.kids:
-                (nested if x.__class__ is Node and x.tag in ("ul", "ol", "dl") else own.kids).append(x)
-            lines.append(mark + _words(_flat(own)))
-            for x in nested:
-                inner = out.copy()
-                out.clear()
-                items(x, depth + 1)
-                lines += ["  " + y for part in out for y in part.split("\n")]
-                out[:] = inner
-        if lines:
-            if out and out[-1][:1] in "-:1" and node.tag == "ol" and lines[0].startswith("1. ") and re.match(r"\d+\. ", out[-1].rsplit("\n", 1)[-1]):
-                lines[0] = f"{int(out[-1].rsplit(chr(10), 1)[-1].split('.')[0]) + 1}. {lines[0][3:]}"
-                out[-1] += "\n" + "\n".join(lines)
-            elif out and out[-1].rsplit("\n", 1)[-1][:2] in ("- ", ": ") and node.tag != "ol":
-                out[-1] += "\n" + "\n".join(lines)
+                yield self.items(kid, level + 1, True)
+            elif kid.tag in LISTS:
+                number += 1
+                mark = f"{number}. " if node.tag == "ol" else ": " if kid.tag == "dd" else "- "
+                yield self.item(kid, mark, level, number if node.tag == "ol" else 0)
+            else:
+                holder = Node("span")
+                holder.kids = [kid]
+                yield self.block(holder, level)
+        self.flush()
+
+    def item(self, node: Node, mark: str, level: int, number: int):
+        own = [k for k in node.kids if k.__class__ is not Node or not (k.tag in SOLID or k.solid)]
+        text = _words(_flat(*own))
+        if text:
+            line = "  " * min(level, MAX_INDENT) + mark + text
+            if self.last is None:
+                self.out.append([line])
             else:
-                out.append("\n".join(lines))
-
-    def rows(node: Node) -> None:
-        lines, loose = [], []
-
-        def visit(at: Node) -> None:
-            for kid in at.kids:
-                if kid.__class__ is not Node:
-                    continue
-                if kid.tag == "tr":
-                    cells = [_words(_flat(c)) for c in kid.kids if c.__class__ is Node and c.tag in ("td", "th")]
-                    if any(cells):
-                        lines.append("| " + " | ".join(cells) + " |")
-                elif kid.tag in ("td", "th"):
-                    loose.append(_words(_flat(kid)))
-                elif kid.tag == "caption":
-                    lines.append(_words(_flat(kid)))
+                self.out[-1].append(line)
+            self.last = (level, number)
+        rest = Node("span")
+        for kid in node.kids:
+            if kid.__class__ is Node and not kid.dropped and (kid.tag in SOLID or kid.solid):
+                if kid.tag in ("ul", "ol", "dl"):
+                    yield self.items(kid, level + 1, True)
                 else:
-                    visit(kid)
-
-        visit(node)
-        if loose:
+                    rest.kids = [kid]
+                    yield self.block(rest, level + 1)
+        self.flush()
+
+    def rows(self, node: Node) -> None:
+        lines, loose, stack = [], [], [node]
+        while stack:
+            at = stack.pop()
+            if at.tag == "tr":
+                cells = [_words(_flat(c)) for c in at.kids if c.__class__ is Node and c.tag in ("td", "th")]
+                if any(cells):
+                    lines.append("| " + " | ".join(cells) + " |")
+            elif at.tag in ("td", "th"):
+                loose.append(_words(_flat(at)))
+            elif at.tag == "caption":
+                lines.append(_words(_flat(at)))
+            else:
+                stack += reversed([k for k in at.kids if k.__class__ is Node and not k.dropped])
+        if any(loose):
             at = 1 if lines and not lines[0].startswith("|") else 0
             lines.insert(at, "| " + " | ".join(loose) + " |")
+        lines = [x for x in lines if x]
         if lines:
-            out.append("\n".join(lines))
+            self.put("\n".join(lines))
+
 
-    for node in nodes:
-        top = Node("body")
-        top.kids = node.kids if node.tag == "body" else [node]
-        block(top, 0)
-    return "\n\n".join(out)
+def render(root: Node) -> str:
+    """The clean text of a measured tree."""
+    return _Writer().written(root)
 
 
 def cleaned(source: str | None, hint: str | None = None) -> tuple[str | None, list[str], str | None]:

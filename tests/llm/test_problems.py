@@ -62,6 +62,48 @@ def test_density_drops_link_blocks_only():
     assert "Long text" in text and "menu 3" not in text and found == ["inline"]
 
 
+PAGE = "<html><head><title>T</title><style>x</style></head><body><div>" + "".join(f"<a href='x'>menu {i}</a> " for i in range(20)) + "</div><h1>A</h1><ul><li>x</li><li>y</li></ul><p>" + "b " * 80 + "</p></body></html>"
+
+
+def test_whole_pages():
+    text, found, _ = markup.cleaned(PAGE)
+    assert text == "# A\n\n- x\n- y\n\n" + ("b " * 80).strip() and found == ["heading", "list", "inline"]
+    article = "<div><div>" + "<p>Words of the entry that go on and on without any link in them.</p>" * 5 + "</div><div><a>one</a> <a>two</a> <a>three</a></div></div>"
+    text, _, _ = markup.cleaned(f"<body>{article}</body>")
+    assert text.count("Words") == 5 and "two" not in text
+    # a list of links is no menu, and structure inside of inline tags, items and loose cells stays
+    assert markup.cleaned("* [[a]]\n* [[b]]")[0] == "- a\n- b"
+    assert markup.cleaned("<b><h2>h</h2><ul><li>x<pre>c</pre></li></ul></b><td>d</td>")[0] == "## h\n\n- x\n\n```\nc\n```\n\n| d |"
+
+
+def test_structure_of_every_source(sf):
+    """Whatever a source has of headings, lists, tables, code and formulas is marked in its clean text."""
+    import re
+
+    import duckdb
+
+    marks = {"heading": r"(?m)^#{1,6} ", "list": r"(?m)^ *(?:-|:|\d+\.) ", "table": r"(?m)^\| ", "code": "```", "formula": r"\$"}
+    rows = duckdb.sql(f"select content_model, source from '{sf}/bundle_pages.parquet' where source <> '' union select null, source from '{sf}/bundle_expander.parquet' where source <> ''").fetchall()
+    assert len(rows) > 100
+    for hint, source in rows:
+        text, found, _ = markup.cleaned(source, hint)
+        assert all(re.search(marks[x], text) for x in found if x != "inline"), source
+
+
+DEEP = ["<b>", "<div>", "<ul><li>", "<ul><li>a", "<table><tr><td>", "{{a|b", "''", "*", "<i><ul>", "\\textbf{", "\\begin{itemize}\\item ", "<nowiki>"]
+WIDE = ["[[", "{{", "<pre>", "<a \n", "](", "![a](", "_a ", "`", "$", "\\(", "\\[", "\\begin{verbatim}", "\\verb|a ", "<!--", "= a =", "|--", "x", " ", "[http://a ", "\\item[", "# a #", "&", "\n", "```\n", "$$\n"]
+
+
+@pytest.mark.parametrize("unit", DEEP + WIDE)
+def test_deep_and_unclosed_markup_is_linear(unit):
+    import time
+
+    for source in (unit * 20_000, (unit * 200_000)[:200_000]):
+        began = time.process_time()
+        assert markup.cleaned(source + "\nend")[0] is not None
+        assert time.process_time() - began < 10
+
+
 def test_markup_rows(spark):
     rows = [("t", 1, "wikitext", "== h =="), ("t", 2, None, None), ("t", 3, "latex", ""), ("u", 1, "html", "a\x00b <i>" + "x" * 300_000), ("t", 4, None, "{{" * 500 + "x"), ("t", 5, None, "<div>" * 400)]
     df = spark.createDataFrame(rows, "src_table string, src_id long, hint string, source string")
