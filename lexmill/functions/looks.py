@@ -1,20 +1,21 @@
-"""Forms of a text in which what looks the same is the same.
+"""The form of a text in which what looks the same is the same.
 
-``look_column`` keeps all that can be seen (case, accents, raised and circled
-characters); ``fold_column`` drops more and serves as a coarser key.
+``look_column`` keeps all that can be seen: case, accents, raised and circled
+characters. Look-alike letters are those of ``LOOKALIKES`` and, on a session with
+a JVM, the single-letter pairs of the public table of confusable characters that
+Spark's own Unicode library holds (``confusables``).
 """
 
 from __future__ import annotations
 
 import sys
 import unicodedata
-from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# Letters of other scripts and the Latin letters they look like.
+# Letters of other scripts and the Latin letters they look like; these go before those of the table.
 LOOKALIKES = dict(
     zip(
         "аеорсухіјѕһԁԛԝ"
@@ -46,63 +47,86 @@ def _one(char: str) -> str:
     return char
 
 
+def _script(char: str) -> str:
+    return unicodedata.name(char, "").split(" ")[0]
+
+
+def _confusables(checker) -> dict[str, str]:
+    letters = [c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) in ("Lu", "Ll") and not unicodedata.decomposition(c) and _script(c) != "LATIN"]
+    latin = [c for c in map(chr, range(128)) if c.isalpha()]
+    shown = checker.getSkeleton("\n".join(letters + latin)).split("\n")
+    by_look: dict[str, list[str]] = {}
+    for letter, skeleton in zip(latin, shown[len(letters) :], strict=True):
+        by_look.setdefault(skeleton, []).append(letter)
+    taken = {(_script(c), latin_one) for c, latin_one in LOOKALIKES.items()}
+    found: dict[tuple[str, str], list[str]] = {}
+    for letter, skeleton in zip(letters, shown, strict=False):
+        same = by_look.get(skeleton, [])
+        if len(same) == 1 and letter not in LOOKALIKES:
+            found.setdefault((_script(letter), same[0]), []).append(letter)
+    return {own[0]: latin_one for (script, latin_one), own in found.items() if len(own) == 1 and (script, latin_one) not in taken}
+
+
+def confusables(spark: SparkSession | None = None) -> dict[str, str]:
+    """LOOKALIKES and the cased letters of other scripts that the table of confusable
+    characters gives one Latin letter. Two letters of one script never get the same
+    Latin letter, so words of that script stay different. Without a JVM: LOOKALIKES."""
+    spark = spark or SparkSession.getActiveSession()
+    try:
+        checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    except (AttributeError, TypeError):
+        return LOOKALIKES
+    if not _KNOWN:
+        _KNOWN.update(LOOKALIKES | _confusables(checker))
+    return dict(_KNOWN)
+
+
+_KNOWN: dict[str, str] = {}
+
+
 class _Table(dict):
     """A translation table that is filled as characters occur."""
 
+    def __init__(self, letters: dict[str, str]):
+        super().__init__()
+        self.letters = letters
+
     def __missing__(self, code: int) -> str:
         parts = "".join(_one(c) for c in unicodedata.normalize("NFD", chr(code)))
-        out = "".join(LOOKALIKES.get(c, c) for c in unicodedata.normalize("NFD", parts))
+        out = "".join(self.letters.get(c, c) for c in unicodedata.normalize("NFD", parts))
         self[code] = out = "-" if out == "\u2010" else out
         return out
 
 
-_TABLE = _Table()
+_TABLE = _Table(LOOKALIKES)
 
 
-def look(text: str) -> str:
+def look(text: str, table: _Table = _TABLE) -> str:
     """The visible form: no ignorable characters, one kind of space, full-width
     and ligature forms opened, look-alike letters as Latin ones, accents
     composed. Case, accents, raised, circled and fraction characters stay."""
     if text.isascii():
-        return text if text.isprintable() else text.translate(_TABLE)
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text.translate(_TABLE)))
-
-
-def fold(text: str) -> str:
-    """The comparison form: compatibility composed (NFKC), fully case-folded,
-    white space mapped to one space, ignorable characters removed. Case is
-    folded before look-alikes are mapped, so pairs that only look alike in one
-    case still meet; texts with equal ``look`` always have equal ``fold``."""
-    seen = look(text)
-    return unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", seen).casefold())
-
+        return text if text.isprintable() else text.translate(table)
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text.translate(table)))
 
-def _per_distinct(series: pd.Series, form) -> pd.Series:
-    """Applies form once per distinct value of a batch."""
-    codes, values = pd.factorize(series, use_na_sentinel=True)
-    done = pd.Series([form(v) for v in values] + [None], dtype=object)
-    return pd.Series(done.to_numpy()[codes], index=series.index)
 
+def per_distinct(form, column: Column | str) -> Column:
+    """form(text, table) of a string column, once per distinct value of a batch; null stays null.
 
-@lru_cache(maxsize=None)
-def _udf(name: str):
-    form = {"look": look, "fold": fold}[name]
+    The table of letters is small (some hundred) and goes to the workers with the function.
+    """
+    letters = confusables()
 
     def run(series: pd.Series) -> pd.Series:
-        return _per_distinct(series, form)
+        table = _Table(letters)
+        codes, values = pd.factorize(series, use_na_sentinel=True)
+        done = pd.Series([form(v, table) for v in values] + [None], dtype=object)
+        return pd.Series(done.to_numpy()[codes], index=series.index)
 
     run.__annotations__ = {"series": pd.Series, "return": pd.Series}
-    return F.pandas_udf(run, "string")
+    return F.pandas_udf(run, "string")(F.col(column) if isinstance(column, str) else column)
 
 
 def look_column(column: Column | str) -> Column:
     """``look`` of a string column; null stays null, empty stays empty."""
-    return _udf("look")(F.col(column) if isinstance(column, str) else column)
-
-
-def fold_column(column: Column | str) -> Column:
-    """``fold`` of a string column; null stays null, empty stays empty."""
-    return _udf("fold")(F.col(column) if isinstance(column, str) else column)
-
-
-assert sys.maxunicode == 0x10FFFF
+    return per_distinct(look, column)

@@ -2,14 +2,15 @@
 
 Subtree sizes are summed upward, preorder ranges of siblings are allocated
 downward by prefix sums, and a node's descendants are the nodes of its range
-(nested set). Both passes double the distance covered in each round, so a chain
-of depth d takes log2(d) rounds instead of d. Nodes that have not reached a
-root when the number of open nodes stops falling are on or under a cycle.
+(nested set). The pass downward places a node below its ancestors: it gives the
+range, the root and the depth. Both passes double the distance covered in each
+round, so a chain of depth d takes log2(d) rounds instead of d. Nodes that have
+not reached a root when the number of open nodes stops falling are on or under a cycle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.session import cut, table
@@ -18,50 +19,30 @@ from lexmill.session import cut, table
 SIBLING_BLOCK = 4096
 
 
-def _open(df: DataFrame) -> int:
-    return df.where("ptr is not null").count()
+def _round(df: DataFrame) -> tuple[DataFrame, int]:
+    """The state of a round with its lineage cut, and how many nodes are open, counted as it is written."""
+    seen = Observation()
+    state = cut(df.observe(seen, F.count_if(F.col("ptr").isNotNull()).alias("open")))
+    return state, seen.get["open"]
 
 
 def _upward(nodes: DataFrame) -> DataFrame:
-    """node, parent -> plus ptr (null: reached a root), root, depth, size, low.
+    """node, parent -> plus ptr (null: reached a root), size, low.
 
     After k rounds ptr is the 2**k-th ancestor, size counts the descendants
     nearer than 2**k and low is the least id of the 2**k nodes from here up.
     """
-    state = cut(
-        nodes.select(
-            "node",
-            "parent",
-            F.col("parent").alias("ptr"),
-            F.coalesce("parent", "node").alias("root"),
-            F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"),
-            F.lit(1).cast("long").alias("size"),
-            F.least("node", F.coalesce("parent", "node")).alias("low"),
-        )
-    )
-    left, reach, cyclic = _open(state), 1, None
+    start = nodes.select("node", "parent", F.col("parent").alias("ptr"), F.lit(1).cast("long").alias("size"), F.least("node", F.coalesce("parent", "node")).alias("low"))
+    state, left = _round(start)
+    reach, cyclic = 1, None
     while left:
-        far = state.select(F.col("node").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("root").alias("root2"), F.col("depth").alias("depth2"), F.col("low").alias("low2"))
-        moved = state.join(far, "ptr", "left").select(
-            "node",
-            "parent",
-            F.col("ptr2").alias("ptr"),
-            F.coalesce("root2", "root").alias("root"),
-            (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-            "size",
-            F.least("low", F.coalesce("low2", "low")).alias("low"),
-            F.lit(True).alias("own"),
-        )
-        sent = state.where("ptr is not null").groupBy(F.col("ptr").alias("node")).agg(F.sum("size").alias("size"))
-        none = [F.lit(None).cast(moved.schema[c].dataType).alias(c) for c in ("parent", "ptr", "root", "depth")]
-        sent = sent.select("node", *none, "size", F.lit(None).cast("long").alias("low"), F.lit(False).alias("own"))
-        state = cut(
-            moved.unionByName(sent)
-            .groupBy("node")
-            .agg(*[F.max(F.when(F.col("own"), F.col(c))).alias(c) for c in ("parent", "ptr", "root", "depth")], F.sum("size").alias("size"), F.max("low").alias("low"))
-        )
+        far = state.select(F.col("node").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("low").alias("low2"))
+        moved = state.join(far, "ptr", "left").select("node", "parent", F.col("ptr2").alias("ptr"), "size", F.least("low", F.coalesce("low2", "low")).alias("low"))
+        # what a node hands up is added to its 2**k-th ancestor; sums are formed before they are sent
+        sent = state.where("ptr is not null").groupBy(F.col("ptr").alias("node")).agg(F.sum("size").alias("more"))
+        state, now = _round(moved.join(sent, "node", "left").select("node", "parent", "ptr", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size"), "low"))
         reach *= 2
-        before, left = left, _open(state)
+        before, left = left, now
         # no node has a depth from reach / 2 to reach: all that are open end in cycles
         if cyclic is None and left == before:
             cyclic = left
@@ -71,7 +52,7 @@ def _upward(nodes: DataFrame) -> DataFrame:
 
 
 def _downward(nodes: DataFrame, paths: bool) -> DataFrame:
-    """node, parent, size (acyclic) -> node, pre and, if asked for, path."""
+    """node, parent, size (acyclic) -> node, root, depth, pre and, if asked for, path."""
     block = F.shiftright("node", SIBLING_BLOCK.bit_length() - 1)
     kids = nodes.where("parent is not null").withColumn("block", block)
     inside = Window.partitionBy("parent", "block").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
@@ -80,13 +61,14 @@ def _downward(nodes: DataFrame, paths: bool) -> DataFrame:
     zero = F.lit(0).cast("long")
     kids = kids.withColumn("inside", F.coalesce(F.sum("size").over(inside), zero)).join(blocks, ["parent", "block"])
     path = [F.array("title").alias("path")] if paths else []
-    columns = ["node", F.col("parent").alias("ptr")]
-    start = kids.select(*columns, (F.col("inside") + F.col("earlier") + 1).alias("pre"), *path)
-    state = cut(start.unionByName(nodes.where("parent is null").select(*columns, zero.alias("pre"), *path)))
-    while _open(state):
-        far = state.select(F.col("node").alias("ptr"), F.col("ptr").alias("ptr2"), F.col("pre").alias("pre2"), *([F.col("path").alias("path2")] if paths else []))
+    start = kids.select("node", F.col("parent").alias("ptr"), F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth"), (F.col("inside") + F.col("earlier") + 1).alias("pre"), *path)
+    roots = nodes.where("parent is null").select("node", F.col("parent").alias("ptr"), F.col("node").alias("root"), zero.alias("depth"), zero.alias("pre"), *path)
+    state, left = _round(start.unionByName(roots))
+    while left:
+        far = state.select(*[F.col(c).alias("ptr" if c == "node" else f"{c}2") for c in state.columns])
         longer = [F.when(F.col("ptr").isNull(), F.col("path")).otherwise(F.concat("path2", "path")).alias("path")] if paths else []
-        state = cut(state.join(far, "ptr", "left").select("node", F.col("ptr2").alias("ptr"), (F.col("pre") + F.coalesce("pre2", zero)).alias("pre"), *longer))
+        summed = [(F.col(c) + F.coalesce(f"{c}2", zero)).alias(c) for c in ("depth", "pre")]
+        state, left = _round(state.join(far, "ptr", "left").select("node", F.col("ptr2").alias("ptr"), F.coalesce("root2", "root").alias("root"), *summed, *longer))
     return state.drop("ptr")
 
 
@@ -110,7 +92,7 @@ def hierarchy(nodes: DataFrame, edges: DataFrame, paths: bool = True) -> DataFra
     tree = up.where("ptr is null").join(base.select("node", "title"), "node")
     down = _downward(tree, paths)
     path = ["path"] if paths else []
-    free = tree.join(down, "node").select("node", "parent", "root", "depth", "pre", (F.col("size") - 1).alias("n_descendants"), F.lit(False).alias("in_cycle"), *path)
+    free = tree.select("node", "parent", "size").join(down, "node").select("node", "parent", "root", "depth", "pre", (F.col("size") - 1).alias("n_descendants"), F.lit(False).alias("in_cycle"), *path)
     # ptr of a cyclic node lies on its cycle, and low of that node is the least id there
     stuck = up.where("ptr is not null")
     low = stuck.select(F.col("node").alias("ptr"), F.col("low").alias("root2"))

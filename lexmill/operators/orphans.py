@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions.looks import look_column
 from lexmill.operators import bitmaps
-from lexmill.session import table
+from lexmill.session import cut, table
 
 ALWAYS = "0001-01-01 00:00:00"
 
@@ -36,7 +36,8 @@ def orphan_references(refs: DataFrame, parents: DataFrame) -> DataFrame:
     refs = refs.select("rel", "src_table", "src_field", "src_id", "key", "touched_at").where("key is not null").withColumn("month", F.coalesce(_month("touched_at"), F.lit(-1)))
     live = F.col("deleted_at").isNull()
     seen = F.coalesce(F.col("first_seen"), F.lit(ALWAYS).cast(dict(parents.dtypes)["first_seen"]))
-    keys = parents.where("key is not null").groupBy("rel", "key").agg(F.min(F.when(live, seen)).alias("since"))
+    # read for the bitmaps and again for the instants of late keys
+    keys = cut(parents.where("key is not null").groupBy("rel", "key").agg(F.min(F.when(live, seen)).alias("since")))
     words = (
         keys.groupBy("rel", bitmaps.word(F.col("key")).alias("word"), _month("since").alias("since_month"))
         .agg(F.bit_or(bitmaps.bit(F.col("key"))).alias("bits"))
@@ -101,12 +102,13 @@ def relations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     links, redirects = table(spark, sf_dir, "links"), table(spark, sf_dir, "redirects")
     pages, targets = table(spark, sf_dir, "pages"), table(spark, sf_dir, "targets")
     local = redirects.where("title is not null and coalesce(interwiki, '') = ''").select("id", "ns", "title", "touched_at")
-    titled = prefixed(F.col("ns"), F.col("title"), table(spark, sf_dir, "namespace_registry"), local)
-    titled = titled.withColumn("look", look_column("full_title"))
-    looks = pages.where("title is not null").select("ns", "title").distinct().withColumn("look", look_column("title"))
-    ordinals = bitmaps.dictionary(titled.select("ns", "look").union(looks.select("ns", "look")))
-    by_title = titled.join(ordinals, ["ns", "look"])
-    page_keys = pages.where("title is not null").select("ns", "title", "first_seen", "deleted_at").join(looks, ["ns", "title"]).join(ordinals, ["ns", "look"])
+    titled = prefixed(F.col("ns"), F.col("title"), table(spark, sf_dir, "namespace_registry"), local).select("id", "ns", F.col("full_title").alias("title"), "touched_at")
+    dated = pages.where("title is not null").select("ns", "title", "first_seen", "deleted_at")
+    # each title is looked at once, then everything joins its ordinal
+    looks = cut(titled.select("ns", "title").union(dated.select("ns", "title")).distinct().withColumn("look", look_column("title")))
+    ordinals = looks.join(bitmaps.dictionary(looks.select("ns", "look")), ["ns", "look"]).select("ns", "title", "ordinal")
+    by_title = titled.join(ordinals, ["ns", "title"])
+    page_keys = dated.join(ordinals, ["ns", "title"])
 
     def refs(df: DataFrame, name: str, field: str, src: str, key: str) -> DataFrame:
         return df.select(F.lit(f"{name}.{field}").alias("rel"), F.lit(name).alias("src_table"), F.lit(field).alias("src_field"), F.col(src).alias("src_id"), F.col(key).cast("bigint").alias("key"), "touched_at")
