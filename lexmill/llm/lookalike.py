@@ -1,30 +1,45 @@
 """Visually identical text with different characters (problem 4).
 
-Every distinct title gets two forms: ``form`` (compatibility composed, fully
-case-folded, white space mapped, ignorable characters removed, look-alike
-letters mapped) to find candidates by an equi-join, and ``look`` (all that can
-be seen, case and accents included) to confirm them exactly.
+Every distinct title gets a form (compatibility composed, fully case-folded,
+white space mapped, ignorable characters removed, look-alike letters mapped).
+Titles of equal form are candidates, found by an equi-join; as case, raised and
+circled characters can be seen, candidates are then compared by their ``look``.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.functions.looks import fold_column, look_column
+from lexmill.functions.looks import look, look_column, per_distinct
 from lexmill.operators.orphans import prefixed
 from lexmill.session import table
 
 
+def fold(text: str, *table) -> str:
+    """The comparison form: compatibility composed (NFKC), fully case-folded,
+    white space mapped to one space, ignorable characters removed. Look-alikes
+    are mapped before case is folded, so pairs that only look alike in one case
+    still meet; texts with equal ``look`` always have equal ``fold``."""
+    seen = look(text, *table)
+    return unicodedata.normalize("NFKC", unicodedata.normalize("NFKC", seen).casefold())
+
+
+def fold_column(column: Column | str) -> Column:
+    """``fold`` of a string column; null stays null, empty stays empty."""
+    return per_distinct(fold, column)
+
+
 def forms(*titles: DataFrame) -> DataFrame:
-    """(title, form, look), one row per distinct non-null title of one-column frames.
+    """(title, form), one row per distinct non-null title of one-column frames.
 
     Empty text has empty forms; a text of ignorable characters only has them too.
     """
     every = reduce(DataFrame.union, titles).toDF("title").where("title is not null").distinct()
-    return every.select("title", fold_column("title").alias("form"), look_column("title").alias("look"))
+    return every.select("title", fold_column("title").alias("form"))
 
 
 def same_look(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -38,8 +53,9 @@ def same_look(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     right = right.where("title is not null").distinct()
     known = forms(left.select("title"), right.select("title"))
     a = left.join(known, "title").withColumnRenamed("title", "src_title")
-    b = right.join(known, "title").withColumnRenamed("look", "page_look").withColumnRenamed("title", "page_title")
-    return a.join(b, [*on, "form"]).where("look = page_look and src_title <> page_title")
+    b = right.join(known, "title").withColumnRenamed("title", "page_title")
+    candidates = a.join(b, [*on, "form"]).where("src_title <> page_title")
+    return candidates.where(look_column("src_title") == look_column("page_title"))
 
 
 def sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -64,4 +80,4 @@ def found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def title_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     bundle, redirects, pages = sources(spark, sf_dir)
-    return forms(bundle.select("title"), redirects.select("title"), pages.select("title"))
+    return forms(bundle.select("title"), redirects.select("title"), pages.select("title")).withColumn("look", look_column("title"))

@@ -124,6 +124,14 @@ def test_same_look(spark):
     assert got == {(1, 50), (6, 70)}
 
 
+@pytest.mark.parametrize(("a", "b", "same"), [("ﬁn", "fin", True), ("Café", "Cafe\u0301", True), ("p\u200bage", "page", True), ("x\u00a0y", "x y", True), ("Вода", "Boda", False), ("x²", "x2", False), ("①", "1", False), ("Page", "page", False)])
+def test_form_is_coarser_than_look(a, b, same):
+    from lexmill.functions.looks import look
+
+    assert (look(a) == look(b)) == same
+    assert lookalike.fold(a) == lookalike.fold(b) or a == "Вода"
+
+
 def test_lookalike_brute_force(spark, sf):
     import duckdb
 
