@@ -81,9 +81,9 @@ TOKENS = {
 }
 
 
-def format_date(ts, pattern: str) -> Column:
-    """Text by the tokens of TOKENS; ``\\`` escapes, quoted text and other characters stay."""
-    ts, out, i = col(ts), [], 0
+def format_date(ts, pattern: str, tokens: dict | None = None) -> Column:
+    """Text by the tokens of TOKENS or others; ``\\`` escapes, quoted text and other characters stay."""
+    ts, out, i, known = col(ts), [], 0, TOKENS if tokens is None else tokens
     while i < len(pattern):
         if pattern[i] == "\\" and i + 1 < len(pattern):
             out.append(F.lit(pattern[i + 1]))
@@ -91,11 +91,11 @@ def format_date(ts, pattern: str) -> Column:
         elif pattern[i] == '"' and (end := pattern.find('"', i + 1)) > 0:
             out.append(F.lit(pattern[i + 1 : end]))
             i = end + 1
-        elif pattern[i : i + 2] in TOKENS:
-            out.append(TOKENS[pattern[i : i + 2]](ts))
+        elif pattern[i : i + 2] in known:
+            out.append(known[pattern[i : i + 2]](ts))
             i += 2
         else:
-            out.append(TOKENS[pattern[i]](ts) if pattern[i] in TOKENS else F.lit(pattern[i]))
+            out.append(known[pattern[i]](ts) if pattern[i] in known else F.lit(pattern[i]))
             i += 1
     return F.concat(*out) if out else F.when(ts.isNotNull(), F.lit(""))
 
@@ -194,8 +194,15 @@ def format_preference(text, preference: str, now: Column) -> Column:
 
 
 def localized(ts, pattern: str, month_names: list[str], digits: str = "0123456789") -> Column:
-    """format_date with another language's months and digits."""
-    out = format_date(ts, pattern)
-    for english, local in zip(MONTHS, month_names, strict=True):
-        out = F.replace(out, F.lit(english), F.lit(local))
-    return F.translate(out, "0123456789", digits)
+    """format_date with another language's months and digits; literal text of the pattern stays."""
+    own = {"F": lambda t: _names(month_names, F.month(t)), "xg": lambda t: _names(month_names, F.month(t)), "M": lambda t: F.left(_names(month_names, F.month(t)), F.lit(3))}
+
+    def in_digits(token):
+        return lambda t: F.translate(token(t), "0123456789", digits)
+
+    return format_date(ts, pattern, {k: own.get(k) or in_digits(token) for k, token in TOKENS.items()})
+
+
+def difference(later, earlier) -> Column:
+    """Seconds between two instants, with fractions; the earlier one defaults to the epoch if null."""
+    return (F.unix_micros(col(later).cast("timestamp")) - F.coalesce(F.unix_micros(col(earlier).cast("timestamp")), F.lit(0))) / 1e6

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.operators.ranks import with_position
+from lexmill.operators.ranks import with_running
 
 COUNTERS = ["input_rows", "compile_only_rows", "source_unavailable_rows", "dispatched_rows", "expanded_pages", "fallback_pages", "duplicate_rows", "alias_pages"]
 
@@ -87,10 +87,10 @@ def usage_counts(refs: DataFrame) -> DataFrame:
 
 def envelope(rows: DataFrame, group: list[str], key: str, size: str, exact: str) -> DataFrame:
     """Per group: the greatest size and the least key that has it, the sum, and the sum of
-    ``exact``, which is null once one row is inexact (null)."""
+    ``exact``, which is null once one row is inexact (null). A null size is no witness."""
     return rows.groupBy(*group).agg(
         F.max(size).alias("max_size"),
-        F.min_by(key, F.struct(-F.col(size), F.col(key))).alias("witness"),
+        F.min_by(key, F.when(F.col(size).isNotNull(), F.struct(-F.col(size), F.col(key)))).alias("witness"),
         F.sum(size).alias("total_size"),
         F.when(F.count(exact) == F.count("*"), F.sum(exact)).alias("exact_total"),
     )
@@ -108,8 +108,8 @@ def latest_attempts(attempts: DataFrame, keys: list[str], sequence: list[str], a
 
 
 def reservoir(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """n rows by the least hash of seed and key, with the population: the same distribution as a reservoir."""
-    drawn = rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+    """n rows by the least digest of seed and key, with the population: the same distribution as a reservoir."""
+    drawn = rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
     return drawn.withColumn("population", rows.agg(F.count("*")).scalar())
 
 
@@ -117,20 +117,13 @@ def covering(ranked: DataFrame, key: str, value: str, numerator: int, denominato
     """The shortest prefix that covers numerator/denominator of the total value.
 
     Keys are ranked by value / (base + size), then key. running is the sum up to
-    and with the row. The running sum is taken per partition of the rank order
-    and completed by the sums of the partitions before.
+    and with the row.
     """
     weight = F.col(value) / (F.lit(base) + F.col(size)) if size else F.col(value)
     rows = ranked.groupBy(key).agg(F.sum(value).alias(value), *([F.max(size).alias(size)] if size else []))
-    placed = with_position(rows.withColumn("_w", weight.cast("double")), [F.col("_w").desc(), F.col(key)])
-    block = F.floor((F.col("position") - 1) / 8192)
-    placed = placed.withColumn("_block", block)
-    sums = placed.groupBy("_block").agg(F.sum(value).alias("_sum"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_block").orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    placed = with_running(rows.withColumn("_w", weight.cast("double")), [F.col("_w").desc(), F.col(key)], value)
     total = rows.agg(F.sum(value)).scalar()
-    out = placed.join(starts, "_block").withColumn("running", (F.col("_start") + F.sum(value).over(inside)).cast("bigint")).withColumn("_total", total)
+    out = placed.withColumn("running", F.col("running").cast("bigint")).withColumn("_total", total)
     needed = F.ceil(F.col("_total") * numerator / denominator)
     return out.where(F.col("running") - F.col(value) < needed).select(key, value, F.col("position").cast("int").alias("position"), "running")
 
@@ -177,3 +170,65 @@ def inventory_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of one side only, with the side: equal inventories give none."""
     columns = left.columns
     return left.exceptAll(right).withColumn("side", F.lit("left")).unionByName(right.select(*columns).exceptAll(left).withColumn("side", F.lit("right")))
+
+
+def reconciled(expected: DataFrame, records: DataFrame, keys: list[str], at_least: Column | None = None) -> DataFrame:
+    """(keys, expected, found): keys whose number of records does not agree with the coverage.
+
+    expected: keys, expected; records: keys, found. Where ``at_least`` holds more
+    records than expected agree too (one page can give several). A side without
+    the key counts 0; no rows mean that all agree.
+    """
+    both = expected.join(records, keys, "full_outer").fillna(0, ["expected", "found"])
+    more = F.col("found") > F.col("expected")
+    wrong = F.col("found") != F.col("expected")
+    return both.where(wrong if at_least is None else wrong & ~(F.coalesce(at_least, F.lit(False)) & more)).select(*keys, "expected", "found")
+
+
+def page_coverage_problems(coverage: DataFrame) -> DataFrame:
+    """(the columns of coverage, problem) of runs (start, limit, seen, total): not all pages that were
+    asked for were seen, more were, or the run ends behind the corpus. A null limit asks for all from start on."""
+    asked = F.greatest(F.least(F.coalesce("limit", F.col("total")), F.col("total") - F.col("start")), F.lit(0))
+    problem = F.when(F.col("start") > F.col("total"), "start behind the end").when(F.col("seen") < asked, "pages missing").when(F.col("seen") > asked, "pages too many")
+    return coverage.withColumn("problem", problem).where("problem is not null")
+
+
+def strict_union(snapshots: list[DataFrame], key: str, inventory: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, problems): all rows of the snapshots, and (key, problem) of keys that stand more than
+    once in any of them, or in the rows or the inventory (key) only. Without problems the union holds."""
+    rows = snapshots[0]
+    for more in snapshots[1:]:
+        rows = rows.unionByName(more)
+    problems = rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key, F.lit("repeated").alias("problem"))
+    if inventory is not None:
+        have, want = rows.select(key).distinct(), inventory.select(key).distinct()
+        problems = problems.unionByName(want.join(have, key, "left_anti").select(key, F.lit("not captured").alias("problem")))
+        problems = problems.unionByName(have.join(want, key, "left_anti").select(key, F.lit("not selected").alias("problem")))
+    return rows, problems
+
+
+def repeats(calls: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, n_calls, n_repeats): how often a call comes again with equal keys; nulls are equal."""
+    return calls.groupBy(*keys).agg(F.count("*").alias("n_calls")).withColumn("n_repeats", F.col("n_calls") - 1)
+
+
+def work_statistics(pages: DataFrame, group: list[str], counters: list[str]) -> DataFrame:
+    """Per group: pages, and of each counter its sum, greatest value and the number of pages that have one."""
+    return pages.groupBy(*group).agg(F.count("*").alias("n_pages"), *[f(c).alias(f"{c}_{n}") for c in counters for n, f in (("sum", F.sum), ("max", F.max), ("pages", F.count))])
+
+
+def profile(page_edges: DataFrame, module_edges: DataFrame, page_reach: DataFrame) -> DataFrame:
+    """(node, page_reach, direct_reach, module_reach, fan_in) of every module.
+
+    page_edges: page, node, the modules a page calls; module_edges: src, dst, which
+    module loads which; page_reach: node, value, the pages that reach it. direct_reach
+    counts the pages that call it, module_reach the reach of the modules that load it,
+    fan_in the modules that do. Repeated edges count once.
+    """
+    loads = module_edges.where("src is not null and dst is not null and src <> dst").select("src", "dst").distinct()
+    direct = page_edges.where("node is not null").groupBy("node").agg(F.count_distinct("page").alias("direct_reach"))
+    known = page_reach.where("node is not null").groupBy("node").agg(F.max("value").alias("page_reach"))
+    loaded = loads.join(known.withColumnRenamed("node", "src"), "src", "left").groupBy(F.col("dst").alias("node")).agg(F.sum(F.coalesce("page_reach", F.lit(0))).alias("module_reach"), F.count("*").alias("fan_in"))
+    nodes = direct.select("node").union(known.select("node")).union(loads.select("src")).union(loads.select("dst")).distinct()
+    joined = nodes.join(known, "node", "left").join(direct, "node", "left").join(loaded, "node", "left")
+    return joined.fillna(0, ["page_reach", "direct_reach", "module_reach", "fan_in"]).select("node", "page_reach", "direct_reach", "module_reach", "fan_in")

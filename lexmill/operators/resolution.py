@@ -63,21 +63,26 @@ def messages(asked: DataFrame, known: DataFrame, fallbacks: DataFrame) -> DataFr
 
 
 def aligned_sections(raw: DataFrame, rendered: DataFrame, key: list[str]) -> DataFrame:
-    """Raw and rendered sections side by side by their order, where a page has equally many of both."""
+    """Raw and rendered sections side by side by their order, and whether a page has equally
+    many of both (aligned); of a page that has not, sections without a partner stay too."""
     def placed(df: DataFrame, name: str) -> DataFrame:
         w = Window.partitionBy(*key)
         return df.withColumn("place", F.row_number().over(w.orderBy("ord"))).withColumn(f"_n_{name}", F.count("*").over(w)).select(*key, "place", F.col("heading").alias(f"{name}_heading"), f"_n_{name}")
 
-    both = placed(raw, "raw").join(placed(rendered, "rendered"), [*key, "place"])
-    return both.where("_n_raw = _n_rendered").drop("_n_raw", "_n_rendered")
+    both = placed(raw, "raw").join(placed(rendered, "rendered"), [*key, "place"], "full_outer")
+    w = Window.partitionBy(*key)
+    same = F.coalesce(F.max("_n_raw").over(w) == F.max("_n_rendered").over(w), F.lit(False))
+    return both.withColumn("aligned", same).drop("_n_raw", "_n_rendered")
 
 
 def study_cards(titles: DataFrame, n_choices: int, seed: int, limit: int) -> DataFrame:
-    """(title, choices): cards drawn by a hash, each with the next drawn titles as distractors, the answer at a hashed place."""
-    drawn = titles.select("title").distinct().orderBy(F.xxhash64(F.lit(seed), "title"), "title").limit(limit)
-    deck = drawn.agg(F.collect_list("title").alias("deck")).select("deck", F.posexplode("deck").alias("i", "title"))
+    """(title, choices): limit cards drawn by a digest, each with the next drawn titles as
+    distractors, the answer at a place of a digest. The deck has limit titles at most."""
+    digest = lambda salt: F.md5(F.concat(F.lit(f"{salt}:"), "title"))
+    drawn = titles.select("title").distinct().orderBy(digest(seed), "title").limit(limit)
+    deck = drawn.agg(F.transform(F.sort_array(F.collect_list(F.struct(digest(seed).alias("at"), "title"))), lambda x: x["title"]).alias("deck")).select("deck", F.posexplode("deck").alias("i", "title"))
     others = F.transform(F.sequence(F.lit(1), F.lit(n_choices - 1)), lambda k: F.element_at("deck", ((F.col("i") + k) % F.size("deck") + 1).cast("int")))
-    at = F.pmod(F.xxhash64(F.lit(seed + 1), "title"), F.lit(n_choices)).cast("int")
+    at = F.ascii(digest(seed + 1)) % n_choices
     return deck.select("title", F.array_insert(others, at + 1, F.col("title")).alias("choices"))
 
 

@@ -8,7 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexmill.operators.ranks import first_per_group
+from lexmill.operators.ranks import first_per_group, with_position, with_running
+from lexmill.session import cut
 from lexmill.wikitext import scan
 
 
@@ -42,17 +43,13 @@ def running_score(events: DataFrame, owner: str, order: list[str], right: Column
 
 
 def evict_oldest(files: DataFrame, order: list[str], size: str, cap: int) -> DataFrame:
-    """Files with keep: the newest stay while their sizes add up to no more than cap.
+    """Files with keep: the newest stay while their sizes add up to no more than cap. Null sizes count 0."""
+    placed = with_running(files, [F.col(c).desc() for c in order], size, "_run")
+    return placed.withColumn("keep", F.col("_run") <= cap).drop("_run", "position")
 
-    Sizes are summed per day first, so only the day at the edge is ordered file by file.
-    """
-    day = F.to_date(order[0])
-    days = files.groupBy(day.alias("_day")).agg(F.sum(size).alias("_sum"))
-    later = Window.orderBy(F.col("_day").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    starts = days.select("_day", F.coalesce(F.sum("_sum").over(later), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("_day").orderBy(*[F.col(c).desc() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
-    placed = files.withColumn("_day", day).join(starts, "_day").withColumn("_run", F.col("_start") + F.sum(size).over(inside))
-    return placed.withColumn("keep", F.col("_run") <= cap).drop("_day", "_start", "_run")
+
+def _same_key(a: tuple, b: tuple) -> bool:
+    return all(x == y or (x != x and y != y) for x, y in zip(a, b, strict=True))
 
 
 def in_order(df: DataFrame, group: list[str], order: list[str], start, step, schema: str) -> DataFrame:
@@ -69,7 +66,7 @@ def in_order(df: DataFrame, group: list[str], order: list[str], start, step, sch
         for pdf in frames:
             out = []
             for row in pdf.itertuples(index=False, name=None):
-                if state is None or row[:n] != key:
+                if state is None or not _same_key(row[:n], key):
                     key, state = row[:n], start()
                 out.append(step(state, row))
             yield pd.concat([pdf.reset_index(drop=True), pd.DataFrame(out, columns=added, dtype=object)], axis=1)
@@ -79,20 +76,36 @@ def in_order(df: DataFrame, group: list[str], order: list[str], start, step, sch
     return df.repartition(*group).sortWithinPartitions(*group, *order).mapInPandas(run, f"{shape}, {schema}")
 
 
-def batches(titles: DataFrame, group: str, order: list[str], title: str, max_count: int, max_chars: int) -> DataFrame:
-    """Each group's titles with a batch number; a batch ends at a number of titles or a length. Null titles are left out."""
+#: Titles of a group that are put into batches in one task.
+BATCH_SHARD = 1 << 16
+
+
+def batches(titles: DataFrame, group: str, order: list[str], title: str, max_count: int, max_chars: int, shard: int = BATCH_SHARD) -> DataFrame:
+    """Each group's titles with a batch number; a batch ends at a number of titles or a length. Null titles are left out.
+
+    A group is cut into shards of its order, each of which begins a batch, so a
+    group of any size is spread over tasks; a null group is one too.
+    """
     kept = list(dict.fromkeys([group, *order, title]))
     at = kept.index(title)
 
     def step(state: list[int], row: tuple) -> tuple[int]:
-        size = len(row[at].encode()) + 1
+        size = len(row[at + 1].encode()) + 1
         if state[1] and (state[1] >= max_count or state[2] + size > max_chars):
             state[:] = [state[0] + 1, 0, 0]
         state[1] += 1
         state[2] += size
         return (state[0],)
 
-    return in_order(titles.select(*kept).where(F.col(title).isNotNull()), [group], order, lambda: [0, 0, 0], step, "batch int")
+    key = F.struct(group)
+    placed = with_position(titles.select(*kept).where(F.col(title).isNotNull()), list(dict.fromkeys([group, *order])))
+    begins = placed.groupBy(key.alias("_group")).agg(F.min("position").alias("_begin"))
+    cutting = placed.withColumn("_group", key).join(begins, "_group").withColumn("_shard", F.floor((F.col("position") - F.col("_begin")) / shard)).select("_shard", *kept)
+    local = cut(in_order(cutting, ["_shard", group], order, lambda: [0, 0, 0], step, "local int"))
+    counts = local.groupBy(key.alias("_group"), "_shard").agg((F.max("local") + 1).alias("_n"))
+    before = Window.partitionBy("_group").orderBy("_shard").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_group", "_shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return local.withColumn("_group", key).join(starts, ["_group", "_shard"]).select(*kept, (F.col("_start") + F.col("local")).cast("int").alias("batch"))
 
 
 # wikitext lines and sections

@@ -99,9 +99,7 @@ def attempts_latest(s, d):
   from (select *, max(length(source)) over (partition by worker_slot) as m from bundle_expander) group by worker_slot""")
 def reader_envelope(s, d):
     rows = table(s, d, "bundle_expander").select("worker_slot", "request_id", F.char_length("source").alias("size"), "duration_ms")
-    rows = rows.withColumn("key", F.when(F.col("size").isNotNull(), F.col("request_id")))
-    best = rows.groupBy("worker_slot").agg(F.max("size").alias("max_size"), F.min(F.struct((-F.col("size")).alias("o"), "key")).alias("_w"), F.min(F.when(F.col("size").isNotNull(), F.struct((-F.col("size")).alias("o"), "key"))).alias("w"), F.sum("size").alias("total_size"), F.when(F.count("duration_ms") == F.count("*"), F.round(F.sum("duration_ms"), 3)).alias("exact_total"))
-    return best.select("worker_slot", "max_size", F.col("w.key").alias("witness"), "total_size", "exact_total")
+    return A.envelope(rows, ["worker_slot"], "request_id", "size", "duration_ms").withColumn("exact_total", F.round("exact_total", 3))
 
 
 @query("""select revision_id as identity, count(*) as n_rows, count(distinct md5(coalesce(source, ''))) as n_digests, count(distinct md5(coalesce(source, ''))) <= 1 as agrees from bundle_pages group by 1""")
@@ -129,17 +127,25 @@ def usage_cover(s, d):
     return A.covering(table(s, d, "links").where("target is not null").groupBy("target").agg(F.count("*").alias("n")), "target", "n", 80, 100)
 
 
-@query(f"""with u as (select target, count(*) as n from links where target is not null group by 1),
-  r as (select target, n, sum(n) over (order by n desc, target rows unbounded preceding) - n as before, sum(n) over () as total from u),
-  p as (select distinct t.id as key, coalesce(r.n, 0) as n, coalesce(r.before < ceil(total * 50 / 100), false) as inside from targets t left join r on r.target = t.id)
-  select key, case when inside then 'o2' when n = 0 then 'o0' else 'o1' end as mode from p""")
+_COVERED = """(select key from (select key, n, sum(n) over (order by n / (1 + size) desc, key rows unbounded preceding) - n as before, sum(n) over () as total from {}) where before < ceil(total * {} / 1000))"""
+
+
+@query(f"""with l as (select distinct link_id, target, kind, from_id from links where target is not null), k as (select distinct id as key, length(title) as size from targets),
+  s as (select key, max(size) as size from k group by 1),
+  g as (select s.key, s.size, count(distinct from_id) as page, count(from_id) filter (kind = 0) as direct, count(from_id) filter (kind = 1) as module from s left join l on l.target = s.key group by all),
+  p as (select key, page as n, size from g), di as (select key, direct as n, size from g), m as (select key, module as n, size from g)
+  select key, case when key in {_COVERED.format('p', 995)} or key in {_COVERED.format('di', 950)} or key in {_COVERED.format('m', 980)} then 'o2' when page = 0 and direct = 0 then 'o0' else 'o1' end as mode from g""")
 def mode_selection(s, d):
-    uses = table(s, d, "links").where("target is not null").groupBy(F.col("target").alias("key")).agg(F.count("*").alias("n"))
-    inside = A.covering(uses, "key", "n", 50, 100).select("key", F.lit(True).alias("inside"))
-    rows = table(s, d, "targets").select(F.col("id").alias("key")).distinct().join(uses, "key", "left").join(inside, "key", "left")
-    hit = F.coalesce("inside", F.lit(False))
-    n = F.coalesce("n", F.lit(0))
-    return A.compile_modes(rows.select("key", n.alias("page_reach"), n.alias("direct_reach"), hit.alias("in_page"), hit.alias("in_direct"), hit.alias("in_module")))
+    """Three covers, each of its own signal by reach over size: 99.5 % of pages, 95 % of direct uses, 98 % of subcategories."""
+    links = table(s, d, "links").where("target is not null").select("link_id", F.col("target").alias("key"), "kind", "from_id").distinct()
+    sizes = table(s, d, "targets").select(F.col("id").alias("key"), F.char_length("title").alias("size")).groupBy("key").agg(F.max("size").alias("size"))
+    count = lambda kind: F.count(F.when(F.col("kind") == kind, F.col("from_id")))
+    rows = sizes.join(links, "key", "left").groupBy("key", "size").agg(F.count_distinct("from_id").alias("page_reach"), count(0).alias("direct_reach"), count(1).alias("module_reach"))
+    profile = rows
+    for signal, share in (("page", 995), ("direct", 950), ("module", 980)):
+        inside = A.covering(rows, "key", f"{signal}_reach", share, 1000, 1, "size").select("key", F.lit(True).alias(f"in_{signal}"))
+        profile = profile.join(inside, "key", "left").fillna(False, [f"in_{signal}"])
+    return A.compile_modes(profile)
 
 
 @query("""with r as (select ns, title, list_distinct(list(outcome order by outcome) filter (outcome is not null and outcome <> 'expanded')) as x from
@@ -151,15 +157,11 @@ def fallback_reasons(s, d):
     return A.merged_reasons(rows.select("ns", "title", "reason")).withColumn("reasons", F.array_join("reasons", ","))
 
 
-@query("""select ns, title, 'operational failure' as problem from (select distinct p.ns, e.title from bundle_expander e join (select id, min(ns) as ns from pages group by 1) p on p.id = e.page_id where outcome = 'timeout')""")
+@query("""with r as (select n.ns, e.title, e.outcome from bundle_expander e left join (select id, min(ns) as ns from pages group by 1) n on n.id = e.page_id where e.outcome is null or e.outcome <> 'expanded'),
+  p as (select ns, title, count(*) as n, count(outcome) as n_reasons, count(distinct outcome) as n_different, count(*) filter (outcome in ('timeout', 'out_of_memory', 'worker_died')) as n_failed, count(*) filter (outcome is null) as n_none from r group by all)
+  select ns, title, 'blank title' as problem from p where trim(coalesce(title, ''), ' ') = '' union all select ns, title, 'no reason' from p where n_none > 0 union all select ns, title, 'repeated reason' from p where n_different < n_reasons
+  union all select ns, title, 'repeated page' from p where n > 1 union all select ns, title, 'operational failure' from p where n_failed > 0""")
 def fallback_report_problems(s, d):
-    ns = table(s, d, "pages").groupBy(F.col("id").alias("page_id")).agg(F.min("ns").alias("ns"))
-    rows = table(s, d, "bundle_expander").where("outcome <> 'expanded'").join(ns, "page_id").groupBy("ns", "title").agg(F.collect_set("outcome").alias("reasons"))
-    return A.fallback_problems(rows).where("problem = 'operational failure'")
-
-
-@query()
-def fallback_report_problems_all(s, d):
     """Every problem of the report: its rows one by one, null outcomes as rows without a
     reason, and the reasons of each page together, as a row alone repeats none."""
     ns = table(s, d, "pages").groupBy(F.col("id").alias("page_id")).agg(F.min("ns").alias("ns"))
@@ -187,65 +189,44 @@ def inventory_difference(s, d):
     return A.inventory_difference(a, b)
 
 
-@query("""select r.id, r.title, r.c as population from (select id, title, count(*) over () as c from (select distinct id, title from pages where ns = 0)) r where false""")
-def reservoir_size_check(s, d):
-    """A sample has n rows and the population of its table: rows that break this (none)."""
-    rows = table(s, d, "pages").where("ns = 0").select("id", "title").distinct()
-    drawn = A.reservoir(rows, "id", 10, 7)
-    n = rows.agg(F.count("*")).scalar()
-    return drawn.where(F.col("population") != n).select("id", "title", "population")
-
-
-@query()
+@query("""select id, title, population from (select id, title, count(*) over () as population, row_number() over (order by md5('7:' || id), id) as rn from (select distinct id, title from pages where ns = 0)) where rn <= 10""")
 def reservoir_sample(s, d):
-    """The sample itself, which reservoir_size_check only counts."""
     return A.reservoir(table(s, d, "pages").where("ns = 0").select("id", "title").distinct(), "id", 10, 7)
 
 
 # ---- reader -------------------------------------------------------------------------
 
 
-@query(f"select id, ns, title from {_T} where title = 'Javohite stone'")
+@query(f"select id, ns, title from {_T} where title = (select max(title) from pages where ns = 0)")
 def lookup_exact(s, d):
-    return reader.exact(_titles(s, d), "Javohite stone")
+    wanted = table(s, d, "pages").where("ns = 0").agg(F.max("title")).first()[0]
+    return reader.exact(_titles(s, d), wanted)
 
 
-@query(f"""with q as (select distinct title as query from bundle_pages where title is not null and regexp_full_match(title, '[ -~]*')), e as (select title, lower(title) as l from {_T} where regexp_full_match(title, '[ -~]*')),
-  b as (select q.query, min_by(e.title, (e.title <> q.query, e.title)) as title from q join e on e.l = lower(q.query) group by 1)
-  select q.query, b.title, b.title = q.query as exact from q left join b using (query)""")
-def lookup_folded(s, d):
-    ascii_only = F.col("title").rlike("^[ -~]*$")
-    entries = reader.prepared(_titles(s, d).where(ascii_only))
-    wanted = table(s, d, "bundle_pages").where(ascii_only).select(F.col("title").alias("query"))
-    return reader.folded_many(entries, wanted)
+def _lower(x: str) -> str:
+    """SQL of the lower case of x: unlike lower() alone, a sigma that ends a word is final and İ keeps its dot."""
+    return f"lower(replace(regexp_replace({x}, '(\\p{{L}}\\p{{M}}*)Σ(\\p{{M}}*)($|[^\\p{{L}}\\p{{M}}])', '\\1ς\\2\\3', 'g'), 'İ', 'i' || chr(775)))"
 
 
-@query()
-def lookup_folded_all(s, d):
-    """lookup_folded over titles in every script; DuckDB's lower() differs there, so it has no SQL."""
+@query(f"""with q as (select distinct title as query, {_lower('title')} as l from bundle_pages where title is not null), e as (select distinct title, {_lower('title')} as l from pages where title is not null),
+  b as (select q.query, min_by(e.title, (e.title <> q.query, e.title)) as title from q join e using (l) group by 1)
+  select q.query, b.title, b.title = q.query as exact from q left join b using (query)""")
+def lookup_folded(s, d):
     wanted = table(s, d, "bundle_pages").where("title is not null").select(F.col("title").alias("query"))
     return reader.folded_many(reader.prepared(_titles(s, d)), wanted)
 
 
-_ASCII = "regexp_full_match(title, '[ -~]*')"
-
-
-@query(f"""with m as (select title, id, lower(title) as title_lc from {_T} where {_ASCII} and starts_with(lower(title), 'ca'))
-  select id, title, (select count(*) from m) as total, 5 + 20 < (select count(*) from m) as has_more from (select * from m order by title_lc, title, id limit 20 offset 5)""")
+@query(f"""with m as (select title, id, {_lower('title')} as title_lc from {_T}), h as (select * from m where starts_with(title_lc, 'ca'))
+  select id, title, (select count(*) from h) as total, 5 + 20 < (select count(*) from h) as has_more from (select * from h order by title_lc, title, id limit 20 offset 5)""")
 def search_page(s, d):
-    entries = reader.prepared(_titles(s, d).where(F.col("title").rlike("^[ -~]*$")).select("id", "title"))
-    return _search_page(entries)
-
-
-def _search_page(entries):
-    hits = reader.prefix(entries, "ca", "title_lc")
+    hits = reader.prefix(reader.prepared(_titles(s, d).select("id", "title")), "ca", "title_lc")
     return reader.page(hits, ["title_lc", "title", "id"], 20, 5).select("id", "title", "total", "has_more")
 
 
-@query()
-def search_page_all(s, d):
-    """search_page over titles in every script, without SQL as lookup_folded_all."""
-    return _search_page(reader.prepared(_titles(s, d).select("id", "title")))
+@query(f"""with m as (select title, id, {_lower('title')} as title_lc from {_T}), h as (select * from m where starts_with(title_lc, 'с'))
+  select id, title, (select count(*) from h) as total, 1000 < (select count(*) from h) as has_more from (select * from h order by title_lc, title limit 1000)""")
+def search_accented(s, d):
+    return reader.search(reader.prepared(_titles(s, d).select("id", "title")), " С ", 1000).select("id", "title", "total", "has_more")
 
 
 @query(f"select id, title from {_T} where starts_with(title, 'Category:B')")
@@ -291,7 +272,10 @@ def category_members(s, d):
     return _first_members(links, targets, table(s, d, "pages"))
 
 
-@query()
+@query("""with l as (select distinct link_id, target, kind, sortkey, from_id from links where target is not null), r as (
+  select t.title as category, l.kind, l.sortkey, l.from_id, l.link_id, row_number() over (partition by t.title order by l.kind, l.sortkey nulls first, l.from_id, l.link_id) as rn
+  from l join (select distinct id, title from targets) t on t.id = l.target join (select distinct id from pages where ns = 0) p on p.id = l.from_id)
+  select category, kind, sortkey, from_id, link_id, cast(rn as int) as rank from r where rn <= 200""")
 def category_members_main(s, d):
     """The main scope: the first 200 members of namespace 0."""
     links = table(s, d, "links").where("target is not null").select("link_id", "target", "kind", "sortkey", "from_id").distinct()
@@ -306,12 +290,15 @@ def _first_members(links, targets, pages):
 
 
 @query("""select title, 'no members' as problem from (select distinct id, title from targets) t where not exists (select 1 from links l where l.target = t.id)
-  union all select category_key, 'no target' from (select distinct category_key from pages where category_key is not null) p where category_key not in (select title from targets where title is not null)""")
+  union all select category_key, 'no target' from (select distinct category_key from pages where category_key is not null) p where category_key not in (select title from targets where title is not null)
+  union all select title, 'no page' from (select distinct id, title from targets where title is not null) t where title not in (select category_key from pages where category_key is not null)""")
 def missing_categories(s, d):
-    targets, pages = table(s, d, "targets").select("id", "title").distinct(), table(s, d, "pages")
+    targets = table(s, d, "targets").select("id", "title").distinct()
+    pages = table(s, d, "pages").where("category_key is not null").select(F.col("category_key").alias("title")).distinct()
     empty = targets.join(table(s, d, "links").select(F.col("target").alias("id")).distinct(), "id", "left_anti").select("title", F.lit("no members").alias("problem"))
-    lone = pages.where("category_key is not null").select(F.col("category_key").alias("title")).distinct().join(targets.select("title"), "title", "left_anti")
-    return empty.union(lone.select("title", F.lit("no target").alias("problem")))
+    lone = pages.join(targets.select("title"), "title", "left_anti").select("title", F.lit("no target").alias("problem"))
+    bare = targets.where("title is not null").join(pages, "title", "left_anti").select("title", F.lit("no page").alias("problem"))
+    return empty.union(lone).union(bare)
 
 
 @query("""select b.title, count(distinct p.id) > 0 as found from (select distinct title from bundle_pages where title is not null) b left join pages p on p.title = b.title group by 1""")
@@ -514,15 +501,11 @@ def language_names(s, d):
     return resolution.languages(names, registry)
 
 
-@query("""with d as (select distinct title from pages where title is not null) select title, 4 as n_choices, true as has_answer from d where false""")
-def study_card_errors(s, d):
-    """Cards with a repeated choice or without their answer: none."""
-    cards = resolution.study_cards(table(s, d, "pages").where("title is not null"), 4, 11, 100)
-    bad = cards.where((F.size(F.array_distinct("choices")) != 4) | ~F.array_contains("choices", F.col("title")))
-    return bad.select("title", F.size("choices").alias("n_choices"), F.array_contains("choices", F.col("title")).alias("has_answer"))
-
-
-@query()
+@query("""with t as (select title, row_number() over (order by md5('11:' || title), title) - 1 as i from (select distinct title from pages where title is not null)),
+  d as (select title, i, least((select count(*) from t), 100) as n from t where i < 100),
+  a as (select list(title order by i) as deck from d),
+  c as (select title, [deck[(i + k) % n + 1] for k in [1, 2, 3]] as others, ascii(md5('12:' || title)) % 4 as place from d, a)
+  select title, array_to_string(list_concat(list_concat(others[:place], [title]), others[place + 1:]), '|') as choices from c""")
 def study_cards(s, d):
-    """The cards themselves, which study_card_errors only looks for errors in."""
-    return resolution.study_cards(table(s, d, "pages").where("title is not null"), 4, 11, 100)
+    cards = resolution.study_cards(table(s, d, "pages").where("title is not null"), 4, 11, 100)
+    return cards.withColumn("choices", F.array_join("choices", "|"))

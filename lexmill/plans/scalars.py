@@ -38,38 +38,22 @@ def string_basics(s, d):
 
 @query(f"""select id, title, upper(left(title, 1)) || substring(title, 2) as up_first, lower(left(title, 1)) || substring(title, 2) as low_first, hex(title) as bytes, md5(title) as hash,
   case when contains(title, ' ') then string_split(title, ' ')[1] else title end as word, len(string_split(title, ' ')) as n_words, trim(title, 'aeiou') as trimmed, title as again
-  from {_P} where regexp_full_match(title, '[ -~]*')""")
+  from {_P}""")
 def string_more(s, d):
-    return _string_more(_pages(s, d).where(F.col("title").rlike("^[ -~]*$")))
-
-
-def _string_more(rows):
-    t = F.col("title")
+    rows, t = _pages(s, d), F.col("title")
     words = S.split_plain(t, " ")
     return rows.select("id", "title", S.first_upper(t).alias("up_first"), S.first_lower(t).alias("low_first"), F.hex(F.encode(t, "UTF-8")).alias("bytes"), F.md5(t).alias("hash"), words[0].alias("word"), F.size(words).cast("bigint").alias("n_words"), S.trim(t, "aeiou").alias("trimmed"), S.from_codepoints(S.codepoints(t)).alias("again"))
 
 
-@query()
-def string_more_all(s, d):
-    return _string_more(_pages(s, d))
+_ENCODED = """replace(replace(replace(replace(replace(replace(title, '&', '&amp;'), '>', '&gt;'), '<', '&lt;'), '"', '&quot;'), '''', '&#39;'), chr(160), '&nbsp;')"""
 
 
 @query(f"""select id, title, case when length(title) > 5 and length(left(title, 5) || '…') < length(title) then left(title, 5) || '…' else title end as cut,
   case when length(title) < 12 then lpad(title, 12, '*') else title end as padded_left, case when length(title) < 12 then rpad(title, 12, 'ab') else title end as padded_right,
-  replace(replace(replace(replace(replace(title, '&', '&amp;'), '>', '&gt;'), '<', '&lt;'), '"', '&quot;'), '''', '&#39;') as encoded,
-  '<b id="' || replace(title, '''', '&#39;') || '" x>' || title || '</b>' as tagged from {_P} where not regexp_matches(title, '[&<>"]')""")
+  {_ENCODED} as encoded, '<b id="' || {_ENCODED} || '" x>' || title || '</b>' as tagged from {_P}""")
 def string_layout(s, d):
-    return _string_layout(_pages(s, d).where(~F.col("title").rlike('[&<>"]')))
-
-
-def _string_layout(rows):
     t = F.col("title")
-    return rows.select("id", "title", S.truncate(t, 5).alias("cut"), S.pad(t, 12, "*").alias("padded_left"), S.pad(t, 12, "ab", left=False).alias("padded_right"), S.html_encode(t).alias("encoded"), S.tag("b", [("id", t), ("x", True), ("y", False)], t).alias("tagged"))
-
-
-@query()
-def string_layout_all(s, d):
-    return _string_layout(_pages(s, d))
+    return _pages(s, d).select("id", "title", S.truncate(t, 5).alias("cut"), S.pad(t, 12, "*").alias("padded_left"), S.pad(t, 12, "ab", left=False).alias("padded_right"), S.html_encode(t).alias("encoded"), S.tag("b", [("id", t), ("x", True), ("y", False)], t).alias("tagged"))
 
 
 @query("""with w as (select user_id, list(distinct event_type order by event_type) as a from events group by 1)
@@ -80,20 +64,11 @@ def list_functions(s, d):
     return w.select("user_id", S.list_to_text(F.col("a")).alias("listed"), F.array_join(C.select("a", 2), "|").alias("rest"), C.length("a").cast("bigint").alias("n"), F.array_join(C.insert("a", F.lit("new")), ",").alias("added"), F.array_join(C.sort("a", True), ",").alias("reversed"))
 
 
-@query(f"""select id, title, regexp_extract(title, '^([A-Za-z]+)', 1) as lead, regexp_replace(title, '[aeiou]', '<>', 'g') as marked, len(regexp_extract_all(title, '[A-Za-z]+')) as n_words,
-  regexp_replace(title, '([a-z])([a-z])', '\\2\\1', 'g') as swapped from {_P} where regexp_full_match(title, '[A-Za-z][ -~]*')""")
+@query(f"""select id, title, nullif(regexp_extract(title, '^([A-Za-z]+)', 1), '') as lead, regexp_replace(title, '[aeiou]', '<>', 'g') as marked, len(regexp_extract_all(title, '[A-Za-z]+')) as n_words,
+  regexp_replace(title, '([a-z])([a-z])', '\\2\\1', 'g') as swapped from {_P}""")
 def lua_patterns(s, d):
-    return _lua_patterns(_pages(s, d).where(F.col("title").rlike("^[A-Za-z][ -~]*$")))
-
-
-def _lua_patterns(rows):
     t = F.col("title")
-    return rows.select("id", "title", patterns.match_column(t, "^(%a+)", unicode=False).alias("lead"), patterns.gsub_column(t, "[aeiou]", "<>").alias("marked"), F.size(patterns.gmatch_column(t, "%a+", unicode=False)).cast("bigint").alias("n_words"), patterns.gsub_column(t, "(%l)(%l)", "%2%1", unicode=False).alias("swapped"))
-
-
-@query()
-def lua_patterns_all(s, d):
-    return _lua_patterns(_pages(s, d))
+    return _pages(s, d).select("id", "title", patterns.match_column(t, "^(%a+)", unicode=False).alias("lead"), patterns.gsub_column(t, "[aeiou]", "<>").alias("marked"), F.size(patterns.gmatch_column(t, "%a+", unicode=False)).cast("bigint").alias("n_words"), patterns.gsub_column(t, "(%l)(%l)", "%2%1", unicode=False).alias("swapped"))
 
 
 @query()
@@ -102,37 +77,32 @@ def lua_patterns_python(s, d):
     return _pages(s, d).select("id", patterns.find_column(t, "%s()%w", 2).alias("at"), patterns.gsub_column(t, "%w", "%0%0", 1).alias("once"), patterns.match_column(t, "%b()").alias("pair"))
 
 
-@query(f"select id, title, replace(url_encode(title), '%20', '+') as q, replace(replace(url_encode(replace(title, ' ', '_')), '%3A', ':'), '%2F', '/') as w, title as back from {_P} where regexp_full_match(title, '[A-Za-z0-9 :/]*')")
-def url_functions(s, d):
-    return _url_functions(_pages(s, d).where(F.col("title").rlike("^[A-Za-z0-9 :/]*$")))
+def _url(x: str, keep: str, space: str) -> str:
+    """SQL of x with all but letters, digits, ``-._`` and keep as percent codes."""
+    out = f"replace(url_encode({x}), '%20', '{space}')"
+    for char in "*~":
+        out = f"replace({out}, '{char}', '%{ord(char):02X}')"
+    for char in keep:
+        out = f"replace({out}, '%{ord(char):02X}', '{char}')"
+    return out
 
 
-def _url_functions(rows):
-    t = F.col("title")
-    return rows.select("id", "title", U.encode(t).alias("q"), U.encode(t, "WIKI").alias("w"), U.decode(U.encode(t, "PATH"), "PATH").alias("back"))
+_WIKI_URL = _url("replace(title, ' ', '_')", ";@$!*(),/~:", "_")
 
 
-@query()
-def url_functions_all(s, d):
-    return _url_functions(_pages(s, d))
+@query(f"select id, title, {_url('title', '~', '+')} as q, {_WIKI_URL} as w, title as back from {_P}")
+def url_functions(s, d):
+    t = F.col("title")
+    return _pages(s, d).select("id", "title", U.encode(t).alias("q"), U.encode(t, "WIKI").alias("w"), U.decode(U.encode(t, "PATH"), "PATH").alias("back"))
 
 
-@query("""with u as (select id, 'https://w.example:8080/wiki/' || replace(title, ' ', '_') || '?a=' || id || '&b=1&a=2#top' as url from (select distinct id, title from pages where regexp_full_match(title, '[A-Za-z0-9 ]*')))
+@query(f"""with u as (select id, 'https://w.example:8080/wiki/' || {_WIKI_URL} || '?a=' || id || '&b=1&a=2#top' as url from {_P})
   select id, 'https' as protocol, 'w.example' as host, 8080 as port, regexp_extract(url, '8080([^?]*)', 1) as path, regexp_extract(url, '[?]([^#]*)', 1) as query, 'top' as fragment, url as whole, id || ',2' as a_values, true as valid from u""")
 def url_parts(s, d):
-    return _url_parts(_pages(s, d).where(F.col("title").rlike("^[A-Za-z0-9 ]*$")), F.translate("title", " ", "_"))
-
-
-def _url_parts(rows, name):
-    url = F.concat(F.lit("https://w.example:8080/wiki/"), name, F.lit("?a="), F.col("id").cast("string"), F.lit("&b=1&a=2#top"))
-    p = U.parts(url)
-    return rows.select("id", p.alias("p")).select("id", "p.protocol", "p.host", "p.port", "p.path", "p.query", "p.fragment", U.to_text(F.col("p")).alias("whole"), F.array_join(U.query_map("p.query")["a"], ",").alias("a_values"), U.is_valid(F.col("p")).alias("valid"))
-
-
-@query()
-def url_parts_all(s, d):
     """Titles stand in the path as wiki URLs write them, so ? and # of a title end no part."""
-    return _url_parts(_pages(s, d), U.encode("title", "WIKI"))
+    url = F.concat(F.lit("https://w.example:8080/wiki/"), U.encode("title", "WIKI"), F.lit("?a="), F.col("id").cast("string"), F.lit("&b=1&a=2#top"))
+    rows = _pages(s, d).select("id", U.parts(url).alias("p"))
+    return rows.select("id", "p.protocol", "p.host", "p.port", "p.path", "p.query", "p.fragment", U.to_text(F.col("p")).alias("whole"), F.array_join(U.query_map("p.query")["a"], ",").alias("a_values"), U.is_valid(F.col("p")).alias("valid"))
 
 
 @query("""select distinct o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as iso, cast(day(o_orderdate) as varchar) || ' ' || monthname(o_orderdate) || ' ' || year(o_orderdate) as dmy, strftime(o_orderdate, '%Y%m%d%H%M%S') as compact,
@@ -172,10 +142,10 @@ def number_functions(s, d):
 
 
 @query("""select o_orderkey, case when o_orderkey < 1000 then cast(o_orderkey as varchar) else regexp_replace(format('{:,}', o_orderkey), 'x', 'x') end as grouped, cast(o_orderkey as double) as parsed, cast(o_orderkey as varchar) as shown,
-  cast(o_orderkey as double) as hexed, true as same, case when o_orderkey = 1 then 'one' else 'many' end as form, o_orderkey % 2 = 0 as truth, cast(o_orderkey * 2 + 1 as varchar) as value from orders where o_orderkey < 1000000000""")
+  cast(o_orderkey as double) as hexed, true as same, case when o_orderkey = 1 then 'one' else 'many' end as form, o_orderkey % 2 = 0 as truth, cast(o_orderkey * 2 + 1 as varchar) as value from orders""")
 def number_texts(s, d):
     k = F.col("o_orderkey").cast("string")
-    rows = table(s, d, "orders").where("o_orderkey < 1000000000")
+    rows = table(s, d, "orders")
     grouped = S.format_number(k)
     return rows.select(
         "o_orderkey", grouped.alias("grouped"), S.parse_number(grouped).alias("parsed"), N.to_text("o_orderkey").alias("shown"), N.to_number(F.lower(F.hex("o_orderkey")), 16).alias("hexed"), N.same_number(k, F.concat(k, F.lit(".0"))).alias("same"),
@@ -209,70 +179,43 @@ def title_functions(s, d):
     return rows.withColumn("lead", lead).select("id", "ns", "title", T.lookup_key(t, kind).alias("key"), T.local_title(t).alias("local"), T.root_page(t).alias("root"), T.sub_page(t).alias("sub"), T.is_valid(t).alias("valid"), T.compare((t,), (F.col("lead"),)).alias("cmp"))
 
 
-@query("""select id, ns, title, trim(replace(title, '_', ' '), ' ') as spaced, trim(regexp_replace(split_part(title, '#', 1), '[ _]+', '_', 'g'), '_') as dbkey from (select distinct id, ns, title from redirects where regexp_full_match(title, '[ -~]*'))""")
-def title_keys(s, d):
-    return _title_keys(table(s, d, "redirects").where(F.col("title").rlike("^[ -~]*$")))
-
-
-def _title_keys(rows):
-    rows = rows.select("id", "ns", "title").distinct()
-    return rows.select("id", "ns", "title", S.normalize_space("title").alias("spaced"), S.category_key("title").alias("dbkey"))
+_SPACED = r"trim(regexp_replace(regexp_replace(title, '[\x{200e}\x{200f}\x{202a}-\x{202e}]', '', 'g'), '[ _\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'), ' ')"
 
 
-@query()
-def title_keys_all(s, d):
+@query(f"""select id, ns, title, {_SPACED} as spaced, trim(regexp_replace(split_part(title, '#', 1), '[ _]+', '_', 'g'), '_') as dbkey from (select distinct id, ns, title from redirects)""")
+def title_keys(s, d):
     """A null title keeps its row and has no keys."""
-    return _title_keys(table(s, d, "redirects"))
+    return table(s, d, "redirects").select("id", "ns", "title").distinct().select("id", "ns", "title", S.normalize_space("title").alias("spaced"), S.category_key("title").alias("dbkey"))
 
 
-@query("""select id, title, ns as ns_id, title as normal from (select distinct id, ns, title from pages where regexp_full_match(title, '[ -~]*') and not contains(title, '#'))""")
+@query(f"select id, title, ns as ns_id, title as normal from {_P}")
 def title_normal(s, d):
-    return _title_normal(s, d, _pages(s, d).where(F.col("title").rlike("^[ -~]*$") & ~F.col("title").contains("#")))
-
-
-def _title_normal(s, d, rows):
     names = T.registry_names(table(s, d, "namespace_registry"))
     n = T.normalized_column(F.concat(F.lit(" "), F.translate("title", " ", "_")), names)
-    return rows.select("id", "title", n.alias("n")).select("id", "title", F.col("n.ns").alias("ns_id"), F.col("n.title").alias("normal"))
+    return _pages(s, d).select("id", "title", n.alias("n")).select("id", "title", F.col("n.ns").alias("ns_id"), F.col("n.title").alias("normal"))
 
 
-@query()
-def title_normal_all(s, d):
-    return _title_normal(s, d, _pages(s, d))
+INSTANT = """(cast(replace(substr(revision_timestamp, 1, 19), 'T', ' ') as timestamp)
+  - case when substr(revision_timestamp, 20, 1) in ('+', '-') then (case substr(revision_timestamp, 20, 1) when '+' then 1 else -1 end)
+    * (cast(substr(revision_timestamp, 21, 2) as int) * interval 1 hour + cast(substr(revision_timestamp, 24, 2) as int) * interval 1 minute) else interval 0 hour end)"""
 
 
-@query("""select revision_id, revision_timestamp as ts, strftime(cast(replace(left(revision_timestamp, 19), 'T', ' ') as timestamp), '%Y%m%d%H%M%S') as compact, left(revision_timestamp, 4) as year, cast(cast(substring(revision_timestamp, 6, 2) as int) as varchar) as month1
-  from (select distinct revision_id, revision_timestamp from bundle_pages where ends_with(revision_timestamp, 'Z'))""")
+@query(f"""select revision_id, revision_timestamp as ts, strftime({INSTANT}, '%Y%m%d%H%M%S') as compact, strftime({INSTANT}, '%Y') as year, cast(month({INSTANT}) as varchar) as month1
+  from (select distinct revision_id, revision_timestamp from bundle_pages)""")
 def revision_words(s, d):
-    return _revision_words(table(s, d, "bundle_pages").where(F.col("revision_timestamp").endswith("Z")))
-
-
-def _revision_words(rows):
-    rows = rows.select("revision_id", "revision_timestamp").distinct()
+    """Timestamps in every form, as instants in UTC; unreadable ones give null words."""
+    rows = table(s, d, "bundle_pages").select("revision_id", "revision_timestamp").distinct()
     t = snapshots.instant("revision_timestamp")
     return rows.select("revision_id", F.col("revision_timestamp").alias("ts"), D.compact(t).alias("compact"), D.format_date(t, "Y").alias("year"), D.format_date(t, "n").alias("month1"))
 
 
-@query()
-def revision_words_all(s, d):
-    """Timestamps in every form, as instants in UTC; unreadable ones give null words."""
-    return _revision_words(table(s, d, "bundle_pages"))
-
-
-@query("""select revision_id, contains(source, '{{') or contains(source, '}}') as unresolved, regexp_matches(source, 'Lua error|Expression error') as failed,
-  regexp_matches(source, '\\[\\[|\\]\\]|\\{\\{|\\}\\}|\\{\\||\\|\\}|</?[A-Za-z][^<>]*>') as markup from (select distinct revision_id, source from bundle_pages where source is not null and not contains(source, '<nowiki') and not contains(source, '<!--'))""")
+@query("""with x as (select distinct revision_id, source, regexp_replace(source, '<nowiki\\b[^>]*>.*?</nowiki\\s*>|<!--.*?-->', '', 'gis') as bare from bundle_pages where source is not null)
+  select revision_id, contains(bare, '{{') or contains(bare, '}}') or contains(bare, chr(127)) as unresolved, regexp_matches(source, 'Lua error|Expression error|class="[^"]*\\berror\\b') as failed,
+  regexp_matches(source, '\\[\\[|\\]\\]|\\{\\{|\\}\\}|\\{\\||\\|\\}|</?[A-Za-z][^<>]*>') as markup, regexp_matches(source, '__[A-Z]{3,}__') as switch from x""")
 def markup_diagnostics(s, d):
     rows = table(s, d, "bundle_pages").where("source is not null").select("revision_id", "source").distinct()
-    return _markup_diagnostics(rows.where(~F.col("source").contains("<nowiki") & ~F.col("source").contains("<!--")))
-
-
-def _markup_diagnostics(rows):
-    return rows.select("revision_id", T.unresolved_syntax("source").alias("unresolved"), F.col("source").rlike("Lua error|Expression error").alias("failed"), F.array_contains(T.diagnostics("source"), "source-markup").alias("markup"))
-
-
-@query()
-def markup_diagnostics_all(s, d):
-    return _markup_diagnostics(table(s, d, "bundle_pages").where("source is not null").select("revision_id", "source").distinct())
+    kinds = T.diagnostics("source")
+    return rows.select("revision_id", T.unresolved_syntax("source").alias("unresolved"), T.has_error("source").alias("failed"), F.array_contains(kinds, "source-markup").alias("markup"), F.array_contains(kinds, "behavior-switch").alias("switch"))
 
 
 @query()

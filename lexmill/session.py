@@ -31,11 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session.
 
-    Only where that setting is absent (tests, one machine) a temporary folder
-    of this machine is made.
+    Only where that setting is absent and the session runs on this machine
+    alone, as in tests, a temporary folder is made; a cluster without the setting is an error.
     """
     context = spark.sparkContext
     known = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not known and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not known:
         known = tempfile.mkdtemp(prefix="lexmill-")
     if not context.getCheckpointDir():

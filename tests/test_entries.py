@@ -55,7 +55,7 @@ def test_resolution(spark):
     assert [r.wiki for r in order.collect()] == ["p", "en", "a", "b"]
     raw = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 0, "c")], "id long, ord int, heading string")
     shown = spark.createDataFrame([(1, 5, "A"), (1, 6, "B"), (2, 0, "C"), (2, 1, "D")], "id long, ord int, heading string")
-    assert {(r.id, r.raw_heading, r.rendered_heading) for r in resolution.aligned_sections(raw, shown, ["id"]).collect()} == {(1, "a", "A"), (1, "b", "B")}
+    assert {(r.id, r.raw_heading, r.rendered_heading, r.aligned) for r in resolution.aligned_sections(raw, shown, ["id"]).collect()} == {(1, "a", "A", True), (1, "b", "B", True), (2, "c", "C", False), (2, None, "D", False)}
     links = spark.createDataFrame([("Q1", "enwiki", "One"), ("Q1", "dewiki", "Eins")], "entity string, site string, title string")
     assert {tuple(r) for r in resolution.sitelinks(spark.createDataFrame([("Q1",), ("Q2",)], "entity string"), links, "dewiki").collect()} == {("Q1", "Eins"), ("Q2", None)}
 
@@ -99,10 +99,20 @@ def test_stream_equals_batch(spark, sf, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "e.parquet").symlink_to(f"{sf}/events.parquet")
     events = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-    stream.keep_recent(stream.last_visits(events, "user_id", "event_type", "ts", "1000 days"), str(tmp_path / "out"), "user_id", "event_type", "ts", 3).awaitTermination(120)
-    got = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("user_id", "event_type", "rank").collect()}
-    want = {tuple(r) for r in Q.recency(spark.read.parquet(f"{sf}/events.parquet"), "user_id", "event_type", ["ts"], 3).collect()}
-    assert got == want
+    columns = ("user_id", "event_type", "ts")
+    out, whole = str(tmp_path / "out"), spark.read.parquet(f"{sf}/events.parquet")
+    stream.keep_recent(events, out, *columns).awaitTermination(120)
+    want = {tuple(r) for r in Q.recency(whole, "user_id", "event_type", ["ts"], 3).collect()}
+    assert {tuple(r) for r in stream.recent(spark, out, *columns, 3).collect()} == want
+    # more events come later: another batch is added to what is there
+    whole.where("event_id < 100").write.parquet(str(tmp_path / "more"))
+    for i, file in enumerate((tmp_path / "more").glob("*.parquet")):
+        file.rename(tmp_path / "in" / f"more{i}.parquet")
+    stream.keep_recent(events, out, *columns).awaitTermination(120)
+    assert stream.last_visits(spark, out, *columns).agg(F.sum("n_visits")).first()[0] == whole.count() + whole.where("event_id < 100").count()
+    assert {tuple(r) for r in stream.recent(spark, out, *columns, 3).collect()} == want
+    stream.compacted(spark, out, str(tmp_path / "whole"), *columns)
+    assert stream.last_visits(spark, str(tmp_path / "whole"), *columns).exceptAll(stream.last_visits(spark, out, *columns)).count() == 0
     q = stream.visits_by_window(events, "ts", "1 day", "1000 days").writeStream.format("memory").queryName("w").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(120)
-    assert spark.table("w").agg(F.sum("n_visits")).first()[0] == spark.read.parquet(f"{sf}/events.parquet").count()
+    assert spark.table("w").agg(F.sum("n_visits")).first()[0] == whole.count() + whole.where("event_id < 100").count()

@@ -106,6 +106,46 @@ def test_layout(spark):
     assert [tuple(r) for r in heads.collect()] == [("Noun", None), ("Noun", None), (None, None), ("Noun", None), (None, "etymology"), (None, "relations"), (None, None)]
 
 
+def test_batches_of_a_split_group(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([0, 0, 0, 10, None]), i, "x" * rng.randrange(1, 40)) for i in range(300)] + [(0, 999, None)]
+    df = spark.createDataFrame(rows, "ns int, id long, title string")
+    for shard in (1 << 16, 37):
+        want, state = {}, {}
+        for ns, i, title in sorted((r for r in rows if r[2]), key=lambda r: r[1]):
+            n, batch, count, chars = state.get(ns, (0, -1, 0, 0))
+            if n % shard == 0 or count >= 8 or chars + len(title) + 1 > 100:
+                batch, count, chars = batch + 1, 0, 0
+            state[ns] = (n + 1, batch, count + 1, chars + len(title) + 1)
+            want[i] = batch
+        got = Q.batches(df, "ns", ["id"], "title", 8, 100, shard).collect()
+        assert {r.id: r.batch for r in got} == want and len(got) == len(want)
+
+
+def test_running_sums(spark):
+    df = spark.range(500).select((F.col("id") * 7 % 500).alias("k"), F.when(F.col("id") % 9 > 0, F.col("id")).alias("v"))
+    run, want = 0, []
+    for k, v in sorted((r.k, r.v) for r in df.collect()):
+        run += v or 0
+        want.append((k, run))
+    assert [(r.k, r.running) for r in ranks.with_running(df, ["k"], "v").orderBy("position").collect()] == want
+    assert ranks.with_running(df.where("false"), ["k"], "v").count() == 0
+
+
+def test_accounting_of_runs(spark):
+    rec = A.reconciled(spark.createDataFrame([(0, 5), (10, 2), (14, 3)], "ns int, expected long"), spark.createDataFrame([(0, 7), (10, 3), (4, 1)], "ns int, found long"), ["ns"], F.col("ns") == 0)
+    assert {tuple(r) for r in rec.collect()} == {(10, 2, 3), (14, 3, 0), (4, 0, 1)}
+    cover = spark.createDataFrame([(0, 10, 10, 100), (90, 20, 10, 100), (0, 10, 9, 100), (0, None, 101, 100), (101, 1, 0, 100)], "start long, limit long, seen long, total long")
+    assert sorted((r.start, r.seen, r.problem) for r in A.page_coverage_problems(cover).collect()) == [(0, 9, "pages missing"), (0, 101, "pages too many"), (101, 0, "start behind the end")]
+    a, b = spark.createDataFrame([("x",), ("y",)], "title string"), spark.createDataFrame([("y",), ("z",)], "title string")
+    rows, problems = A.strict_union([a, b], "title", spark.createDataFrame([("x",), ("y",), ("w",)], "title string"))
+    assert rows.count() == 4 and {tuple(r) for r in problems.collect()} == {("y", "repeated"), ("w", "not captured"), ("z", "not selected")}
+    p = A.profile(spark.createDataFrame([(1, "m"), (1, "m"), (2, "m"), (2, "n")], "page long, node string"), spark.createDataFrame([("m", "k"), ("n", "k"), ("n", "k"), ("k", "k")], "src string, dst string"), spark.createDataFrame([("m", 5), ("n", 3)], "node string, value long"))
+    assert {tuple(r) for r in p.collect()} == {("m", 5, 2, 0, 0), ("n", 3, 1, 0, 0), ("k", 0, 0, 8, 2)}
+    work = A.work_statistics(spark.createDataFrame([("a", 1), ("a", None), ("b", 4)], "g string, n long"), ["g"], ["n"])
+    assert {tuple(r) for r in work.collect()} == {("a", 2, 1, 1, 1), ("b", 1, 4, 4, 1)}
+
+
 def test_graphs(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 4), (6, 7), (1, 8), (4, 8), (9, 9), (None, 1)], "src long, dst long")
     n = spark.range(1, 11).withColumnRenamed("id", "node")
@@ -222,7 +262,7 @@ def test_siteinfo(spark, tmp_path):
     assert siteinfo.linktrail_ranges("/^([a-zäö]+)(.*)$/sD") == [(97, 122), (228, 228), (246, 246)]
 
 
-def test_publish(tmp_path):
+def test_publish(spark, tmp_path):
     root = tmp_path / "d"
     (root).mkdir()
     (root / "old").write_text("1")
@@ -230,6 +270,7 @@ def test_publish(tmp_path):
     def write(path):
         import os
 
+        path = path.removeprefix("file:")
         os.mkdir(path)
         open(path + "/new", "w").close()
 
@@ -237,7 +278,7 @@ def test_publish(tmp_path):
         raise ValueError("bad")
 
     with pytest.raises(ValueError):
-        sinks.publish(str(root), write, refuse)
+        sinks.publish(spark, str(root), write, refuse)
     assert [p.name for p in root.iterdir()] == ["old"]
-    sinks.publish(str(root), write, lambda p: None)
+    sinks.publish(spark, str(root), write, lambda p: None)
     assert [p.name for p in root.iterdir()] == ["new"] and [p.name for p in tmp_path.iterdir()] == ["d"]

@@ -1,4 +1,4 @@
-"""Queries over all rows, those their SQL twins leave out too, against brute force on a fixture."""
+"""Queries over hard rows against brute force on a fixture."""
 
 from __future__ import annotations
 
@@ -23,14 +23,14 @@ def test_lookup_in_every_script(spark, tmp_path):
         hits = [t for t in titles if t is not None and t.lower() == q.lower()]
         best = min(hits, key=lambda t: (t != q, t.encode())) if hits else None
         expected[q] = (best, best == q if hits else None)
-    assert {r["query"]: (r.title, r.exact) for r in core.QUERIES["lookup_folded_all"](spark, str(tmp_path)).collect()} == expected
+    assert {r["query"]: (r.title, r.exact) for r in core.QUERIES["lookup_folded"](spark, str(tmp_path)).collect()} == expected
 
 
 def test_search_in_every_script(spark, tmp_path):
     titles = [f"Ca{c}" for c in "éñабвгÀz"] + ["cab", "CAÉ"]
     spark.createDataFrame([(i, 0, t) for i, t in enumerate(titles)], "id long, ns int, title string").write.parquet(f"{tmp_path}/pages.parquet")
     expected = sorted(((t.lower().encode(), t.encode(), i, t) for i, t in enumerate(titles)))[5:25]
-    got = core.QUERIES["search_page_all"](spark, str(tmp_path)).collect()
+    got = core.QUERIES["search_page"](spark, str(tmp_path)).collect()
     assert [(r.id, r.title) for r in got] == [(i, t) for _, _, i, t in expected]
     assert {(r.total, r.has_more) for r in got} == {(len(titles), False)}
 
@@ -48,7 +48,7 @@ def _hard(spark, tmp_path):
 
 def test_scalars_on_hard_titles(spark, tmp_path):
     run = _hard(spark, tmp_path)
-    more, layout, lua, urls, parts, keys, normal = (run(f"{n}_all") for n in ("string_more", "string_layout", "lua_patterns", "url_functions", "url_parts", "title_keys", "title_normal"))
+    more, layout, lua, urls, parts, keys, normal = (run(f"{n}") for n in ("string_more", "string_layout", "lua_patterns", "url_functions", "url_parts", "title_keys", "title_normal"))
     for i, t in enumerate(HARD):
         first = t[0] if t[0] == "ß" else t[0].upper()
         assert more[i] == {"id": i, "title": t, "up_first": first + t[1:], "low_first": t[0].lower() + t[1:], "bytes": t.encode().hex().upper(), "hash": hashlib.md5(t.encode()).hexdigest(), "word": t.split(" ")[0], "n_words": len(t.split(" ")), "trimmed": t.strip("aeiou"), "again": t}
@@ -73,9 +73,9 @@ def test_every_timestamp_and_source(spark, tmp_path):
     sources = ["<nowiki>{{a}}</nowiki>", "<nowiki>{{a}}</nowiki> {{b}}", "<!-- {{a}} --> x", "<!-- x", "{{c}} <!-- d -->", "plain"]
     rows = [(i, t, x) for i, ((t, _), x) in enumerate(zip(cases, sources, strict=True))]
     spark.createDataFrame(rows, "revision_id long, revision_timestamp string, source string").write.parquet(f"{tmp_path}/bundle_pages.parquet")
-    words = {r.revision_id: (r.ts, r.compact, r.year, r.month1) for r in core.QUERIES["revision_words_all"](spark, str(tmp_path)).collect()}
+    words = {r.revision_id: (r.ts, r.compact, r.year, r.month1) for r in core.QUERIES["revision_words"](spark, str(tmp_path)).collect()}
     assert words == {i: (t, c, c and c[:4], c and str(int(c[4:6]))) for i, (t, c) in enumerate(cases)}
-    found = {r.revision_id: (r.unresolved, r.failed) for r in core.QUERIES["markup_diagnostics_all"](spark, str(tmp_path)).collect()}
+    found = {r.revision_id: (r.unresolved, r.failed) for r in core.QUERIES["markup_diagnostics"](spark, str(tmp_path)).collect()}
     assert found == {i: (x, False) for i, x in enumerate([False, True, False, False, True, False])}
 
 
@@ -104,6 +104,7 @@ def test_long_expansion():
 def test_templates_of_the_table(spark, tmp_path):
     pages = [("1", 1, "2020-01-01T00:00:00Z", "P", 0, "{{box|1}} {{m|x|y}} {{lb|x|y}} {{no}}"), ("1", 2, "2020-01-01T00:00:00Z", "Template:box", 10, "old"), ("2", 3, "2020-01-02T00:00:00Z", "Template:box", 10, "<{{{1}}}>"), ("2", 4, "2020-01-01T00:00:00Z", "Template:m", 10, "M")]
     spark.createDataFrame(pages, "snapshot_id string, revision_id long, revision_timestamp string, title string, ns int, source string").write.parquet(f"{tmp_path}/bundle_pages.parquet")
+    spark.createDataFrame([("P",)], "title string").write.parquet(f"{tmp_path}/pages.parquet")
     got = {r.revision_id: r.expanded for r in core.QUERIES["pages_expanded"](spark, str(tmp_path)).collect()}
     assert got[1] == "<1> M (y) [[:Template:no]]"
 
@@ -120,7 +121,7 @@ def test_every_fallback_problem(spark, tmp_path):
     report = [(1, "a", "timeout"), (2, "b", "fallback"), (2, "b", "fallback"), (3, "c", None), (4, " ", "fallback"), (5, None, "fallback"), (6, "e", "expanded"), (6, "e", "expanded"), (7, "f", "fallback"), (99, "g", "timeout"), (8, "h", "fallback"), (8, "h", None)]
     spark.createDataFrame(report, "page_id long, title string, outcome string").write.parquet(f"{tmp_path}/bundle_expander.parquet")
     spark.createDataFrame([(i, 0) for i in range(1, 9)], "id long, ns int").write.parquet(f"{tmp_path}/pages.parquet")
-    got = {tuple(r) for r in core.QUERIES["fallback_report_problems_all"](spark, str(tmp_path)).collect()}
+    got = {tuple(r) for r in core.QUERIES["fallback_report_problems"](spark, str(tmp_path)).collect()}
     assert got == {
         (0, "a", "operational failure"), (0, "b", "repeated page"), (0, "b", "repeated reason"), (0, "c", "no reason"), (0, " ", "blank title"), (0, None, "blank title"),
         (None, "g", "operational failure"), (0, "h", "repeated page"), (0, "h", "no reason"),
