@@ -115,3 +115,26 @@ def localized(json_text, languages: list[str]) -> Column:
     x = col(json_text)
     picks = [F.get_json_object(x, f"$['{code}']") for code in languages]
     return F.when(F.ltrim(x).startswith("{"), F.coalesce(*picks)).otherwise(F.from_json(F.concat(F.lit("["), x, F.lit("]")), "array<string>")[0])
+
+
+def pairs(m) -> Column:
+    """The (key, value) entries of a map in the order of the keys."""
+    return F.array_sort(F.map_entries(col(m)))
+
+
+def get_key(m, key: Column) -> Column:
+    """The value of a key, null for none."""
+    return F.try_element_at(col(m), key)
+
+
+def unpack(xs, first: int = 1, last: int | None = None) -> Column:
+    """(place, value) of the values from first to last, to be exploded; places without a value are null."""
+    xs = col(xs)
+    stop = F.size(xs) if last is None else F.lit(last)
+    places = F.when(stop >= first, F.sequence(F.lit(first), stop)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.struct(i.alias("place"), F.get(xs, i - 1).alias("value")))
+
+
+def dump(x) -> Column:
+    """A nested value as text in a stable order of keys."""
+    return F.to_json(col(x), {"sortKeys": "true", "ignoreNullFields": "false"})

@@ -96,3 +96,28 @@ def same_number(a, b) -> Column:
     ints = a.rlike(whole) & b.rlike(whole) & (a.try_cast("decimal(38,0)") == b.try_cast("decimal(38,0)"))
     floats = a.rlike(number) & b.rlike(number) & ~(a.rlike(whole) & b.rlike(whole)) & (a.try_cast("double") == b.try_cast("double"))
     return (a == b) | F.coalesce(ints, F.lit(False)) | F.coalesce(floats, F.lit(False))
+
+
+def power(x, y) -> Column:
+    return F.pow(col(x), col(y))
+
+
+def random_between(seed: int, *keys, low: int = 0, high: int | None = None) -> Column:
+    """A number a row's keys and the seed decide: in [0, 1) without bounds, else a whole one from low to high.
+
+    The same row gets the same number however often it is computed.
+    """
+    unit = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *[col(k).cast("string") for k in keys])), 1, 13), 16, 10).cast("double") / float(1 << 52)
+    return unit if high is None else (F.floor(unit * (high - low + 1)) + low).cast("bigint")
+
+
+def value_type(x: Column, type_name: str) -> Column:
+    """The script type of a column of a Spark type: nil, boolean, number, string or table."""
+    known = {"boolean": "boolean", "string": "string"}
+    kind = known.get(type_name) or ("table" if type_name.startswith(("array", "map", "struct", "variant")) else "number")
+    return F.when(x.isNull(), "nil").otherwise(kind)
+
+
+def same_value(a, b) -> Column:
+    """Equality in which null equals null."""
+    return col(a).eqNullSafe(col(b))

@@ -7,9 +7,13 @@ code point functions (``u*``). Null in gives null out unless stated.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexmill.functions.lazy import mapped
+
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -282,3 +286,90 @@ def is_blank_message(x):
 
 def is_disabled_message(x):
     return F.coalesce(col(x), F.lit("")).isin("", "-")
+
+
+# formats and languages
+
+_FORMAT = re.compile(r"%([-+ #0]*)([0-9]*)(?:\.([0-9]*))?([diouxXeEfgGcsq%])|%")
+
+
+def format_string(pattern: str, *values) -> Column:
+    """printf for ``d i u o x X e E f g G c s q %``; too few values and unknown directives are errors."""
+    out, taken, at = [], 0, 0
+    for m in _FORMAT.finditer(pattern):
+        out.append(F.lit(pattern[at : m.start()]))
+        at = m.end()
+        flags, width, precision, kind = m.groups()
+        if kind is None:
+            raise ValueError(f"invalid directive in {pattern}")
+        if kind == "%":
+            out.append(F.lit("%"))
+            continue
+        if taken >= len(values):
+            raise ValueError(f"no value for directive {taken + 1}")
+        x = values[taken]
+        taken += 1
+        out.append(_formatted(x if isinstance(x, Column) else F.lit(x), flags, width, precision, kind))
+    return F.concat(*out, F.lit(pattern[at:]))
+
+
+def _formatted(x: Column, flags: str, width: str, precision: str | None, kind: str) -> Column:
+    if kind == "s":
+        text = x.cast("string")
+        text = F.left(text, F.lit(int(precision or 0))) if precision is not None else text
+    elif kind == "q":
+        text = F.concat(F.lit('"'), F.regexp_replace(F.replace(x.cast("string"), F.lit("\r"), F.lit("\\r")), r'(["\\\n])', r"\\$1"), F.lit('"'))
+    elif kind == "c":
+        text = F.chr(x.cast("bigint"))
+    elif kind in "gG":
+        return mapped(lambda v: f"%{flags}{width}{'' if precision is None else '.' + precision}{kind}" % v, "string", x.cast("double"))
+    elif kind in "eEfF":
+        dot = "" if precision is None else f".{int(precision or 0)}"
+        return F.format_string(f"%{flags}{width}{dot}{kind}", x.cast("double"))
+    else:
+        java = {"i": "d", "u": "d"}.get(kind, kind)
+        return F.format_string(f"%{flags}{width}{java}", x.cast("bigint"))
+    if not width:
+        return text
+    filled = F.rpad(text, int(width), " ") if "-" in flags else F.lpad(text, int(width), " ")
+    return F.when(F.char_length(text) < int(width), filled).otherwise(text)
+
+
+# Languages written from right to left.
+RIGHT_TO_LEFT = ("ar", "arc", "arz", "azb", "bcc", "bqi", "ckb", "dv", "fa", "glk", "he", "khw", "ks", "lrc", "mzn", "nqo", "pnb", "prs", "ps", "sd", "ug", "ur", "yi")
+
+
+def direction(code) -> Column:
+    """ltr or rtl of a language code; a script in the code decides over the language."""
+    code = F.lower(col(code))
+    script = F.regexp_extract(code, "-(arab|hebr|syrc|thaa|nkoo|latn|cyrl|deva)(?:-|$)", 1)
+    right = F.when(script.isin("arab", "hebr", "syrc", "thaa", "nkoo"), True).when(script != "", False).otherwise(F.substring_index(code, "-", 1).isin(*RIGHT_TO_LEFT))
+    return F.when(right, "rtl").when(code.isNotNull(), "ltr")
+
+
+def arrow(which, code) -> Column:
+    """The arrow forwards or backwards as the language is read, up or down; null for another word."""
+    which = F.lower(col(which))
+    ahead = direction(code) == "ltr"
+    return F.when(which == "forwards", F.when(ahead, "→").otherwise("←")).when(which == "backwards", F.when(ahead, "←").otherwise("→")).when(which == "up", "↑").when(which == "down", "↓")
+
+
+def is_language_tag(x) -> Column:
+    """Whether text has the form of a language tag: a language of 2 to 8 letters and subtags of at most 8."""
+    return F.coalesce(col(x).rlike("^[a-z]{2,8}(-[a-z0-9]{1,8})*$"), F.lit(False))
+
+
+def simple_fold(x) -> Column:
+    """Letters folded one to one: upper, then lower case where neither changes the number of letters."""
+    return F.array_join(F.transform(F.filter(F.split(col(x), ""), lambda c: c != ""), _fold_one), "")
+
+
+def _fold_one(c: Column) -> Column:
+    up = F.upper(c)
+    low = F.lower(F.when(F.char_length(up) == 1, up).otherwise(c))
+    return F.when(F.char_length(low) == 1, low).otherwise(c)
+
+
+def folded_prefix(x) -> Column:
+    """The first two bytes of the lower-cased text: no text beyond an ASCII letter's equal fold differs in them."""
+    return F.substring(F.encode(F.lower(col(x)), "UTF-8"), 1, 2)

@@ -8,9 +8,10 @@ import unicodedata
 from html.entities import html5
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from lexmill.functions.lazy import mapped
-from lexmill.wikitext import expand, scan
+from lexmill.wikitext import expand, presenting, scan
 
 # Entities of XML, read in one pass.
 XML_ENTITIES = {"lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'"}
@@ -159,3 +160,19 @@ def expanded_column(source, title, pages: dict[str, str] | None = None, **settin
             return expand.lua_error(str(e))
 
     return mapped(one, "string", source, title)
+
+
+def presented_column(body, title=None) -> Column:
+    """The spans of the template between the braces, null if it is in no family that is presented."""
+    names = ("text", "target", "role", "language", "bold", "italic", "small", "superscript", "subscript", "code")
+
+    def one(text: str, name: str | None = None):
+        spans = presenting.presented(text, name or "")
+        return None if spans is None else [{n: bool(s.get(n)) if n in names[4:] else s.get(n) for n in names} for s in spans]
+
+    flags = ",".join(f"{n}:boolean" for n in names[4:])
+    return mapped(one, f"array<struct<text:string,target:string,role:string,language:string,{flags}>>", body, *([title] if title is not None else []))
+
+
+def presented_text(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: s["text"]), "")

@@ -208,3 +208,44 @@ def unresolved_syntax(text) -> Column:
 
 def has_error(text) -> Column:
     return col(text).rlike(r"Lua error|Expression error|class=\"[^\"]*\berror\b")
+
+
+def in_namespace(ns, *wanted: int) -> Column:
+    """Whether a namespace is one of the wanted ones; a null one is none."""
+    return F.coalesce(col(ns).isin(*wanted), F.lit(False))
+
+
+def make_title(prefix, title, fragment=None, interwiki=None) -> Column:
+    """A title put together of its parts; null where the title has no place for one or is no valid title."""
+    name = full_text(prefix, title, fragment)
+    whole = name if interwiki is None else F.when(F.coalesce(col(interwiki), F.lit("")) == "", name).otherwise(F.concat(col(interwiki), F.lit(":"), name))
+    return F.when(is_valid(title), whole)
+
+
+def transclusion_title(name, host, has_subpages) -> Column:
+    """What a template name means on its host: a leading slash names a subpage of the host where
+    it may have some, a leading colon a page without the template prefix."""
+    name = F.trim(F.regexp_replace(col(name), "[ _]+", " "))
+    sub = F.coalesce(col(has_subpages), F.lit(False)) & name.startswith("/")
+    return F.when(sub, F.concat(col(host), F.regexp_replace(name, "/+$", ""))).when(name.startswith(":"), F.trim(F.substring(name, 2, 2147483647))).otherwise(name)
+
+
+def is_talk(ns) -> Column:
+    return F.coalesce((col(ns) > 0) & (col(ns) % 2 == 1), F.lit(False))
+
+
+def is_valid_alias(a: dict[str, Column]) -> Column:
+    """Whether an alias row holds together: its kinds agree with its namespaces, its keys are
+    those of its titles, its fragment has at most 255 bytes, and no text is empty or holds a NUL.
+
+    a: source_kind, source_namespace, source_title, source_key, target_kind, target_namespace, target_key, target_title, fragment.
+    """
+    fits = lambda kind, ns: (kind != "alias") & ((kind == "language") == (ns == 0))
+    key = lambda title, kind: F.when(kind.isin("language", "supplemental") | title.contains(":"), lookup_key(title, kind))
+    text = lambda x: x.isNotNull() & (x != "") & ~x.contains("\x00")
+    source = fits(a["source_kind"], a["source_namespace"]) & text(a["source_title"]) & (a["source_key"] == key(a["source_title"], a["source_kind"]))
+    target = F.when(a["target_kind"].isNull(), F.coalesce(a["target_key"], F.lit("")) == "").otherwise(
+        a["target_namespace"].isNotNull() & fits(a["target_kind"], a["target_namespace"]) & text(a["target_key"]) & (a["target_key"] == key(a["target_title"], a["target_kind"]))
+    )
+    fragment = F.coalesce((F.octet_length(a["fragment"]) <= 255) & ~a["fragment"].contains("\x00"), F.lit(True))
+    return F.coalesce(source & target & text(a["target_title"]) & fragment, F.lit(False))

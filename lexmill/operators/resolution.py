@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import strings as S
@@ -90,3 +90,81 @@ def edition_order(wikis: DataFrame, pilots: list[str], main: str) -> DataFrame:
     """Wikis in the order they are built: pilots, the main one, the rest by name."""
     place = F.array_position(F.array(*map(F.lit, [*pilots, main])), F.col("wiki"))
     return wikis.select("wiki").distinct().withColumn("place", F.when(place > 0, place).otherwise(F.lit(len(pilots) + 2))).orderBy("place", "wiki")
+
+
+# languages declared in pages
+
+# The words that declare a language in the headings of two editions.
+DECLARATIONS = {"ar": "اللغة", "az": "Dil"}
+ARABIC_LANGUAGE = "لغة"
+_LABEL = r"[^{}\[\]<>|=\r\n]+"
+
+
+def declared_language(heading, edition: str) -> Column:
+    """The language a heading declares by its edition's template, or in Arabic by a word; null for none."""
+    text = F.btrim(S.col(heading), F.lit(" \t"))
+    if edition not in DECLARATIONS:
+        return F.lit(None).cast("string")
+    label = F.regexp_extract(text, rf"^\{{\{{[ \t]*{DECLARATIONS[edition]}[ \t]*\|({_LABEL})\}}\}}$", 1)
+    if edition == "ar":
+        label = F.coalesce(F.nullif(F.regexp_extract(text, rf"^{ARABIC_LANGUAGE}[ \t]+({_LABEL})$", 1), F.lit("")), label)
+    return F.nullif(F.btrim(label, F.lit(" \t")), F.lit(""))
+
+
+def marker_language(line) -> Column:
+    """The code of a line that is a standalone language marker, ``{{-xx-}}`` or ``{{=xx=}}``; null for none."""
+    text = F.btrim(S.col(line), F.lit(" \t\r"))
+    code = F.regexp_extract(text, r"^\{\{[ \t]*(?:-[ \t]*([A-Za-z][A-Za-z0-9-]*?)[ \t]*-|=[ \t]*([A-Za-z][A-Za-z0-9-]*?)[ \t]*=)[ \t]*\}\}$", 1)
+    other = F.regexp_extract(text, r"^\{\{[ \t]*=[ \t]*([A-Za-z][A-Za-z0-9-]*?)[ \t]*=[ \t]*\}\}$", 1)
+    found = F.when(code != "", code).otherwise(other)
+    return F.when(F.char_length(text) >= 7, F.nullif(found, F.lit("")))
+
+
+def boundary_languages(headings: DataFrame, key: list[str], registry: DataFrame) -> DataFrame:
+    """(key, heading, code): the language a heading names, by its text without quotes, or else by
+    the links in it: target and label of a link, and all links, must agree, else it is null."""
+    text = F.btrim(F.trim("heading"), F.lit("'\""))
+    links = F.regexp_extract_all("heading", F.lit(r"\[\[:?([^\[\]{}<>]+)\]\]"), 1)
+    names = F.flatten(F.transform(links, lambda x: F.filter(F.transform(F.split(x, r"\|", 2), lambda y: F.btrim(y, F.lit(" :\t"))), lambda y: y != "")))
+    asked = headings.select(*key, "heading", F.posexplode(F.concat(F.array(text), names)).alias("place", "name"))
+    known = languages(asked.select("name"), registry).select("name", "code")
+    own = F.max(F.when(F.col("place") == 0, F.col("code")))
+    linked = F.when(F.min("code") == F.max("code"), F.min("code"))
+    found = asked.join(known, "name", "left").groupBy(*key, "heading").agg(F.coalesce(own, linked).alias("code"))
+    return headings.select(*key, "heading").distinct().join(found, [*key, "heading"], "left")
+
+
+def unsectioned_languages(categories: DataFrame, key: list[str], registry: DataFrame) -> DataFrame:
+    """(key, code): the language of pages without language headings, if all their categories
+    (key, name) that name a language, by a strong or a trusted name, name the same; else null."""
+    strong = strong_languages(registry).select("name", "code")
+    trusted = registry.where("trusted").select(name_key(F.col("name")).alias("name"), F.col("code").alias("other")).groupBy("name").agg(F.min("other").alias("other"))
+    named = categories.select(*key, name_key(F.col("name")).alias("name")).join(strong, "name", "left").join(trusted, "name", "left")
+    code = F.coalesce("code", "other")
+    return named.groupBy(*key).agg(F.when(F.min(code) == F.max(code), F.min(code)).alias("code"))
+
+
+# pages and entities
+
+
+def entities_of(titles: DataFrame, links: DataFrame) -> DataFrame:
+    """(title, entity): the entity of each page title by page links (title, entity); null for none, of several the least."""
+    known = links.where("title is not null").groupBy("title").agg(F.min("entity").alias("entity"))
+    return titles.select("title").distinct().join(known, "title", "left")
+
+
+def contents(titles: DataFrame, pages: DataFrame) -> DataFrame:
+    """(title, page_id, exists, is_redirect, length, content): what is known of each title from
+    pages (title, page_id, redirect, source); of several pages of a title the newest id counts."""
+    newest = F.max(F.struct("page_id", F.col("redirect").isNotNull().alias("is_redirect"), F.octet_length("source").alias("length"), F.col("source").alias("content")))
+    known = pages.where("title is not null").groupBy("title").agg(newest.alias("p"))
+    joined = titles.select("title").distinct().join(known, "title", "left")
+    return joined.select("title", "p.page_id", F.col("p").isNotNull().alias("exists"), F.coalesce("p.is_redirect", F.lit(False)).alias("is_redirect"), "p.length", "p.content")
+
+
+def redirects_bound(dump: DataFrame, table: DataFrame) -> DataFrame:
+    """(page_id, xml_target, target, problem): each redirect of the dump (page_id, xml_target) with its row of
+    the redirect table (page_id, target), compared byte for byte; problem is ``absent``, ``different`` or null."""
+    both = dump.select("page_id", "xml_target").distinct().join(table.select("page_id", "target").distinct(), "page_id", "left")
+    same = F.encode("xml_target", "UTF-8") == F.encode("target", "UTF-8")
+    return both.withColumn("problem", F.when(F.col("target").isNull(), "absent").when(~F.coalesce(same, F.lit(False)), "different"))

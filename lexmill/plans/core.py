@@ -351,11 +351,6 @@ def three_way_merge(s, d):
     return e.select("user_id", F.array_join(Q.merge_lists(base, local, F.col("a"), 4), ",").alias("merged"))
 
 
-@query()
-def title_batches(s, d):
-    return Q.batches(_titles(s, d), "ns", ["id", "title"], "title", 50, 1200)
-
-
 @query("""with l as (select doc_id, generate_subscripts(x, 1) - 1 as ord, unnest(x) as line from (select doc_id, string_split_regex(text, '\\r?\\n') as x from documents where text is not null)),
   p as (select doc_id, ord, line, regexp_extract(line, '^[#*:;]+') as prefix from l)
   select case when prefix = '' then case when trim(line, ' ') = '' then 'blank' else 'paragraph' end when prefix[1] = '#' then case prefix[-1] when '#' then 'definition' when ':' then 'example' when '*' then 'quotation' else 'list_detail' end
@@ -432,19 +427,6 @@ def graph_components(s, d):
     return graphs.components(e, e.select(F.col("src").alias("node")).union(e.select("dst")))
 
 
-@query()
-def graph_reach(s, d):
-    uses = table(s, d, "links").where("target is not null").groupBy(F.col("target").alias("node")).agg(F.count("*").alias("value"))
-    return graphs.reach(_parents(s, d), uses)
-
-
-@query()
-def redirects_followed(s, d):
-    pages = _titles(s, d)
-    moves = table(s, d, "redirects").where("coalesce(interwiki, '') = ''").join(pages.select("id", F.col("title").alias("src")), "id").select("src", F.translate("title", "_", " ").alias("dst"))
-    return graphs.follow(moves, pages.select("title"))
-
-
 def _templates(s, d):
     """(name, source) of the template pages that have a source: that of the newest snapshot, then revision."""
     rows = table(s, d, "bundle_pages").where("ns = 10 and title is not null and source is not null")

@@ -235,11 +235,6 @@ def entity_ids(s, d):
     return table(s, d, "wikibase").select("capture_id", "requested_id", wikibase.is_valid_id("requested_id").alias("valid")).distinct()
 
 
-@query()
-def entity_statements(s, d):
-    return wikibase.statements(nested.captures(s, d)).drop("body")
-
-
 @query()
 def entity_values(s, d):
     return wikibase.property_values(nested.captures(s, d))

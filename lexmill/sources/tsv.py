@@ -109,3 +109,39 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path, wholetext=True).select(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n").alias("l"))
     fine = F.when(F.col("l")[0] != "heading", F.raise_error(F.lit("no manifest"))).otherwise(F.slice("l", 2, 1_000_000))
     return lines.select(F.posexplode(fine).alias("position", "heading")).where(F.when(F.trim("heading") == "", F.raise_error(F.lit("blank heading"))).otherwise(F.lit(True)))
+
+
+def category_stats(spark: SparkSession, path: str) -> DataFrame:
+    """key, n_all, n_subcats, n_files; subcategories and files are part of all, and a key stands once."""
+    rows = _table(spark, path, "key string, n_all long, n_subcats long, n_files long")
+    bad = (F.col("n_subcats") + F.col("n_files") > F.col("n_all")) | (F.least("n_all", "n_subcats", "n_files") < 0)
+    checked = rows.withColumn("n_all", F.when(bad, F.raise_error(F.concat(F.lit("counts of "), "key"))).otherwise(F.col("n_all")))
+    return _unique(checked, "key")
+
+
+def interwiki_map(spark: SparkSession, path: str) -> DataFrame:
+    """prefix, url, is_local, is_current, is_transcludable; a prefix stands once, in lower case."""
+    rows = _table(spark, path, "prefix string, url string, is_local boolean, is_current boolean, is_transcludable boolean")
+    return _unique(rows.withColumn("prefix", F.lower("prefix")), "prefix")
+
+
+def redirect_overrides(spark: SparkSession, path: str) -> DataFrame:
+    """src, dst: templates that stand for others; a name stands for one."""
+    return _unique(_table(spark, path, "src string, dst string"), "src")
+
+
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.csv(path, sep="\t", schema=schema, comment="#", quote="", mode="FAILFAST")
+
+
+def _unique(rows: DataFrame, key: str) -> DataFrame:
+    """The rows, an error where a key stands on more than one; counted by partial aggregation."""
+    columns = [c for c in rows.columns if c != key]
+    one = rows.groupBy(key).agg(F.count("*").alias("_n"), F.first(F.struct(*columns)).alias("_row"))
+    return one.select(F.when(F.col("_n") > 1, F.raise_error(F.concat(F.lit("repeated "), key))).otherwise(F.col(key)).alias(key), "_row.*")
+
+
+def usage_edges(edges: DataFrame) -> DataFrame:
+    """value: the lines of edges (kind, source, target) with tabs, line ends and backslashes escaped."""
+    safe = lambda c: F.replace(F.replace(F.replace(F.replace(F.col(c), F.lit("\\"), F.lit("\\\\")), F.lit("\t"), F.lit("\\t")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+    return edges.select(F.concat_ws("\t", *[safe(c) for c in ("kind", "source", "target")]).alias("value"))

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
 from lexmill.functions import expression, plurals
-from lexmill.wikitext import scan
+from lexmill.wikitext import clock, scan
 
 #: Deepest nesting of expansions and of templates, most parameters of a call.
 MAX_DEPTH, MAX_TEMPLATES, MAX_PARAMS = 512, 128, 16_384
@@ -110,6 +110,20 @@ class Context:
     modules: dict[str, Callable] = field(default_factory=dict)
     language: str = "en"
     revision: dict[str, str] = field(default_factory=dict)
+    #: Languages whose messages and plural rules stand in for the language's own, in order.
+    fallbacks: tuple[str, ...] = ()
+    #: (language, key) -> text of an interface message, null for none.
+    messages: Callable[[str, str], str | None] = lambda language, key: None
+    #: (code, language to write it in) -> name, null for none.
+    language_names: Callable[[str, str], str | None] = lambda code, language: None
+    #: prefix -> "local" (this wiki), "literal" (stays as text) or the URL its pages are read from.
+    interwiki: dict[str, str] = field(default_factory=dict)
+    #: local name of a function or variable, in lower case -> the name used here.
+    aliases: dict[str, str] = field(default_factory=dict)
+    #: SITENAME, SERVER, SERVERNAME, SCRIPTPATH, NUMBEROFPAGES and what else is the same on all pages.
+    site: dict[str, str] = field(default_factory=dict)
+    #: category -> its subcategories, for trees.
+    tree: Callable[[str], list[str]] = lambda _: []
     steps: int = 200_000
 
 
@@ -170,6 +184,8 @@ class Expander:
         if not args and name in _SIGNS:
             return _SIGNS[name]
         word, colon, rest = re.match(r"([^:：]*)([:：]?)(.*)", name, re.S).groups()
+        if (known := self.context.aliases.get(word.strip().lower())) is not None:
+            word, name = known, known + colon + rest
         key = word.strip().lower()
         if colon and (function := FUNCTIONS.get(key)):
             return function(self, rest.strip(), args, value)
@@ -178,6 +194,12 @@ class Expander:
         magic = self._magic(word.strip(), rest.strip() if colon else None)
         if magic is not None and not args:
             return magic
+        if colon and key not in NAMESPACES and (place := self.context.interwiki.get(key)) is not None:
+            if place == "literal":
+                return "{{" + inner + "}}"
+            if place != "local":
+                return f"[[:{name}]]"  # pages of other wikis are linked, not fetched
+            name = rest.strip()
         target = name[1:].strip() if name.startswith(":") else name
         target = re.sub(r"^(?:template|t)\s*:\s*", "", target, flags=re.I)
         target = re.sub(r"[ _]+", " ", target)
@@ -201,6 +223,8 @@ class Expander:
             return (title_parts(of) if of else self.variables)[word]
         if word in self.context.revision and of is None:
             return self.context.revision[word]
+        if word in self.context.site and of is None:
+            return self.context.site[word]
         now = self.context.now
         clock = {
             "CURRENTYEAR": "%Y", "CURRENTMONTH": "%m", "CURRENTMONTHNAME": "%B", "CURRENTDAY2": "%d", "CURRENTDAYNAME": "%A", "CURRENTTIME": "%H:%M", "CURRENTHOUR": "%H", "CURRENTTIMESTAMP": "%Y%m%d%H%M%S", "CURRENTWEEK": "%V",
@@ -339,7 +363,56 @@ def _formatnum(x, text, args, value):
 
 
 def _plural(x, number, args, value):
-    return plurals.plural(number, [value(a) for a in args], x.context.language)
+    return plurals.plural(number, [value(a) for a in args], x.context.language, x.context.fallbacks)
+
+
+def _time(x, pattern, args, value):
+    text = _arg(args, 0, value)
+    at = clock.read(text, x.context.now)
+    if len(args) > 1 and _arg(args, 1, value):
+        raise TemplateError("time of another language")
+    return clock.formatted(at, pattern) if at is not None else '<strong class="error">Error: Invalid time.</strong>'
+
+
+def _int(x, key, args, value):
+    """An interface message in the page's language or its fallbacks, with $1, $2 ... filled in and expanded."""
+    key = key[:1].lower() + key[1:]
+    text = next((t for code in (x.context.language, *x.context.fallbacks, "en") if (t := x.context.messages(code, key)) is not None), None)
+    if text is None:
+        return f"⧼{key}⧽"
+    values = [value(a) for a in args]
+    return x.expand(re.sub(r"\$([1-9])", lambda m: values[int(m[1]) - 1] if int(m[1]) <= len(values) else m[0], text))
+
+
+def _language(x, code, args, value):
+    return x.context.language_names(code, _arg(args, 0, value) or code) or code
+
+
+def _url(server: bool):
+    def function(x, title, args, value):
+        name, query = title.strip(), _arg(args, 0, value)
+        if not name or re.search(r"[\[\]{}|<>\n]", name):
+            return ""
+        name = _urlencode(x, re.sub(r"[ _]+", " ", name), ["WIKI"], value)
+        base = x.context.site.get("SERVER", "") if server else ""
+        path = x.context.site.get("SCRIPTPATH", "/w") + f"/index.php?title={name}&{query}" if query else "/wiki/" + name
+        return html.escape(base + path, quote=False) if query else base + path
+
+    return function
+
+
+def _categorytree(x, category, args, value):
+    """Nested lists of subcategories; depth=N levels (1), a category that comes again is not opened."""
+    options = dict((k.strip(), v.strip()) for k, eq, v in ((value(a)).partition("=") for a in args) if eq)
+    depth = int(options["depth"]) if re.fullmatch("[0-9]+", options.get("depth", "")) else 1
+    root = re.sub(r"^category:", "", category, flags=re.I).strip()
+
+    def level(name: str, left: int, above: tuple[str, ...]) -> str:
+        kids = x.context.tree(name) if left > 0 and name not in above else []
+        inner = "".join(level(k, left - 1, (*above, name)) for k in kids)
+        return f"<li>[[:Category:{name}|{name}]]{f'<ul>{inner}</ul>' if inner else ''}</li>"
+
+    return f'<ul class="CategoryTree">{level(root, min(depth, 16), ())}</ul>'
 
 
 def _urlencode(x, text, args, value):
@@ -353,7 +426,17 @@ def _urlencode(x, text, args, value):
     return quote_plus(text, safe="")
 
 
+# Names of the known extension tags.
+TAGS = {
+    "nowiki", "pre", "gallery", "indicator", "ref", "references", "templatestyles", "math", "ce", "chem", "score", "syntaxhighlight", "source", "timeline",
+    "hiero", "poem", "categorytree", "charinsert", "graph", "mapframe", "maplink", "section", "inputbox", "imagemap", "dynamicpagelist", "phonos",
+}
+
+
 def _tag(x, name, args, value):
+    name = name.strip().lower()
+    if name not in TAGS:
+        return f'<strong class="error">Unknown extension tag "{html.escape(name)}"</strong>'
     content = _arg(args, 0, value)
     attributes = {}
     for a in args[1:]:
@@ -403,8 +486,15 @@ FUNCTIONS: dict[str, Callable] = {
     "anchorencode": lambda x, text, args, value: re.sub(r"[ _]+", "_", html.unescape(text)).strip("_"),
     "ns": lambda x, text, args, value: _NAMES.get(int(text) if re.fullmatch(r"[0-9]+", text) else NAMESPACES.get(text.lower(), 0), ""),
     "nse": lambda x, text, args, value: _NAMES.get(int(text) if re.fullmatch(r"[0-9]+", text) else NAMESPACES.get(text.lower(), 0), "").replace(" ", "_"),
-    "localurl": lambda x, text, args, value: "/wiki/" + text.replace(" ", "_"),
-    "#formatdate": lambda x, text, args, value: text,
+    "localurl": _url(False),
+    "fullurl": _url(True),
+    "canonicalurl": _url(True),
+    "#time": _time,
+    "#formatdate": lambda x, text, args, value: clock.preferred(text, _arg(args, 0, value), x.context.now),
+    "#dateformat": lambda x, text, args, value: clock.preferred(text, _arg(args, 0, value), x.context.now),
+    "int": _int,
+    "#language": _language,
+    "#categorytree": _categorytree,
 }
 
 

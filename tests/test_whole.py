@@ -135,6 +135,6 @@ def test_samples_cards_and_main_members(spark, tmp_path):
     sample = core.QUERIES["reservoir_sample"](spark, str(tmp_path)).collect()
     assert len({r.id for r in sample}) == 10 and all(r.population == 30 and r.id % 2 == 0 for r in sample)
     cards = core.QUERIES["study_cards"](spark, str(tmp_path)).collect()
-    assert cards and all(len(set(r.choices)) == 4 and r.title in r.choices for r in cards)
+    assert cards and all(len(set(r.choices.split('|'))) == 4 and r.title in r.choices.split('|') for r in cards)
     main = core.QUERIES["category_members_main"](spark, str(tmp_path)).collect()
     assert sorted((r["rank"], r.from_id) for r in main) == [(i + 1, 2 * i) for i in range(30)]
