@@ -17,10 +17,11 @@ def compiled(pages: DataFrame, key: list[str], kind: str = "language") -> DataFr
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            rows = [(*k, compiling.compile_page(source, title or "", kind, language or "")) for *k, title, language, source in pdf[[*key, "title", "language", "source"]].itertuples(index=False, name=None) if source is not None]
+            rows = [(*k, compiling.compile_page(source, title or "", kind, language or "")) for *k, title, language, source in pdf.itertuples(index=False, name=None) if source is not None]
             yield pd.DataFrame(rows, columns=[*key, "entry"])
 
-    return pages.select(*key, "title", "language", "source").mapInPandas(run, f"{schema}, entry {compiling.ENTRY}")
+    named = [F.col(c).alias(f"_{c}") for c in ("title", "language", "source")]  # a key may have one of these names
+    return pages.select(*key, *named).mapInPandas(run, f"{schema}, entry {compiling.ENTRY}")
 
 
 def is_valid(entry: Column) -> Column:

@@ -457,9 +457,14 @@ def entries_compiled(s, d):
     return _entries(s, d)
 
 
-@query("""select revision_id, true as valid from (select distinct revision_id from bundle_pages where source is not null and source <> '')""")
+@query("""select revision_id, title <> '' and revision_id % 3 = 0 as valid from (select distinct revision_id, title, source from bundle_pages where source is not null and source <> '')""")
 def entries_valid(s, d):
-    return _entries(s, d).select("revision_id", entries.is_valid(F.col("entry")).alias("valid"))
+    """Compiled entries are valid; a third of them is left as it is, a third loses its title, a third gets a section of its own that is not there."""
+    third = F.col("revision_id") % 3
+    entry = F.col("entry").withField("title", F.when(third == 1, "").otherwise(F.col("entry.title")))
+    other = F.col("entry.other_sections")
+    entry = entry.withField("other_sections", F.when(third == 2, F.array_append(other, F.size("entry.sections"))).otherwise(other))
+    return _entries(s, d).select("revision_id", entries.is_valid(entry).alias("valid"))
 
 
 @query()

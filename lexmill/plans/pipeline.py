@@ -108,7 +108,20 @@ every as (
   union all select capture_id, json_extract_string(x, '$.language'), json_extract_string(x, '$.value') from listed)
 """
 
+_PARTS = f"""
+with src as (select distinct capture_id, forms, senses from wikibase), n as (select capture_id, {_plain_json("forms")}, {_plain_json("senses")} from src),
+parts as (
+  select capture_id, 'forms' as kind, generate_subscripts(l, 1) as position, unnest(l) as x from (select capture_id, {_list("forms")} as l from n)
+  union all select capture_id, 'senses', generate_subscripts(l, 1), unnest(l) from (select capture_id, {_list("senses")} as l from n)),
+kept as (select capture_id, kind, position, x, coalesce(json_extract(x, '$.representations'), json_extract(x, '$.glosses')) as t from parts where json_type(x) = 'OBJECT'),
+features as (select *, array_to_string(list_transform({_list("json_extract(x, '$.grammaticalFeatures')")}, lambda f: json_extract_string(f, '$')), ',') as features from kept)
+"""
+
 SQL = {
+    "p5_snaks": _NESTED + """select distinct capture_id, node_path, parent_path, role, property, cast(position as int) as position, json_extract_string(x, '$.snaktype') as snaktype, json_extract_string(x, '$.datatype') as datatype,
+      case when json_type(json_extract(x, '$.datavalue')) = 'NULL' then null else json_extract_string(x, '$.datavalue') end as datavalue from snaks where json_type(x) = 'OBJECT'""",
+    "p5_parts": _PARTS + """select distinct capture_id, kind || '/' || position as node_path, kind, cast(position as int) as position, json_extract_string(x, '$.id') as part_id, features,
+      '[' || coalesce(case when json_type(t) = 'OBJECT' then array_to_string(list_transform(json_keys(t), lambda k: '{"language":"' || k || '"' || coalesce(',"value":' || case when json_extract(json_extract(t, '$."' || k || '"'), '$.value') <> 'null' then cast(json_extract(json_extract(t, '$."' || k || '"'), '$.value') as varchar) end, '') || '}'), ',') end, '') || ']' as texts from features""",
     "p3_hierarchy": _TREE + """, down as (select here as node, count(*) - 1 as n_descendants from up u where exists (select 1 from last l where l.start = u.start and not l.cyc) group by here)
       select l.start as node_id, (select parent from edges where child = l.start) as parent_id, case when l.cyc then list_min(list_slice(l.seen, list_position(l.seen, l.here), len(l.seen))) else l.here end as root_id,
         cast(case when l.cyc then -1 else l.steps end as int) as depth, case when not l.cyc then row_number() over (partition by l.cyc, l.here order by list_reverse(l.seen)) - 1 end as pre,

@@ -14,6 +14,7 @@ from lexmill.functions import titles as T
 from lexmill.functions import uris as U
 from lexmill.operators import nested, snapshots, wikibase
 from lexmill.plans.core import query
+from lexmill.plans.pipeline import _LEMMAS
 from lexmill.session import table
 
 
@@ -240,6 +241,8 @@ def entity_values(s, d):
     return wikibase.property_values(nested.captures(s, d))
 
 
-@query()
+@query(f"""with {_LEMMAS}, r as (select *, coalesce(nullif(list_position(['en', 'mul', 'de', 'fr', 'ru'], language), 0), 6) as rank from every where value is not null and language is not null),
+  b as (select capture_id, min((rank, language, value)) as b from r group by 1) select capture_id, b[2] as language, b[3] as value from b""")
 def entity_lemma(s, d):
-    return wikibase.lemma(nested.captures(s, d), ["en", "mul", "de", "fr", "ru"])
+    rows = wikibase.lemma(nested.captures(s, d), ["en", "mul", "de", "fr", "ru"])
+    return rows.select("capture_id", "lemma.language", "lemma.value")

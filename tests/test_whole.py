@@ -113,7 +113,7 @@ def test_lemma_of_every_shape(spark, tmp_path):
     cases = ['{"de": {"language": "de", "value": "d"}, "en": {"language": "en", "value": "e"}}', '{"en": "plain"}', '[{"language": "ru", "value": "r"}, {"language": "ja", "value": "j"}]', '{"ja": {"language": "ja", "value": "j"}, "el": {"language": "el", "value": "g"}}', '"{\\"fr\\": \\"f\\"}"', "{}", "[]", None, '{"en": {"val', '{"en": null, "ar": "a"}']
     rows = [(i, x, None, None, None) for i, x in enumerate([*cases, cases[0]])] + [(0, cases[0], None, None, None)]
     spark.createDataFrame(rows, "capture_id long, lemmas string, claims string, forms string, senses string").write.parquet(f"{tmp_path}/wikibase.parquet")
-    got = [(r.capture_id, *r.lemma) for r in core.QUERIES["entity_lemma"](spark, str(tmp_path)).collect()]
+    got = [(r.capture_id, r.language, r.value) for r in core.QUERIES["entity_lemma"](spark, str(tmp_path)).collect()]
     assert sorted(got) == [(0, "en", "e"), (1, "en", "plain"), (2, "ru", "r"), (3, "el", "g"), (4, "fr", "f"), (9, "ar", "a"), (10, "en", "e")]
 
 
