@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 from lexmill.functions.lazy import let
 from lexmill.session import table
 
-#: How often a text that is itself a JSON string is read through.
-LAYERS = 3
-
 
 def _starts(text: Column, mark: str) -> Column:
     return F.ltrim(text).startswith(mark)
@@ -31,11 +28,17 @@ def _whole(text: Column) -> Column:
 
 
 def unwrapped(text: Column) -> Column:
-    """Complete JSON text without outer string encoding, else null."""
-    text = _whole(text)
-    for _ in range(LAYERS):
-        text = let(text, lambda x: F.when(_starts(x, '"'), let(_inner(x), _whole)).otherwise(x))
-    return text
+    """Complete JSON text without outer string encoding, however often it was encoded, else null.
+
+    Every layer but the first escapes the quotes of the one in it, so a text has
+    at most as many as its length has binary digits.
+    """
+
+    def layers(x: Column) -> Column:
+        rounds = F.sequence(F.lit(1), F.ceil(F.log2(F.char_length(x))).cast("int") + 1)
+        return F.aggregate(rounds, x, lambda inner, _: F.when(_starts(inner, '"'), let(_inner(inner), _whole)).otherwise(inner))
+
+    return let(_whole(text), lambda x: F.when(_starts(x, '"'), layers(x)).otherwise(x))
 
 
 def _inner(text: Column) -> Column:

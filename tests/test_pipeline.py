@@ -214,3 +214,16 @@ def test_confusable_letters(spark):
     assert len({(script(c), x) for c, x in more.items()}) == len(more)
     assert all(script(c) != "LATIN" and unicodedata.category(c) in ("Lu", "Ll") for c in more)
     assert confusables(object()) == LOOKALIKES
+
+
+def test_text_encoded_many_times(spark):
+    import json
+
+    text = want = '{"a":"\u00e9"}'
+    texts = []
+    for _ in range(7):
+        texts.append(text)
+        text = json.dumps(text)
+    df = spark.createDataFrame([(x,) for x in [*texts, '"{', '"x"', None, text[:-3]]], "t string")
+    got = [r[0] for r in df.select(nested.unwrapped(F.col("t"))).collect()]
+    assert [json.loads(x) for x in got[:7]] == [json.loads(want)] * 7 and got[7] is None and got[9:] == [None, None]
