@@ -148,3 +148,14 @@ def bin_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per.withColumn("fill", F.round(F.col("n_tokens") / (F.col("n_bins") * names[F.col("budget_name")]), 6))
 
 
+def packing_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """budget_name, n_docs, n_overfull, n_split, n_gaps: documents packed, bins above their
+    capacity, documents split though they would fit, and documents whose parts leave a gap."""
+    caps = dict(budgets_of(spark, sf_dir))
+    names = F.create_map(*[F.lit(x) for pair in caps.items() for x in pair])
+    rows = cut(corpus_bins(spark, sf_dir))
+    room = names[F.col("budget_name")]
+    bins = rows.groupBy("budget_name", "bin_id").agg(F.sum("n_tokens").alias("n")).groupBy("budget_name").agg(F.count_if(F.col("n") > room).alias("n_overfull"))
+    docs = rows.groupBy("budget_name", "doc_id").agg(F.count("*").alias("parts"), F.sum("n_tokens").alias("n"), F.max(F.col("token_start") + F.col("n_tokens")).alias("stop"))
+    per = docs.groupBy("budget_name").agg(F.count("*").alias("n_docs"), F.count_if((F.col("parts") > 1) & (F.col("n") <= room)).alias("n_split"), F.count_if(F.col("n") != F.col("stop")).alias("n_gaps"))
+    return per.join(bins, "budget_name").select("budget_name", "n_docs", "n_overfull", "n_split", "n_gaps")

