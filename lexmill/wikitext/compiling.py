@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from lexmill.wikitext import expand, scan
+from lexmill.wikitext import expand, presenting, scan
 
 _S = "struct<kind:string,text:string,target:string,bold:boolean,italic:boolean,code:boolean>"
 SPANS = f"array<{_S}>"
@@ -48,11 +48,52 @@ def spans(text: str) -> list[dict]:
     return out
 
 
+#: Deepest nesting of templates that is presented.
+MAX_PRESENTED = 40
+_PLACE = re.compile("\x00([0-9]+)\x00")
+
+
+def presented_spans(text: str, title: str, depth: int = 0) -> tuple[list[dict], bool]:
+    """``spans`` with the templates of known families presented in place, and whether a template was left as it is."""
+    if "{{" not in text:
+        return spans(text), False
+    shown: list[list[presenting.Span]] = []
+    pieces, at, left = [], 0, False
+    for start, end, kind in sorted(scan.pairs(text), key=lambda p: (p[0], -p[1])):
+        if start < at or kind == "[[":
+            continue
+        found = presenting.presented(text[start + 2 : end - 2], title) if kind == "{{" and depth < MAX_PRESENTED else None
+        if found is None:
+            left = True
+        else:
+            pieces += [text[at:start], f"\x00{len(shown)}\x00"]
+            shown.append(found)
+            at = end
+    out: list[dict] = []
+    for run in spans("".join([*pieces, text[at:]])):
+        parts = _PLACE.split(run["text"])
+        for i, part in enumerate(parts):
+            if i % 2 == 0:
+                if part or len(parts) == 1:
+                    out.append({**run, "text": part})
+                continue
+            for piece in shown[int(part)]:
+                style = {k: run[k] or bool(piece.get(k)) for k in ("bold", "italic", "code")}
+                if piece["target"]:
+                    outer = str(piece["target"]).startswith(("http://", "https://"))
+                    out.append({"kind": "external" if outer else "link", "text": piece["text"], "target": piece["target"], **style})
+                else:
+                    inner, more = presented_spans(str(piece["text"]), title, depth + 1)
+                    left = left or more
+                    out += [{**x, **{k: x[k] or style[k] for k in style}} for x in inner]
+    return out, left
+
+
 def plain(parts: list[dict]) -> str:
     return "".join(p["text"] for p in parts)
 
 
-def _table(lines: list[str]) -> list[list[list[dict]]]:
+def _table(lines: list[str], spans) -> list[list[list[dict]]]:
     rows: list[list[list[dict]]] = [[]]
     for line in lines:
         if line.startswith(("{|", "|}", "|+")):
@@ -69,9 +110,15 @@ def _table(lines: list[str]) -> list[list[list[dict]]]:
 
 def compile_page(source: str, title: str, kind: str, language: str) -> dict:
     """The entry of a page; fallbacks name what could not be shown as it stands."""
-    text = expand.strip_comments(expand.own(source))
+    text = expand.strip_comments(expand.own(source)).replace("\x00", "")
     references, media, fallbacks = [], [], []
 
+    def spans(part: str) -> list[dict]:
+        found, left = presented_spans(part, title)
+        if left and "unexpanded-template" not in fallbacks:
+            fallbacks.append("unexpanded-template")
+        return found
+
     def reference(m: re.Match) -> str:
         name = scan.attributes(m[1] or "").get("name")
         known = next((r for r in references if name and r["name"] == name), None)
@@ -87,20 +134,21 @@ def compile_page(source: str, title: str, kind: str, language: str) -> dict:
         ending = m[1].rsplit(".", 1)[-1].strip().lower()
         sort = "image" if ending in ("jpg", "jpeg", "png", "gif", "webp", "svg") else "audio" if ending in ("ogg", "oga", "wav", "mp3", "flac") else None
         media.append({"file": m[1].strip(), "kind": sort, "caption": m[2].rsplit("|", 1)[-1] if m[2] else ""})
-    if "{{" in text:
-        fallbacks.append("unexpanded-template")
     sections = [{"level": 0, "title": "", "blocks": []}]
     table: list[str] = []
-    hidden = scan.opaque_spans(text)
+    hidden = iter([*scan.opaque_spans(text), (len(text) + 1, len(text) + 1)])
+    begin, end = next(hidden)
     at = 0
     for line in text.split("\n"):
         start, at = at, at + len(line) + 1
         line = line.rstrip("\r")
-        inside = any(s < start < e for s, e in hidden)
+        while end <= start:
+            begin, end = next(hidden)
+        inside = begin < start
         if table or (line.startswith("{|") and not inside):
             table.append(line)
             if line.startswith("|}"):
-                sections[-1]["blocks"].append({"kind": "table", "depth": 0, "spans": [], "table": _table(table)})
+                sections[-1]["blocks"].append({"kind": "table", "depth": 0, "spans": [], "table": _table(table, spans)})
                 table = []
             continue
         head = None if inside else scan.heading(line)
@@ -112,7 +160,7 @@ def compile_page(source: str, title: str, kind: str, language: str) -> dict:
             sections[-1]["blocks"].append({"kind": sort, "depth": depth, "spans": spans(body), "table": None})
     if table:
         fallbacks.append("open-table")
-        sections[-1]["blocks"].append({"kind": "table", "depth": 0, "spans": [], "table": _table(table)})
+        sections[-1]["blocks"].append({"kind": "table", "depth": 0, "spans": [], "table": _table(table, spans)})
     if not sections[0]["blocks"]:
         sections.pop(0)
     lexemes, others = layout(sections)

@@ -17,7 +17,7 @@ SOURCE = "==English==\n===Etymology===\nFrom ''x''<ref name=a>R</ref>.\n===Noun=
 
 
 def test_entries(spark):
-    pages = spark.createDataFrame([(1, "t", "en", SOURCE), (2, "u", None, ""), (3, "v", "en", None), (4, "w", "en", "{{a}} {|")], "id long, title string, language string, source string")
+    pages = spark.createDataFrame([(1, "t", "en", SOURCE), (2, "u", None, ""), (3, "v", "en", None), (4, "w", "en", "{{own}} {|")], "id long, title string, language string, source string")
     got = {r.id: r.entry for r in entries.compiled(pages, ["id"]).collect()}
     assert got.keys() == {1, 2, 4}
     e = got[1]

@@ -11,7 +11,7 @@ from lexmill.functions import numbers as N
 from lexmill.functions import strings as S
 from lexmill.operators import resolution
 from lexmill.sources import tsv
-from lexmill.wikitext import clock, expand, presenting
+from lexmill.wikitext import clock, compiling, expand, presenting
 
 NOW = datetime(2026, 3, 31, 12, 30, tzinfo=UTC)
 
@@ -51,6 +51,16 @@ def test_presented(body, shown):
     assert _text(body) == shown
 
 
+def test_compiled_templates():
+    entry = compiling.compile_page("# ''see {{m|fr|chat|t=a [[cat]]}}'' {{lb|en|{{l|fr|x}}}} {{own|y}}\n# {{syn|en|b|c}}\n<pre>\n== no ==\n</pre>\n# last", "T", "language", "en")
+    blocks = entry["sections"][0]["blocks"]
+    assert [compiling.plain(b["spans"]) for b in blocks][:2] == ["see chat (“a cat”) (x) {{own|y}}", "Synonyms: b, c"]
+    first = blocks[0]["spans"]
+    assert [(x["text"], x["target"], x["italic"]) for x in first if x["kind"] == "link"] == [("chat", "chat", True), ("cat", "cat", True), ("x", "x", False)]
+    assert entry["fallbacks"] == ["unexpanded-template"] and len(entry["sections"]) == 1 and blocks[-1]["kind"] == "definition"
+    assert compiling.compile_page("{{q|" * 300 + "x" + "}}" * 300, "T", "language", "en")["fallbacks"] == ["unexpanded-template"]
+
+
 def test_site_functions():
     context = expand.Context(title="P", language="de", messages=lambda code, key: {("en", "m"): "a $1 {{lc:B}} $2"}.get((code, key)), tree=lambda c: {"a": ["b", "a"], "b": ["c"]}.get(c, []), interwiki={"here": "local"}, pages={"t": "x"}.get)
     run = lambda text: expand.Expander(context).expand(text)
