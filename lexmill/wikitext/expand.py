@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
 from lexmill.functions import expression, plurals
-from lexmill.wikitext import clock, scan
+from lexmill.wikitext import clock, modules, scan
 
 #: Deepest nesting of expansions and of templates, most parameters of a call.
 MAX_DEPTH, MAX_TEMPLATES, MAX_PARAMS = 512, 128, 16_384
@@ -107,7 +107,8 @@ class Context:
     pages: Callable[[str], str | None] = lambda _: None
     exists: Callable[[str], bool] = lambda _: False
     now: datetime = field(default_factory=lambda: datetime(2026, 1, 1, tzinfo=UTC))
-    modules: dict[str, Callable] = field(default_factory=dict)
+    #: module -> its functions of (arguments, parameters of the page); or a library, whose functions take a frame.
+    modules: dict[str, Callable] | modules.Library = field(default_factory=dict)
     language: str = "en"
     revision: dict[str, str] = field(default_factory=dict)
     #: Languages whose messages and plural rules stand in for the language's own, in order.
@@ -216,7 +217,11 @@ class Expander:
         for key, named, raw in parse_template("x|" + "|".join(args))[1] if args else []:
             expanded = self.expand(raw, params, depth + 1, chain)
             own_params[value(key) if named else key] = expanded.strip() if named else expanded
-        return self.expand(strip_comments(transcluded(source)), own_params, depth + 1, (*chain, target))
+        return self.template(target, source, own_params, depth, chain)
+
+    def template(self, name: str, source: str, params: dict[str, str], depth: int = 0, chain: tuple[str, ...] = ()) -> str:
+        """The source of a template with its parameters."""
+        return self.expand(strip_comments(transcluded(source)), params, depth + 1, (*chain, name))
 
     def _magic(self, word: str, of: str | None) -> str | None:
         if word in self.variables:
@@ -234,6 +239,8 @@ class Expander:
         return {"CURRENTDAY": str(now.day), "CURRENTMONTH1": str(now.month), "CURRENTDOW": now.strftime("%w"), "CONTENTLANGUAGE": self.context.language}.get(word)
 
     def _invoke(self, module: str, args: list[str], params: dict[str, str], value) -> str:
+        if isinstance(self.context.modules, modules.Library):
+            return self._script(module, args, params, value)
         functions = self.context.modules.get(module)
         name = value(args[0]) if args else ""
         if functions is None:
@@ -248,6 +255,19 @@ class Expander:
             return lua_error(f"{e}")
 
 
+    def _script(self, module: str, args: list[str], params: dict[str, str], value) -> str:
+        """A function of a library, called with a frame whose parent has the page's parameters."""
+        given = {k: (value(v) if named else self.expand(v, params)) for k, named, v in parse_template("x|" + "|".join(args[1:]))[1]} if len(args) > 1 else {}
+        try:
+            function = self.context.modules.export(module, value(args[0]) if args else "")
+            out = function(modules.Frame(self, f"Module:{module}", given, modules.Frame(self, self.context.title, params)))
+        except (TemplateError, RecursionError):
+            raise
+        except Exception as e:  # noqa: BLE001 - a module may raise anything; it becomes markup
+            return lua_error(f"{e}")
+        return "" if out is None else str(out)
+
+
 # ---- parser functions: (expander, first argument, further arguments, evaluate) ----------
 
 
