@@ -24,9 +24,12 @@ def mapped(function: Callable, returns: str, *columns: Column | str) -> Column:
             known: dict = {}
             out = []
             for x in args[0]:
-                if x is not None and x not in known:
+                if x is None or not isinstance(x, (str, bytes)):
+                    out.append(None if x is None else function(x))
+                    continue
+                if x not in known:
                     known[x] = function(x)
-                out.append(None if x is None else known[x])
+                out.append(known[x])
         else:
             out = [None if row[0] is None else function(*row) for row in zip(*args, strict=True)]
         return pd.Series(out, index=args[0].index, dtype=object)

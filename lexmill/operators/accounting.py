@@ -232,3 +232,10 @@ def profile(page_edges: DataFrame, module_edges: DataFrame, page_reach: DataFram
     nodes = direct.select("node").union(known.select("node")).union(loads.select("src")).union(loads.select("dst")).distinct()
     joined = nodes.join(known, "node", "left").join(direct, "node", "left").join(loaded, "node", "left")
     return joined.fillna(0, ["page_reach", "direct_reach", "module_reach", "fan_in"]).select("node", "page_reach", "direct_reach", "module_reach", "fan_in")
+
+
+def page_coverage_record(pages: DataFrame, start: int, limit: int | None, identity: str) -> DataFrame:
+    """One row start, limit, seen, total, identity: what a run over the ordered pages asked for and saw."""
+    one = pages.agg(F.count("*").alias("total"))
+    most = F.greatest(F.col("total") - start, F.lit(0))
+    return one.select(F.lit(start).cast("long").alias("start"), F.lit(limit).cast("long").alias("limit"), (most if limit is None else F.least(most, F.lit(limit))).alias("seen"), "total", F.lit(identity).alias("identity"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.lazy import mapped
 from lexmill.wikitext import compiling
 
 
@@ -78,3 +80,21 @@ def display_title(shown: Column, title: Column) -> Column:
     return F.struct(F.when(text == title, text).otherwise(title).alias("text"), (F.size(shown) > 0).__and__(text != title).alias("rejected"))
 
 
+def _grid(rows: list[list[str]]) -> str:
+    """A table as aligned text: columns as wide as their widest cell, wide letters counted as two."""
+    width = lambda x: sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in x)
+    n = max((len(r) for r in rows), default=0)
+    widest = [max((width(r[i]) for r in rows if i < len(r)), default=0) for i in range(n)]
+    lines = []
+    for row in rows:
+        cells = [*row, *[""] * (n - len(row))]
+        lines.append("| " + " | ".join(c + " " * (w - width(c)) for c, w in zip(cells, widest, strict=True)) + " |")
+    if len(lines) > 1:
+        lines.insert(1, "|-" + "-|-".join("-" * w for w in widest) + "-|")
+    return "\n".join(lines)
+
+
+def table_text(rows: Column) -> Column:
+    """Rows of cells of spans as aligned text, the first row as the head; an empty table is empty."""
+    cells = F.transform(rows, lambda r: F.transform(r, lambda c: F.regexp_replace(spans_text(c), r"\s+", " ")))
+    return mapped(lambda t: _grid([list(r) for r in t]), "string", cells)

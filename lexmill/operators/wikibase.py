@@ -57,3 +57,9 @@ def property_values(captures: DataFrame, best: bool = True) -> DataFrame:
     text = F.coalesce(F.get_json_object(value, "$.text"), F.get_json_object(value, "$.id"), F.get_json_object(value, "$.amount"), F.get_json_object(value, "$.time"), value)
     rows = statements(captures, best).withColumn("v", F.when(main["snaktype"] == "value", text)).where("v is not null")
     return rows.groupBy("capture_id", "property").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("position", "v"))), lambda x: x["v"]), ", ").alias("text"))
+
+
+def lexical_categories(entities: DataFrame) -> DataFrame:
+    """(entity, lexical_category, language) of lexeme documents (entity, document); null where a document has none."""
+    pick = lambda name: F.coalesce(F.get_json_object("document", f"$.{name}.id"), F.get_json_object("document", f"$.{name}"))
+    return entities.select("entity", pick("lexicalCategory").alias("lexical_category"), pick("language").alias("language"))

@@ -6,7 +6,8 @@ import bz2
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 
@@ -62,3 +63,50 @@ def zstd_members(frames: DataFrame, most: int = 64 << 20) -> DataFrame:
             yield pd.DataFrame({"id": pdf["id"], "content": [zstd_frame(bytes(r), int(d), most) for r, d in zip(pdf["raw"], pdf["declared"], strict=True)]})
 
     return frames.select("id", "raw", "declared").mapInPandas(run, f"id {frames.schema['id'].dataType.simpleString()}, content binary")
+
+
+def read_window(file, offset: int, length: int, most: int) -> bytes:
+    """The content of the members in one window of an open file; a window that is no whole members is an error."""
+    file.seek(offset)
+    raw = file.read(length)
+    if len(raw) != length:
+        raise ValueError("a window reaches behind the end of its file")
+    return b"".join(content for _, _, content in bzip2_members(raw, most)) if raw[:3] == b"BZh" else raw
+
+
+def windows(index: DataFrame, key: list[str], most: int = 64 << 20) -> DataFrame:
+    """key, content of rows (key, path, offset, length): random reads of a dump by its index.
+
+    Every task opens the files of its own rows and reads only their windows, so a
+    large dump is spread over tasks; members of a window that comes again in the
+    task are decoded once. Paths may name any file system that pyarrow knows.
+    """
+    shape = ", ".join(f"{c} {index.schema[c].dataType.simpleString()}" for c in key)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        files: dict[str, object] = {}
+        last: tuple | None = None
+        content = b""
+        for pdf in parts:
+            rows = []
+            for *k, path, offset, length in pdf.itertuples(index=False, name=None):
+                if path not in files:
+                    system, inner = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+                    files[path] = system.open_input_file(inner)
+                if last != (path, offset, length):
+                    last, content = (path, offset, length), read_window(files[path], int(offset), int(length), most)
+                rows.append((*k, content))
+            yield pd.DataFrame(rows, columns=[*key, "content"])
+
+    placed = index.select(*key, "path", F.col("offset").cast("long"), F.col("length").cast("long"))
+    return placed.repartition("path", "offset").sortWithinPartitions("path", "offset").mapInPandas(run, f"{shape}, content binary")
+
+
+def page_of(content, page_id) -> Column:
+    """The XML of the page with an id in the decoded members of its window; null for none."""
+    text = F.decode(content, "UTF-8")
+    pages = F.regexp_extract_all(text, F.lit(r"(?s)<page>.*?</page>"), F.lit(0))
+    found = F.filter(pages, lambda p: F.regexp_extract(p, r"<id>([0-9]+)</id>", 1) == page_id.cast("string"))
+    return F.try_element_at(found, F.lit(1))

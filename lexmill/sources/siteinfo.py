@@ -79,3 +79,47 @@ def linktrail_ranges(pattern: str) -> list[tuple[int, int]]:
         else:
             merged.append((a, b))
     return merged
+
+
+def with_profile(words: DataFrame, profile: str, ids: list[str]) -> DataFrame:
+    """The magic words of a profile (messages, languages, section inclusion ...): profile, id, case_sensitive, alias.
+
+    A word without an alias of its own is known by its id.
+    """
+    own = words.where(F.col("id").isin(ids)).select(F.lit(profile).alias("profile"), "id", "case_sensitive", "alias").distinct()
+    bare = words.sparkSession.createDataFrame([(profile, x, False, x) for x in ids], "profile string, id string, case_sensitive boolean, alias string")
+    return own.unionByName(bare.join(own.select("id").distinct(), "id", "left_anti").select("profile", "id", "case_sensitive", "alias"))
+
+
+def display_names(profiles: dict[str, DataFrame], autonyms: DataFrame | None = None) -> DataFrame:
+    """display, code, name: the language names of several display languages as one dimension,
+    those of the languages in themselves under a null display. A code stands once in each."""
+    rows = None
+    for display, names in sorted(profiles.items()):
+        part = names.select(F.lit(display).alias("display"), "code", "name")
+        rows = part if rows is None else rows.unionByName(part)
+    if autonyms is not None:
+        part = autonyms.select(F.lit(None).cast("string").alias("display"), "code", "name")
+        rows = part if rows is None else rows.unionByName(part)
+    one = rows.groupBy("display", "code").agg(F.count_distinct("name").alias("n"), F.min("name").alias("name"))
+    return one.select("display", F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("several names of "), "code"))).otherwise(F.col("code")).alias("code"), "name")
+
+
+def date_numbering(spark: SparkSession, path: str) -> DataFrame:
+    """language, digits, timezone, form, month, name: how a language writes dates; form is name, genitive or short."""
+    shape = "struct<language:string,digits:string,timezone:string,months:struct<name:array<string>,genitive:array<string>,short:array<string>>>"
+    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", shape).alias("d")).select("d.*")
+    checked = raw.withColumn("digits", F.when(F.char_length("digits") != 10, F.raise_error(F.concat(F.lit("no ten digits of "), "language"))).otherwise(F.col("digits")))
+    forms = F.array(*[F.struct(F.lit(f).alias("form"), F.col(f"months.{f}").alias("names")) for f in ("name", "genitive", "short")])
+    rows = checked.select("language", "digits", "timezone", F.explode(forms).alias("f")).where("f.names is not null")
+    return rows.select("language", "digits", "timezone", "f.form", F.posexplode("f.names").alias("month", "name")).withColumn("month", F.col("month") + 1)
+
+
+def selected_files(manifest: DataFrame, wikis: list[str] | None = None) -> DataFrame:
+    """The files of a manifest (wiki, ...) for the wikis asked for, all if none are; a wiki without files is an error."""
+    if not wikis:
+        return manifest
+    wanted = manifest.sparkSession.createDataFrame([(w,) for w in sorted(set(wikis))], "wiki string")
+    joined = wanted.join(manifest.withColumn("_have", F.lit(True)), "wiki", "left")
+    found = joined.where(F.when(F.col("_have").isNull(), F.raise_error(F.concat(F.lit("no files of "), "wiki"))).otherwise(F.lit(True)))
+    return found.select(*manifest.columns)
