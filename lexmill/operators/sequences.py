@@ -149,6 +149,31 @@ def section_rows(pages: DataFrame, key: list[str], body: str, levels: tuple[int,
     return pages.select(*key, body).mapInPandas(run, f"{schema}, ord int, level int, heading string, source string")
 
 
+def heading_rows(pages: DataFrame, key: list[str], body: str) -> DataFrame:
+    """key, ord, level, heading: every heading of each page outside of hidden regions, of all
+    levels, in order; ord 0 is the lead without a heading. Pages without text have no rows."""
+    schema = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in key)
+
+    def headings(text: str) -> Iterator[tuple[int, str]]:
+        hidden = iter([*scan.opaque_spans(text), (len(text) + 1, len(text) + 1)])
+        begin, end = next(hidden)
+        at = 0
+        yield 0, ""
+        for line in text.split("\n"):
+            start, at = at, at + len(line) + 1
+            while end <= start:
+                begin, end = next(hidden)
+            if begin >= start and (found := scan.heading(line.rstrip("\r"))):
+                yield found
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            rows = [(*k, i, *x) for *k, text in pdf.itertuples(index=False, name=None) if text is not None for i, x in enumerate(headings(text))]
+            yield pd.DataFrame(rows, columns=[*key, "ord", "level", "heading"])
+
+    return pages.select(*key, F.col(body).alias("_body")).mapInPandas(run, f"{schema}, ord int, level int, heading string")
+
+
 def resolved_languages(sections: DataFrame, key: list[str], languages: DataFrame, fallback: str) -> DataFrame:
     """Sections with a language: by heading; unresolved ones go on with the language before,
     leading ones take the first that follows, a page without any takes the fallback.

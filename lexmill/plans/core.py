@@ -383,8 +383,7 @@ def sense_layout(s, d):
 
 @query()
 def lexeme_layout(s, d):
-    rows = Q.section_rows(_wiki_sources(s, d), ["revision_id"], "source", (1, 2, 3, 4, 5, 6)).drop("source")
-    return Q.lexemes(rows, ["revision_id"])
+    return Q.lexemes(Q.heading_rows(_wiki_sources(s, d), ["revision_id"], "source"), ["revision_id"])
 
 
 # ---- graphs and templates -----------------------------------------------------------
@@ -480,12 +479,16 @@ def title_namespaces(s, d):
     return resolution.namespaces(table(s, d, "pages").where("title is not null"), table(s, d, "namespace_registry"))
 
 
-@query("""with r as (select distinct lang as code, upper(lang) as name from documents where lang is not null)
-  select name, code, case when code = 'en' then 'English' end as heading from r where code in ('en') union all select name, null, null from r where code not in ('en')""")
+@query("""with c as (select distinct lang as code from documents where lang is not null)
+  select upper(code) as name, code, 'L' || code as heading from c union all select ' l' || code || '_', code, 'L' || code from c union all select 'Old ' || code, code, 'L' || code from c union all select code || '?', null, null from c""")
 def language_names(s, d):
-    registry = s.createDataFrame([("en", "canonical", "English", True), ("en", "code", "en", True)], "code string, kind string, name string, trusted boolean")
-    names = table(s, d, "documents").where("lang is not null").select(F.upper("lang").alias("name"))
-    return resolution.languages(names, registry)
+    """Names by code, canonical name and alias, in any case and spacing; the registry has all languages of the table."""
+    codes = table(s, d, "documents").where("lang is not null").select(F.col("lang").alias("code")).distinct()
+    kinds = {"canonical": F.concat(F.lit("L"), "code"), "alias": F.concat(F.lit("old "), "code"), "code": F.col("code")}
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), name.alias("name")) for k, name in kinds.items()])).alias("r")
+    registry = codes.select("code", rows).select("code", "r.kind", "r.name", F.lit(True).alias("trusted"))
+    asked = F.array(F.upper("code"), F.concat(F.lit(" l"), "code", F.lit("_")), F.concat(F.lit("Old "), "code"), F.concat("code", F.lit("?")))
+    return resolution.languages(codes.select(F.explode(asked).alias("name")), registry)
 
 
 @query("""with t as (select title, row_number() over (order by md5('11:' || title), title) - 1 as i from (select distinct title from pages where title is not null)),

@@ -68,6 +68,16 @@ def shape_headings(s, d):
     return rows.select("id", "title", "ord", "heading", Q.part_of_speech(F.col("heading")).alias("pos"), Q.section_kind(F.col("heading")).alias("kind"))
 
 
+_LEXEMES = """(values (0, 0, '', null, null, null, null), (1, 2, 'English', null, null, null, null), (2, 3, 'Etymology', null, 'etymology', 2, null), (3, 3, 'Noun', 'Noun', null, 2, 3),
+  (4, 3, 'See also', null, 'relations', 2, null), (5, 2, 'French', null, null, null, null), (6, 3, 'Verb', 'Verb', null, null, 6))"""
+
+
+@query(f"""select id, title, l.* from {_P} p, (select col0 as ord, col1 as level, col2 as heading, col3 as pos, col4 as kind, col5::int as etymology, col6::int as lexeme from {_LEXEMES}) l""")
+def shape_lexemes(s, d):
+    """Parts of speech with the etymology in force, which the next language ends."""
+    return Q.lexemes(Q.heading_rows(_rows(s, d), ["id", "title"], "source"), ["id", "title"])
+
+
 @query(f"""select id, title, true as valid, 'en' as language, 7 as n_sections, 9 as n_blocks, 2 as n_lexemes, 'Noun,Verb' as speech, 3 as n_definitions, 2 as etymology, 0 as parent, '1' as examples, '2' as quotations, '0,1,2,4,5' as others, 'shown' || 's' as link_text, 'Page ' || title as link_target, true as italic, true as bold,
   'https://x.example/a' as url, {_sql("intro @" + chr(10) + "## English" + chr(10) + "## Etymology" + chr(10) + "from @" + chr(10) + "## Noun" + chr(10) + "@ one" + chr(10) + "  example @" + chr(10) + "  quoted @" + chr(10) + "  deeper @" + chr(10) + "second" + chr(10) + "## See also" + chr(10) + "shows it bold label ".replace("shows", "showns") + chr(10) + "## French" + chr(10) + "## Verb" + chr(10) + "@")} as text from {_P}""")
 def shape_entries(s, d):

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import glob
+import fnmatch
 import gzip
-import os
+import io
 import re
 from collections.abc import Iterator
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -58,9 +59,25 @@ def tuples(statement: str, width: int) -> Iterator[list]:
         raise ValueError(f"residue {statement[at : at + 20]!r}")
 
 
+def _file_system(path: str):
+    """(file system, path in it) of a path on this machine or of any system pyarrow knows."""
+    return fs.FileSystem.from_uri(path) if re.match(r"[a-z][a-z0-9+.-]*:", path) else (fs.LocalFileSystem(), path)
+
+
+def files(path: str) -> list[str]:
+    """The dumps under a folder, or those a path with wildcards in its last part names, in order."""
+    system, inner = _file_system(path)
+    scheme = path[: len(path) - len(inner)] if path.endswith(inner) else ""
+    folder, pattern = (inner, "*.sql*") if system.get_file_info(inner).type == fs.FileType.Directory else inner.rsplit("/", 1) if "/" in inner else (".", inner)
+    found = [x.path for x in system.get_file_info(fs.FileSelector(folder)) if x.is_file and fnmatch.fnmatchcase(x.base_name, pattern)]
+    return sorted(scheme + x for x in found)
+
+
 def rows(path: str, table: str, wanted: list[str]) -> Iterator[tuple]:
     """The wanted columns of a table's rows, line by line: dumps have one statement per line."""
-    opened = gzip.open(path, "rt", encoding="utf-8", errors="replace") if path.endswith(".gz") else open(path, encoding="utf-8", errors="replace")
+    system, inner = _file_system(path)
+    raw = system.open_input_stream(inner, compression=None)
+    opened = io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw, encoding="utf-8", errors="replace", newline="\n")
     columns: list[str] = []
     inside = False
     with opened as lines:
@@ -87,9 +104,7 @@ class _Reader(DataSourceReader):
         self.columns, self.options, self.fields = [f.name for f in schema.fields], options, [f.dataType.simpleString() for f in schema.fields]
 
     def partitions(self):
-        path = self.options["path"]
-        found = sorted(glob.glob(os.path.join(path, "*.sql*"))) if os.path.isdir(path) else sorted(glob.glob(path))
-        return [_Part(p) for p in found]
+        return [_Part(p) for p in files(self.options["path"])]
 
     def read(self, partition):
         fit = {"string": str, "int": int, "bigint": int, "double": float}

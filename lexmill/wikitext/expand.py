@@ -422,7 +422,7 @@ def _url(server: bool):
 
 
 def _categorytree(x, category, args, value):
-    """Nested lists of subcategories; depth=N levels (1), a category that comes again is not opened."""
+    """Nested lists of subcategories; depth=N levels (1, at most 16), a category that comes again is not opened."""
     options = dict((k.strip(), v.strip()) for k, eq, v in ((value(a)).partition("=") for a in args) if eq)
     depth = int(options["depth"]) if re.fullmatch("[0-9]+", options.get("depth", "")) else 1
     root = re.sub(r"^category:", "", category, flags=re.I).strip()

@@ -106,6 +106,13 @@ def test_layout(spark):
     assert [tuple(r) for r in heads.collect()] == [("Noun", None), ("Noun", None), (None, None), ("Noun", None), (None, "etymology"), (None, "relations"), (None, None)]
 
 
+def test_heading_rows(spark):
+    text = "a\n== B ==\n<pre>\n== no ==\n</pre>\n<!-- x\n=== no ===\n-->\n=== C ===\r\n"
+    df = spark.createDataFrame([(1, text), (2, None), (3, "")], "id long, source string")
+    got = {(r.id, r.ord, r.level, r.heading) for r in Q.heading_rows(df, ["id"], "source").collect()}
+    assert got == {(1, 0, 0, ""), (1, 1, 2, "B"), (1, 2, 3, "C"), (3, 0, 0, "")}
+
+
 def test_batches_of_a_split_group(spark):
     rng = random.Random(4)
     rows = [(rng.choice([0, 0, 0, 10, None]), i, "x" * rng.randrange(1, 40)) for i in range(300)] + [(0, 999, None)]
