@@ -50,7 +50,7 @@ def _expander(schema_key: list[str], modules: dict, settings: dict, titled: bool
         everywhere = shared.value if shared is not None else None
         for pdf in frames:
             rows = []
-            for *key, title, text, own in pdf[[*schema_key, "title", "source", "known"]].itertuples(index=False, name=None):
+            for *key, title, text, own in pdf[[*schema_key, "_title", "_source", "known"]].itertuples(index=False, name=None):
                 if text is None:
                     rows.append((*key, None, None, None, None, []))
                     continue
@@ -65,7 +65,7 @@ def _expander(schema_key: list[str], modules: dict, settings: dict, titled: bool
                     rows.append((*key, title, text, None, None, [{"kind": k, "name": n} for k, n in answers.asked]))
                 else:
                     rows.append((*key, None, None, done, reason, []))
-            yield pd.DataFrame(rows, columns=[*schema_key, "title", "source", "expanded", "reason", "asks"])
+            yield pd.DataFrame(rows, columns=[*schema_key, "_title", "_source", "expanded", "reason", "asks"])
 
     return run
 
@@ -85,9 +85,10 @@ def expanded(pages: DataFrame, templates: DataFrame, key: list[str], modules: di
     """
     templates = templates.where("name is not null and source is not null").groupBy("name").agg(F.min("source").alias("source"))
     columns = ", ".join(f"{c} {pages.schema[c].dataType.simpleString()}" for c in key)
-    schema = f"{columns}, title string, source string, expanded string, reason string, asks {_ASKS}"
+    schema = f"{columns}, _title string, _source string, expanded string, reason string, asks {_ASKS}"
     size = templates.agg(F.coalesce(F.sum(F.octet_length("source") + F.octet_length("name")), F.lit(0))).first()[0]
-    rows = pages.select(*key, "title", "source")
+    # a key may have one of these names
+    rows = pages.select(*key, F.col("title").alias("_title"), F.col("source").alias("_source"))
     small, result = size <= broadcast_bytes, [*key, "expanded", "reason"]
     if small:
         shared = pages.sparkSession.sparkContext.broadcast({r["name"]: r["source"] for r in templates.toLocalIterator()})
@@ -96,7 +97,7 @@ def expanded(pages: DataFrame, templates: DataFrame, key: list[str], modules: di
             return state.mapInPandas(_expander(key, modules or {}, settings, False, shared), schema).select(*result)
     else:
         shared, edges = None, cut(_edges(templates))
-        needs = _closed(_direct(rows, key), edges, key)
+        needs = _closed(_direct(rows, key, "_source"), edges, key)
         state = rows.join(_collected(_answered(needs.select(*key, F.lit("template").alias("kind"), "name"), templates, titles), key), key, "left")
     run, done = _expander(key, modules or {}, settings, titles is not None, shared), []
     while True:
@@ -113,7 +114,7 @@ def expanded(pages: DataFrame, templates: DataFrame, key: list[str], modules: di
         # a null in the key is a value of its own: it comes from the same page again
         known = _collected(before.unionByName(_answered(asks, templates, titles)).distinct(), key)
         same = reduce(lambda a, b: a & b, [F.col(f"w.{c}").eqNullSafe(F.col(f"k.{c}")) for c in key])
-        state = waiting.select(*key, "title", "source").alias("w").join(known.alias("k"), same).select(*[f"w.{c}" for c in key], "w.title", "w.source", "k.known")
+        state = waiting.select(*key, "_title", "_source").alias("w").join(known.alias("k"), same).select(*[f"w.{c}" for c in key], "w._title", "w._source", "k.known")
 
 
 def _answered(asks: DataFrame, templates: DataFrame, titles: DataFrame | None) -> DataFrame:
@@ -129,8 +130,8 @@ def _collected(answers: DataFrame, key: list[str]) -> DataFrame:
     return answers.groupBy(*key).agg(F.collect_list(F.struct("kind", "name", "source")).alias("known"))
 
 
-def _direct(pages: DataFrame, key: list[str]) -> DataFrame:
-    return graphs.references(pages, key, "source").where("kind = 'template'").select(*key, F.col("target").alias("name")).distinct()
+def _direct(pages: DataFrame, key: list[str], body: str = "source") -> DataFrame:
+    return graphs.references(pages, key, body).where("kind = 'template'").select(*key, F.col("target").alias("name")).distinct()
 
 
 def _edges(templates: DataFrame) -> DataFrame:

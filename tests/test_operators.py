@@ -185,6 +185,9 @@ def test_expansion_is_the_same_beyond_the_broadcast(spark):
     for limit in (1 << 25, 0):
         got = expansion.expanded(pages, templates, ["id"], broadcast_bytes=limit, titles=titles).collect()
         assert sorted(((r.id, r.expanded) for r in got), key=str) == sorted(want, key=str)
+    for limit in (1 << 25, 0):
+        got = expansion.expanded(pages, templates, ["id", "title"], broadcast_bytes=limit, titles=titles).collect()
+        assert sorted(((r.id, r.expanded) for r in got), key=str) == sorted(want, key=str) and {r.title for r in got} == {"T"}
     bare = spark.createDataFrame([(1, "T", "{{#ifexist:b|yes|no}}")], "id long, title string, source string")
     assert [expansion.expanded(bare, templates, ["id"], broadcast_bytes=limit).first().expanded for limit in (1 << 25, 0)] == ["yes", "yes"]
 
