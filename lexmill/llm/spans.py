@@ -8,7 +8,8 @@
    A seed in more than HOT texts, or repeated within one, would give pairs without
    end: it is lengthened to the windows it stands for, by their 128-bit fingerprints.
    Equal fingerprints are equal stretches, so such a seed costs pairs only where
-   texts share a whole window, and those only where a common run begins or ends.
+   texts share a whole window, and those only where a common run begins or ends:
+   of its windows, at all their places, those two tell the whole run.
 3. Chains: the matches of a pair are joined along their diagonals and chained in
    order with gap costs through a Fenwick tree; the gaps of fuzzy passages are
    aligned within a band.
@@ -40,8 +41,8 @@ HOT, REPEATS = 64, 8
 PAIRS = 1 << 15
 #: Passages: what they are chained of are the common runs of so many characters or more, by seeds of this size.
 DENSE, DENSE_KMER = 48, 24
-#: In a long run of hot windows one in so many, chosen by its fingerprint, stands in a chain besides the ends.
-SAMPLE = 32
+#: Places of a hot window compared in one task; more are compared block by block.
+BLOCK = 1 << 14
 #: Most edits counted exactly in one gap of a passage.
 BAND = 256
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -177,8 +178,9 @@ def spots(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
 
     A row of a seed that is not hot: key seed, key2 null, pos, near the text around it,
     offset its place there. A row of a window that a hot seed stands for: its
-    fingerprint key, key2, pos, before and after the characters next to it (null at
-    the ends of the text), first whether the text has it for the first time.
+    fingerprint key, key2, pos, before and after the characters next to it (null where
+    the next window is none of a hot seed or the text ends), first whether the text has
+    it for the first time.
     """
     reach = length - k
     names = ["doc_id", "key", "key2", "pos", "near", "offset", "before", "after", "first"]
@@ -220,10 +222,11 @@ def spots(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
         first = np.ones(len(at), bool)
         first[order[1:][again]] = False
         chars = codes.astype(np.int32)
+        back, ahead = np.concatenate([[False], chosen[:-1]])[at], np.concatenate([chosen[1:], [False]])[at]
         n = len(at)
         columns = [
             pa.array(ids[np.array(chunk)[owner]]), pa.array(w1), pa.array(w2), pa.array((at - start[owner]).astype(np.int32)), pa.nulls(n, pa.string()), pa.nulls(n, pa.int32()),
-            pa.array(chars[np.maximum(at - 1, 0)], mask=at == start[owner]), pa.array(chars[np.minimum(at + length, len(chars) - 1)], mask=at + length == start[owner] + sizes[owner]), pa.array(first),
+            pa.array(chars[np.maximum(at - 1, 0)], mask=~back), pa.array(chars[np.minimum(at + length, len(chars) - 1)], mask=~ahead), pa.array(first),
         ]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -291,6 +294,24 @@ def _same(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
 
 
+def _ends(new: np.ndarray) -> np.ndarray:
+    """For each row the end of its group; new tells where a group begins."""
+    sizes = np.diff([*np.flatnonzero(new), len(new)])
+    return np.repeat(np.cumsum(sizes), sizes)
+
+
+def _pairs(first: np.ndarray, stop: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each row i with all rows j from first[i] up to stop[i], some PAIRS at once."""
+    count = stop - first
+    total = np.concatenate([[0], np.cumsum(count)])
+    at = 0
+    while at < len(count):
+        upto = max(at + 1, int(np.searchsorted(total, total[at] + PAIRS, side="right")) - 1)
+        i = np.repeat(np.arange(at, upto), count[at:upto])
+        yield i, first[i] + np.arange(len(i)) - np.repeat(total[at:upto] - total[at], count[at:upto])
+        at = upto
+
+
 def _matches(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator[tuple[np.ndarray, ...]]:
     """(doc_a, doc_b, pos_a, pos_b, n) of the common runs around the seeds of batches
     (seed, doc_id, pos, offset, near) sorted by seed and doc_id; n is k and what the
@@ -302,15 +323,7 @@ def _matches(batches: Iterator[pa.RecordBatch], length: int, k: int) -> Iterator
 
     def settled(seed, doc, pos, offset, near):
         left, right = _around(near, offset, k, reach)
-        sizes = np.diff([*np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]])), len(seed)])
-        behind = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(seed)) - 1  # places of the seed after each
-        total = np.concatenate([[0], np.cumsum(behind)])
-        at = 0
-        while at < len(seed):
-            upto = max(at + 1, int(np.searchsorted(total, total[at] + PAIRS, side="right")) - 1)
-            i = np.repeat(np.arange(at, upto), behind[at:upto])
-            j = i + 1 + np.arange(len(i)) - np.repeat(total[at:upto] - total[at], behind[at:upto])
-            at = upto
+        for i, j in _pairs(np.arange(len(seed)) + 1, _ends(np.concatenate([[True], seed[1:] != seed[:-1]]))):
             other = doc[i] != doc[j]
             i, j = i[other], j[other]
             if len(i):
@@ -336,20 +349,73 @@ def _by_seed(found: DataFrame) -> DataFrame:
     return found.where("key2 is null").select(F.col("key").alias("seed"), "doc_id", "pos", "offset", "near").repartition("seed").sortWithinPartitions("seed", "doc_id")
 
 
-def hot_windows(found: DataFrame) -> DataFrame:
-    """(w1, w2, inner): fingerprints that stand in more than one text; inside a run that all share nothing begins or ends."""
-    once = found.where("first").groupBy(F.col("key").alias("w1"), F.col("key2").alias("w2"))
+def _windows(found: DataFrame) -> DataFrame:
+    return found.where("key2 is not null").withColumnsRenamed({"key": "w1", "key2": "w2"})
+
+
+def hot_windows(places: DataFrame) -> DataFrame:
+    """(w1, w2, n, begins, ends): fingerprints that stand in more than one text, in n of these
+    places; without begins (ends), the run of hot windows goes on alike before (behind) all of them."""
     same = [F.min(c).eqNullSafe(F.max(c)) & (F.count(c) == F.count("*")) for c in ("before", "after")]
-    return once.agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), (same[0] & same[1]).alias("inner")).where("a <> b").select("w1", "w2", "inner")
+    known = places.groupBy("w1", "w2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n"), (~same[0]).alias("begins"), (~same[1]).alias("ends"))
+    return known.where("a <> b").drop("a", "b")
+
+
+def hot_runs(found: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(doc_id_a, doc_id_b, pos_a, pos_b, n, side): the first (side 1) and the last window
+    (side 2) of all common runs of hot windows, at all places.
 
+    Two places of a window begin a run if the hot windows before them differ or are
+    none, and end one likewise, so only places with different neighbours are paired. The
+    places of a window are dealt to blocks, of which each two meet in a task.
+    """
 
-def matches(found: DataFrame, length: int = LENGTH, k: int = KMER, sample: int = 0) -> DataFrame:
-    """(doc_id_a, doc_id_b, pos_a, pos_b, n): common runs at shared seeds, a < b.
+    def settled(w1, w2, side, low, high, block, near, doc, pos):
+        key = np.concatenate([[True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1]) | (side[1:] != side[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+        group = key | (near < 0) | np.concatenate([[True], near[1:] != near[:-1]])
+        for i, j in _pairs(_ends(group), _ends(key)):
+            kept = (doc[i] != doc[j]) & ((low[i] == high[i]) | (block[i] != block[j]))
+            i, j = i[kept], j[kept]
+            i, j = np.where(doc[i] < doc[j], i, j), np.where(doc[i] < doc[j], j, i)
+            if len(i):
+                columns = [pa.array(doc[i]), pa.array(doc[j]), pa.array(pos[i]), pa.array(pos[j]), pa.array(np.full(len(i), length, np.int32)), pa.array(side[i])]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id_a", "doc_id_b", "pos_a", "pos_b", "n", "side"])
 
-    Of a window of a hot seed the first place in each text is taken, and of a pair only
-    the windows where a run begins or ends: the first window in a text that the
-    other has too always is one, so no pair is lost. With sample, one window in so many
-    is taken inside of runs too.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(9)]
+            if kept is not None:
+                now = [np.concatenate(c) for c in zip(kept, now, strict=True)]
+            other = np.flatnonzero(np.any([c != c[-1] for c in now[:5]], axis=0))
+            done = int(other[-1]) + 1 if len(other) else 0
+            if done:
+                yield from settled(*[c[:done] for c in now])
+            kept = [c[done:] for c in now]
+        if kept is not None:
+            yield from settled(*kept)
+
+    places = _windows(found).select("w1", "w2", "doc_id", "pos", "before", "after")
+    many = hot_windows(places).where("begins or ends").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    sides = [F.struct(F.lit(i).alias("side"), F.col(flag).alias("apart"), F.coalesce(c, F.lit(-1)).alias("near")) for i, flag, c in ((1, "begins", "before"), (2, "ends", "after"))]
+    outer = places.join(many, ["w1", "w2"]).select("*", F.inline(F.array(*sides))).where("apart")
+    block = F.pmod(F.xxhash64("doc_id", "pos"), F.col("blocks")).cast("int")
+    dealt = outer.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keys = ["w1", "w2", "side", "low", "high"]
+    dealt = dealt.select("w1", "w2", "side", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "near", "doc_id", "pos")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "near").mapInArrow(run, "doc_id_a bigint, doc_id_b bigint, pos_a int, pos_b int, n int, side int")
+
+
+def matches(found: DataFrame, length: int = LENGTH, k: int = KMER, whole: bool = False) -> DataFrame:
+    """(doc_id_a, doc_id_b, pos_a, pos_b, n, side): common runs at shared seeds, a < b.
+
+    With whole, those at hot seeds are all of ``hot_runs``, by their first and last
+    windows. Without, as is enough to tell the pairs, side is 0 and of a window of
+    a hot seed the first place in each text is taken, and of a pair only the windows
+    where a run begins or ends: the first window in a text that the other has too
+    always is one, so no pair is lost.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,14 +423,15 @@ def matches(found: DataFrame, length: int = LENGTH, k: int = KMER, sample: int =
             columns = [pa.array(a), pa.array(b), pa.array(pos_a.astype(np.int32)), pa.array(pos_b.astype(np.int32)), pa.array(n.astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id_a", "doc_id_b", "pos_a", "pos_b", "n"])
 
-    cold = _by_seed(found).mapInArrow(run, "doc_id_a bigint, doc_id_b bigint, pos_a int, pos_b int, n int")
-    chosen = F.pmod("w1", F.lit(sample)) == 0 if sample else F.lit(False)
-    many = hot_windows(found).where(~F.col("inner") | chosen).select("w1", "w2")
-    outer = cut(found.where("first").withColumnsRenamed({"key": "w1", "key2": "w2"}).select("w1", "w2", "doc_id", "pos", "before", "after").join(many, ["w1", "w2"]))
+    cold = _by_seed(found).mapInArrow(run, "doc_id_a bigint, doc_id_b bigint, pos_a int, pos_b int, n int").withColumn("side", F.lit(0))
+    if whole:
+        return cold.unionByName(hot_runs(found, length))
+    once = _windows(found).where("first").select("w1", "w2", "doc_id", "pos", "before", "after")
+    outer = cut(once.join(hot_windows(once).where("begins or ends").select("w1", "w2"), ["w1", "w2"]))
     a, b = (outer.select("w1", "w2", *[F.col(c).alias(f"{c}_{s}") for c in ("doc_id", "pos", "before", "after")]) for s in "ab")
     both = a.join(b, ["w1", "w2"]).where("doc_id_a < doc_id_b")
     edge = ~F.coalesce(F.col("before_a") == F.col("before_b"), F.lit(False)) | ~F.coalesce(F.col("after_a") == F.col("after_b"), F.lit(False))
-    return cold.unionByName(both.where(edge | chosen).select("doc_id_a", "doc_id_b", "pos_a", "pos_b", F.lit(length).alias("n")))
+    return cold.unionByName(both.where(edge).select("doc_id_a", "doc_id_b", "pos_a", "pos_b", F.lit(length).alias("n"), F.lit(0).alias("side")))
 
 
 class _Fenwick:
@@ -437,7 +504,15 @@ def _runs_of(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> list[tuple[int, int
     return [tuple(r) for r in out]
 
 
-def passages(found: DataFrame, length: int = LENGTH, k: int = KMER, least: int = 0, sample: int = 0) -> DataFrame:
+def _whole(a: np.ndarray, b: np.ndarray, n: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The matches of one pair, those of which the first and the last window came apart put
+    together: on a diagonal, each first window goes with the next last one."""
+    first, last = (at[np.lexsort((a[at], b[at] - a[at]))] for at in (np.flatnonzero(side == 1), np.flatnonzero(side == 2)))
+    there = side == 0
+    return np.concatenate([a[there], a[first]]), np.concatenate([b[there], b[first]]), np.concatenate([n[there], a[last] + n[last] - a[first]])
+
+
+def passages(found: DataFrame, length: int = LENGTH, k: int = KMER, least: int = 0, whole: bool = False) -> DataFrame:
     """Chains of common runs of at least ``least`` characters: doc_id_a, doc_id_b, chain_no, runs array<struct<a,b,n>>.
 
     found: ``shared_spots``. A pair's matches come to one task, sorted; a pair is bounded by its two texts.
@@ -445,7 +520,7 @@ def passages(found: DataFrame, length: int = LENGTH, k: int = KMER, least: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(key, parts):
-            runs = _runs_of(*[np.concatenate(c) for c in zip(*parts, strict=True)])
+            runs = _runs_of(*_whole(*[np.concatenate(c) for c in zip(*parts, strict=True)]))
             return [(*key, no, [dict(zip("abn", runs[i], strict=True)) for i in links]) for no, links in enumerate(chain(runs))]
 
         def batch_of(rows):
@@ -455,7 +530,7 @@ def passages(found: DataFrame, length: int = LENGTH, k: int = KMER, least: int =
 
         key, parts, rows = None, [], []
         for batch in batches:
-            ids_a, ids_b, *rest = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            ids_a, ids_b, *rest = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
             if not len(ids_a):
                 continue
             bounds = np.flatnonzero((ids_a[1:] != ids_a[:-1]) | (ids_b[1:] != ids_b[:-1])) + 1
@@ -474,7 +549,7 @@ def passages(found: DataFrame, length: int = LENGTH, k: int = KMER, least: int =
         if rows:
             yield batch_of(rows)
 
-    ordered = matches(found, length, k, sample).where(F.col("n") >= least).distinct().repartition("doc_id_a", "doc_id_b").sortWithinPartitions("doc_id_a", "doc_id_b")
+    ordered = matches(found, length, k, whole).where(F.col("n") >= least).distinct().repartition("doc_id_a", "doc_id_b").sortWithinPartitions("doc_id_a", "doc_id_b")
     return ordered.mapInArrow(run, "doc_id_a bigint, doc_id_b bigint, chain_no int, runs array<struct<a:int,b:int,n:int>>")
 
 
@@ -516,7 +591,8 @@ def shares(docs: DataFrame, length: int = LENGTH, k: int = KMER) -> DataFrame:
     copies = members.groupBy("rep").agg(F.count("*").alias("n_copies"))
     found = shared_spots(docs, members, length, k)
     cold = _by_seed(found).mapInArrow(run, "doc_id bigint, start int, stop int")
-    windows = found.where("key2 is not null").withColumnsRenamed({"key": "w1", "key2": "w2"}).join(hot_windows(found).select("w1", "w2"), ["w1", "w2"])
+    windows = _windows(found)
+    windows = windows.join(hot_windows(windows.where("first")).select("w1", "w2"), ["w1", "w2"])
     spans = cold.unionByName(windows.select("doc_id", F.col("pos").alias("start"), (F.col("pos") + length).alias("stop"))).groupBy("doc_id", "start").agg(F.max("stop").alias("stop"))
     # a stretch adds what those before it in the text have not covered yet
     before = F.max("stop").over(Window.partitionBy("doc_id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
@@ -538,12 +614,10 @@ def fuzzy_passages(docs: DataFrame, length: int = LENGTH, dense: int = DENSE, k:
     them; it is a passage if at least ``length`` characters of its longer side are no
     edit. exact_chars are those of the runs, edits the edit distance of the stretches
     between, exact up to BAND in each, beyond that the longer side of the gap; identity
-    is the part of the longer side that is no edit. (The runs at seeds of more than HOT
-    texts are known by their ends and some windows inside, so their exact_chars are
-    fewer, but the stretches between have no edits.)
+    is the part of the longer side that is no edit.
     """
     members = cut(classes(docs, dense))
-    chains = passages(shared_spots(docs, members, dense, k), dense, k, dense, SAMPLE)
+    chains = passages(shared_spots(docs, members, dense, k), dense, k, dense, whole=True)
     first, last = F.col("runs")[0], F.element_at("runs", -1)
     rows = chains.select(
         "doc_id_a", "doc_id_b", "runs", first["a"].alias("start_a"), (last["a"] + last["n"]).alias("end_a"), first["b"].alias("start_b"), (last["b"] + last["n"]).alias("end_b"),

@@ -326,6 +326,54 @@ def test_recall_of_fuzzy_passages(spark):
     assert all(0.9 <= r.identity < 1 and 0 < r.edits < 40 for r in rows if r.n_runs > 1)
 
 
+def _common_runs(x, y, least):
+    """All longest common runs of at least ``least`` characters, by diagonals."""
+    out = []
+    for d in range(-len(x) + 1, len(y)):
+        a, n = max(0, -d), 0
+        for a in range(a, min(len(x), len(y) - d) + 1):
+            if a < min(len(x), len(y) - d) and x[a] == y[a + d]:
+                n += 1
+            else:
+                out += [(a - n, a - n + d, n)] if n >= least else []
+                n = 0
+    return out
+
+
+def _edits(x, y):
+    row = list(range(len(y) + 1))
+    for i, c in enumerate(x, 1):
+        last, row[0] = row[0], i
+        for j, e in enumerate(y, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != e))
+    return row[-1]
+
+
+@pytest.mark.parametrize(("hot", "block"), [(64, 1 << 14), (2, 1 << 14), (2, 5)])
+def test_passages_of_all_places(spark, hot, block, monkeypatch):
+    """Every passage stands at all its places and with all its characters, however many texts have its seeds and however often."""
+    monkeypatch.setattr(spans, "HOT", hot)
+    monkeypatch.setattr(spans, "BLOCK", block, raising=False)
+    rng = random.Random(31)
+    text = lambda n: "".join(rng.choices(string.ascii_lowercase + " é中", k=n))
+    p, q = text(200), text(90)
+    docs = {i: text(20) + rng.choice([p, p[:150], p[30:], q + "!" + q]) + text(20) for i in range(8)}
+    docs |= {10: text(9) + p + text(60) + p + text(9), 11: p + text(30) + p[:130] + "#" + p[131:], 12: q + "?" + q + text(30) + q + "." + q}
+    docs |= {20: "a" * 200, 21: "b" + "a" * 150 + "c", 22: "ab" * 90, 23: text(20) + "ab" * 70, 24: None, 25: "", 26: docs[0]}
+    want = set()
+    for x, y in combinations([i for i, t in docs.items() if t and i != 26], 2):
+        runs = sorted(_common_runs(docs[x], docs[y], 48), key=lambda r: (r[1] - r[0], r[0]))
+        for links in spans.chain(runs):
+            of = [runs[i] for i in links]
+            (a, b, _), (c, d, n) = of[0], of[-1]
+            edits = sum(_edits(docs[x][f[0] + f[2] : g[0]], docs[y][f[1] + f[2] : g[1]]) for f, g in zip(of, of[1:], strict=False))
+            if max(c + n - a, d + n - b) - edits >= 120:
+                want.add((x, y, a, c + n, b, d + n, len(of), sum(r[2] for r in of), edits))
+    rows = spans.fuzzy_passages(spark.createDataFrame(list(docs.items()), "doc_id long, text string"))
+    rows = rows.select("doc_id_a", "doc_id_b", "start_a", "end_a", "start_b", "end_b", "n_runs", "exact_chars", "edits").collect()
+    assert len(want) > 100 and len(rows) == len(want) and {tuple(r) for r in rows} == want
+
+
 def test_chain_prefers_order():
     runs = [(0, 0, 100), (150, 150, 100), (160, 20, 100), (300, 290, 50)]
     assert spans.chain(runs)[0] == [0, 1, 3]
