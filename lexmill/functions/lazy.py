@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Results that a task keeps for values that come again.
+KNOWN = 16_384
+
+
 def mapped(function: Callable, returns: str, *columns: Column | str) -> Column:
     """function of the values of each row, once per distinct text within a batch.
 
@@ -37,6 +41,30 @@ def mapped(function: Callable, returns: str, *columns: Column | str) -> Column:
     return F.pandas_udf(run, returns)(*[F.col(c) if isinstance(c, str) else c for c in columns])
 
 
+def prepared(make: Callable[[], Callable[[str], str]], returns: str, column: Column | str) -> Column:
+    """The function that make gives once per task, of each text; a value among the last ones is looked up.
+
+    A null gives null without a call.
+    """
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        function, known = make(), {}
+        for batch in batches:
+            out = []
+            for x in batch:
+                if not isinstance(x, str):
+                    out.append(None)
+                    continue
+                if (done := known.get(x)) is None:
+                    if len(known) >= KNOWN:
+                        known.clear()
+                    done = known[x] = function(x)
+                out.append(done)
+            yield pd.Series(out, index=batch.index, dtype=object)
+
+    return F.pandas_udf(run, returns)(F.col(column) if isinstance(column, str) else column)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body of a value that is computed once, however often body uses it."""
     return F.transform(F.array(value), body)[0]
