@@ -41,6 +41,22 @@ def mapped(function: Callable, returns: str, *columns: Column | str) -> Column:
     return F.pandas_udf(run, returns)(*[F.col(c) if isinstance(c, str) else c for c in columns])
 
 
+def looked_up(function: Callable[[str], str]) -> Callable[[str | None], str | None]:
+    """The function, but a value among the last ones is looked up; null for what is no text."""
+    known: dict[str, str] = {}
+
+    def one(x: str | None) -> str | None:
+        if not isinstance(x, str):
+            return None
+        if (done := known.get(x)) is None:
+            if len(known) >= KNOWN:
+                known.clear()
+            done = known[x] = function(x)
+        return done
+
+    return one
+
+
 def prepared(make: Callable[[], Callable[[str], str]], returns: str, column: Column | str) -> Column:
     """The function that make gives once per task, of each text; a value among the last ones is looked up.
 
@@ -48,19 +64,9 @@ def prepared(make: Callable[[], Callable[[str], str]], returns: str, column: Col
     """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        function, known = make(), {}
+        one = looked_up(make())
         for batch in batches:
-            out = []
-            for x in batch:
-                if not isinstance(x, str):
-                    out.append(None)
-                    continue
-                if (done := known.get(x)) is None:
-                    if len(known) >= KNOWN:
-                        known.clear()
-                    done = known[x] = function(x)
-                out.append(done)
-            yield pd.Series(out, index=batch.index, dtype=object)
+            yield pd.Series([one(x) for x in batch], index=batch.index, dtype=object)
 
     return F.pandas_udf(run, returns)(F.col(column) if isinstance(column, str) else column)
 
